@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from inboxlens.functions.clock import floor_second, from_micros, instant, micros
+from inboxlens.functions.clock import floor_second, from_micros, instant
 
 _DAY_MICROS = 86_400_000_000
 _WINDOW = ("sync_start", "sync_end")
@@ -209,19 +209,3 @@ def window_edges(spans: DataFrame, per_commit: int | None) -> list[tuple[dt.date
     groups = [ordered[i : i + size] for i in range(0, len(ordered), size)]
     return [(from_micros(g[0][0]), from_micros(g[-1][1])) for g in groups]
 
-
-__all__ = [
-    "assign_window",
-    "bounds",
-    "capped",
-    "first_copies",
-    "in_range",
-    "micros",
-    "new_rows",
-    "run_summary",
-    "watermark",
-    "watermark_frame",
-    "window_counts",
-    "window_edges",
-    "windows",
-]

@@ -7,6 +7,7 @@ is not one.  ``flatten`` splits the two.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ def read(spark: SparkSession, path: str, *, changed_since: dt.datetime | None =
 
 def in_inbox(message: Column) -> Column:
     """The default search predicate, on the parsed message struct."""
-    return F.coalesce(F.array_contains(message["labelIds"], INBOX), F.lit(False))
+    return F.array_contains(message["labelIds"], INBOX)
 
 
 def parse(
@@ -44,40 +45,39 @@ def parse(
     max_body_chars: int = MAX_BODY_CHARS,
     depth: int = MIME_DEPTH,
     keep: Column | None = None,
-    predicate=None,
+    predicate: Callable[[Column], Column] | None = None,
+    dated_only: bool = False,
 ) -> DataFrame:
     """The 13 message columns plus ``reason`` (NULL for a good row) and ``value``.
 
     ``predicate`` maps the parsed message struct to a boolean Column, and ``keep`` is one
     over the column ``received_at``; messages that fail either are not decoded.  Lines that
-    cannot be parsed or dated are kept whatever the filters say.  ``value`` holds the landed
-    text of bad rows only.
+    cannot be parsed or dated are kept whatever ``keep`` says; under ``dated_only`` a
+    message without a date is a bad row.  ``value`` holds the landed text of bad rows only.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
-    parsed = raw.select(
-        "value", F.from_json("value", landed_message(depth), options).alias("m")
-    ).withColumn(
+    lines = raw.filter(F.trim("value") != "")
+    message = F.from_json("value", landed_message(depth), options)
+    parsed = _once(lines.select("value"), "m", message).withColumn(
         "received_at", F.timestamp_millis(F.col("m.internalDate").try_cast("bigint"))
     )
-    malformed = F.col("m").isNull() | F.col("m._malformed").isNotNull()
+    malformed = F.col("m._malformed").isNotNull()
     undated = F.col("received_at").isNull()
     wanted = F.lit(True)
     if keep is not None:
         wanted = wanted & (keep | undated)
     if predicate is not None:
-        wanted = wanted & predicate(F.col("m"))
+        wanted = wanted & F.coalesce(predicate(F.col("m")), F.lit(False))
     m = F.col("m")
-    listed = (
-        parsed.filter(malformed | wanted)
-        .withColumn("_parts", mime.text_parts(m["payload"], depth))
-        .withColumn("_texts", mime.decoded(F.col("_parts")))
-    )
+    texts = mime.decoded(mime.text_parts(m["payload"], depth))
+    listed = _once(parsed.filter(malformed | wanted), "_texts", texts)
     has_date_text = F.length(m["internalDate"]) > 0
     reason = (
         F.when(malformed, F.lit("malformed json"))
         .when(m["id"].isNull(), F.lit("no message id"))
         .when(has_date_text & undated, F.lit("bad internal date"))
-        .when(mime.too_deep(F.col("_parts")), F.lit("mime too deep"))
+        .when(undated & F.lit(dated_only), F.lit("no internal date"))
+        .when(mime.too_deep(F.col("_texts")), F.lit("mime too deep"))
         .when(mime.undecodable(F.col("_texts")), F.lit("bad base64"))
     )
     headers = m["payload"]["headers"]
@@ -108,6 +108,15 @@ def parse(
     )
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that later filters cannot pull apart.
+
+    A filter on a projected column is pushed below the projection, which would parse the
+    JSON once for the filter and once for the columns.  Filters stop at a generator.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def flatten(
     raw: DataFrame,
     *,

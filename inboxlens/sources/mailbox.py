@@ -77,3 +77,26 @@ def mail_from_events(events: DataFrame) -> DataFrame:
 
 def mail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mail_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def ledger_from_events(events: DataFrame) -> DataFrame:
+    """A run ledger over the days of the events: three days in seven failed.
+
+    Every weekday belongs to one run.  Failed days report no counts.
+    """
+    day = F.date_trunc("day", F.col("ts").cast("timestamp"))
+    daily = events.groupBy(day.alias("sync_start")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.col("ts").cast("timestamp")).alias("newest")
+    )
+    failed = F.dayofweek("sync_start") > 4
+    return daily.select(
+        F.concat(F.lit("run-"), F.dayofweek("sync_start")).alias("run_id"),
+        F.col("newest").alias("started_at"),
+        (F.col("newest") + F.expr("INTERVAL 5 MINUTES")).alias("finished_at"),
+        F.when(failed, "error").otherwise("ok").alias("status"),
+        "sync_start",
+        (F.col("sync_start") + F.expr("INTERVAL 1 DAY")).alias("sync_end"),
+        F.when(failed, F.lit(0)).otherwise(F.col("n")).cast("bigint").alias("fetched"),
+        F.when(failed, F.lit(0)).otherwise(F.col("n")).cast("bigint").alias("inserted"),
+        F.when(failed, "RuntimeError: quota").alias("error"),
+    )
