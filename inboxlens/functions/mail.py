@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from inboxlens.functions import rules
-from inboxlens.functions.regex import contains_any, matches, phrases
+from inboxlens.functions.regex import any_literal, contains_any, has_phrase
 
 # All characters that Unicode calls white space.
 _WHITE_SPACE = (
@@ -36,13 +36,18 @@ def not_promotion(labels_lower: Column) -> Column:
     return ~labels_lower.like(rules.PROMOTIONS_LIKE)
 
 
-def category(subject_snippet_lower: Column, plain_body: Column) -> Column:
-    """First category whose phrases occur; the body is read only as a last resort."""
+def headline_category(subject_snippet_lower: Column) -> Column:
+    """First category whose phrases occur in subject and snippet, else NULL."""
     chain = F
     for name, words in rules.CATEGORY_PHRASES:
-        chain = chain.when(matches(subject_snippet_lower, phrases(words)), F.lit(name))
-    in_body = matches(F.lower(plain_body), phrases(rules.BODY_REJECTION_PHRASES))
-    return chain.when(in_body, F.lit(rules.REJECTION)).otherwise(F.lit(rules.OTHER))
+        chain = chain.when(has_phrase(subject_snippet_lower, words), F.lit(name))
+    return chain
+
+
+def body_category(body_lower: Column) -> Column:
+    """Category of a mail whose headline says nothing."""
+    declined = has_phrase(body_lower, rules.BODY_REJECTION_PHRASES)
+    return F.when(declined, F.lit(rules.REJECTION)).otherwise(F.lit(rules.OTHER))
 
 
 def status_rank(category_column: Column) -> Column:
@@ -62,7 +67,7 @@ def source_system(domain: Column) -> Column:
 
 def is_employer_domain(domain: Column) -> Column:
     """Whether a folded sender domain may name the employer."""
-    return ~contains_any(domain, rules.NOT_AN_EMPLOYER)
+    return ~any_literal(domain, rules.NOT_AN_EMPLOYER)
 
 
 def title_case(label: Column) -> Column:

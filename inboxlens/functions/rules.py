@@ -148,24 +148,35 @@ GENERIC_SUFFIX = (
 BODY_HEAD_CHARS = 1500
 DISPLAY_LENGTH = (2, 60)
 
+# Extraction patterns, each with words of which a matching text must hold one.
 COMPANY_IN_SUBJECT = (
     r"(?i)\b(?:to|at|with|joining|join)\s+"
-    r"([A-Z][A-Za-z0-9&\.\-]*(?:\s+[A-Z][A-Za-z0-9&\.\-]*){0,3})"
+    r"([A-Z][A-Za-z0-9&\.\-]*(?:\s+[A-Z][A-Za-z0-9&\.\-]*){0,3})",
+    ("to", "at", "with", "join"),
 )
 COMPANY_IN_BODY = (
     r"(?i)(?:thank you for (?:your interest in|applying to)"
     r"|application (?:to|for|received at)|interest in (?:joining|working at))\s+"
-    r"([A-Z][A-Za-z0-9&\.\-]*(?:\s+[A-Z][A-Za-z0-9&\.\-]*){0,3})"
+    r"([A-Z][A-Za-z0-9&\.\-]*(?:\s+[A-Z][A-Za-z0-9&\.\-]*){0,3})",
+    ("thank you for ", "application ", "interest in "),
 )
 DOMAIN_LABEL = r"^([A-Za-z0-9\-]+)\."
 
 ROLE_APPLYING_SUBJECT = (
-    r"(?i)applying\s+for(?:\s+the)?\s+([A-Za-z0-9&/\-\s]+?)(?:\s+(?:role|position|at)\b|$)"
+    r"(?i)applying\s+for(?:\s+the)?\s+([A-Za-z0-9&/\-\s]+?)(?:\s+(?:role|position|at)\b|$)",
+    ("applying",),
+)
+ROLE_FOR_THE_SUBJECT = (
+    r"(?i)\bfor\s+the\s+([A-Za-z0-9&/\-\s]+?)\s+(?:role|position)\b",
+    ("role", "position"),
+)
+ROLE_AT_SUBJECT = (
+    r"(?i)\b([A-Z][A-Za-z0-9&/\-\s]+?)\s+(?:position|role|opportunity)\s+at\b",
+    ("position", "role", "opportunity"),
 )
-ROLE_FOR_THE_SUBJECT = r"(?i)\bfor\s+the\s+([A-Za-z0-9&/\-\s]+?)\s+(?:role|position)\b"
-ROLE_AT_SUBJECT = r"(?i)\b([A-Z][A-Za-z0-9&/\-\s]+?)\s+(?:position|role|opportunity)\s+at\b"
 ROLE_APPLYING_BODY = (
-    r"(?i)applying\s+for(?:\s+the)?\s+([A-Za-z0-9&/\-\s]+?)\s+(?:role|position)\b"
+    r"(?i)applying\s+for(?:\s+the)?\s+([A-Za-z0-9&/\-\s]+?)\s+(?:role|position)\b",
+    ("applying",),
 )
 
 # --- fixed values: source systems by sender domain, in order -----------------

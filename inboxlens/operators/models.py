@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from inboxlens.functions import mail, rules
 from inboxlens.functions.clock import instant, whole_days
-from inboxlens.functions.regex import first_group, fold_ascii_letters, re2
+from inboxlens.functions.regex import contains_any, first_group, fold_ascii_letters, re2
 from inboxlens.schemas import APPLICATION_COLUMNS, EMAIL_MART_COLUMNS, STAGING_COLUMNS
 
 _GENERIC_SUFFIX = re2(rules.GENERIC_SUFFIX)
@@ -42,10 +42,21 @@ def find_job_mail(staged: DataFrame) -> DataFrame:
 
 
 def classify(found: DataFrame) -> DataFrame:
-    """Add ``job_pipeline_category``, never NULL."""
-    return found.withColumn(
-        "job_pipeline_category",
-        mail.category(F.col("subject_snippet_lower"), F.col("plain_body")),
+    """Add ``job_pipeline_category``, never NULL.
+
+    The body is lower-cased and searched only where the headline decides nothing.
+    """
+    headline = found.withColumn(
+        "_headline", mail.headline_category(F.col("subject_snippet_lower"))
+    )
+    undecided = F.when(F.col("_headline").isNull(), F.lower("plain_body"))
+    return (
+        headline.withColumn("_body", undecided)
+        .withColumn(
+            "job_pipeline_category",
+            F.coalesce("_headline", mail.body_category(F.col("_body"))),
+        )
+        .drop("_headline", "_body")
     )
 
 
@@ -57,64 +68,73 @@ def email_mart(classified: DataFrame) -> DataFrame:
 def with_guesses(classified: DataFrame) -> DataFrame:
     """Add ``company_guess``, ``role_guess`` and ``ats_source_guess`` to each mail.
 
-    A candidate pattern runs only where the earlier ones found nothing, and each result is
-    a column of its own: NULL-if-empty inside one expression would run every pattern twice.
+    Candidates run in order of precedence, each as a column of its own, so that a pattern
+    runs at most once per mail and only where nothing was found before.  Inside the chain
+    ``''`` stands for nothing found.
     """
-    body_head = F.substring(F.coalesce("plain_body", F.lit("")), 1, rules.BODY_HEAD_CHARS)
+    nothing = F.lit("")
     signals = classified.withColumns(
         {
             "_domain": first_group(F.col("sender"), rules.SENDER_DOMAIN),
-            "_display": first_group(F.col("sender"), rules.SENDER_DISPLAY),
-            "_body_head": body_head,
+            "_display": F.coalesce(
+                first_group(F.col("sender"), rules.SENDER_DISPLAY), nothing
+            ),
+            "_subject": F.coalesce("subject", nothing),
+            "_body": F.substring(
+                F.coalesce("plain_body", nothing), 1, rules.BODY_HEAD_CHARS
+            ),
         }
     ).withColumns(
         {
-            "_domain": mail.null_if_empty(F.col("_domain")),
-            "_display": mail.null_if_empty(
-                mail.strip_white_space(
-                    F.regexp_replace(
-                        F.coalesce("_display", F.lit("")), _GENERIC_SUFFIX, F.lit("")
-                    )
-                )
+            "_domain": mail.null_if_empty(fold_ascii_letters(F.col("_domain"))),
+            "_display": mail.strip_white_space(
+                F.regexp_replace("_display", _GENERIC_SUFFIX, nothing)
             ),
+            "_label": first_group(F.col("_domain"), rules.DOMAIN_LABEL),
+            "_subject_lower": F.lower("_subject"),
+            "_body_lower": F.lower("_body"),
         }
     )
-    signals = signals.withColumn("_folded", fold_ascii_letters(F.col("_domain")))
     low, high = rules.DISPLAY_LENGTH
-    subject, body = F.col("subject"), F.col("_body_head")
+    subject, body = ("_subject", "_subject_lower"), ("_body", "_body_lower")
     signals = signals.withColumns(
         {
-            "_company": F.when(F.length("_display").between(low, high), F.col("_display")),
-            "_label": F.when(
-                mail.is_employer_domain(F.col("_folded")),
-                first_group(F.col("_domain"), rules.DOMAIN_LABEL),
-            ),
-            "_role": F.lit(None).cast("string"),
-            "ats_source_guess": mail.source_system(F.col("_folded")),
+            "ats_source_guess": mail.source_system(F.col("_domain")),
+            "_company": F.when(
+                F.length("_display").between(low, high), F.col("_display")
+            ).otherwise(nothing),
+            "_role": nothing,
         }
     )
-    signals = _fill(signals, "_company", first_group(subject, rules.COMPANY_IN_SUBJECT))
-    signals = _fill(signals, "_company", first_group(body, rules.COMPANY_IN_BODY))
-    signals = _fill(signals, "_role", first_group(subject, rules.ROLE_APPLYING_SUBJECT))
-    signals = _fill(signals, "_role", first_group(subject, rules.ROLE_FOR_THE_SUBJECT))
-    signals = _fill(signals, "_role", first_group(subject, rules.ROLE_AT_SUBJECT))
-    signals = _fill(signals, "_role", first_group(body, rules.ROLE_APPLYING_BODY))
-    return signals.select(
+    signals = _fill(signals, "_company", subject, *rules.COMPANY_IN_SUBJECT)
+    signals = _fill(signals, "_company", body, *rules.COMPANY_IN_BODY)
+    signals = _fill(signals, "_role", subject, *rules.ROLE_APPLYING_SUBJECT)
+    signals = _fill(signals, "_role", subject, *rules.ROLE_FOR_THE_SUBJECT)
+    signals = _fill(signals, "_role", subject, *rules.ROLE_AT_SUBJECT)
+    signals = _fill(signals, "_role", body, *rules.ROLE_APPLYING_BODY)
+    employer = F.when(
+        (F.col("_company") == "") & mail.is_employer_domain(F.col("_domain")),
+        mail.title_case(F.col("_label")),
+    ).otherwise(F.col("_company"))
+    return signals.withColumn("_company", employer).select(
         *classified.columns,
-        F.coalesce(
-            "_company", mail.null_if_empty(mail.title_case(F.col("_label")))
-        ).alias("company_guess"),
-        F.col("_role").alias("role_guess"),
+        mail.null_if_empty(F.col("_company")).alias("company_guess"),
+        mail.null_if_empty(F.col("_role")).alias("role_guess"),
         "ats_source_guess",
     )
 
 
-def _fill(df: DataFrame, name: str, candidate: Column) -> DataFrame:
-    """Where ``name`` is NULL, take the candidate unless it is empty."""
-    tried = df.withColumn("_tried", F.when(F.col(name).isNull(), candidate))
-    return tried.withColumn(
-        name, F.coalesce(name, mail.null_if_empty(F.col("_tried")))
-    ).drop("_tried")
+def _fill(
+    df: DataFrame, name: str, text: tuple[str, str], pattern: str, words: tuple[str, ...]
+) -> DataFrame:
+    """Where ``name`` is empty, take the pattern's group from the text.
+
+    A text without any of the words cannot match, so the pattern is spared there.
+    """
+    plain, lowered = text
+    missing = (F.col(name) == "") & contains_any(F.col(lowered), words)
+    found = F.when(missing, first_group(F.col(plain), pattern)).otherwise(F.col(name))
+    return df.withColumn(name, found)
 
 
 def extract(classified: DataFrame) -> DataFrame:

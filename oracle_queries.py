@@ -103,15 +103,15 @@ guessed AS (
   SELECT message_id, thread_id, received_at, job_pipeline_category,
     coalesce(
       CASE WHEN length(display) BETWEEN 2 AND 60 THEN display END,
-      {_group('subject', rules.COMPANY_IN_SUBJECT)},
-      {_group('body_head', rules.COMPANY_IN_BODY)},
+      {_group('subject', rules.COMPANY_IN_SUBJECT[0])},
+      {_group('body_head', rules.COMPANY_IN_BODY[0])},
       array_to_string(list_transform(string_split(lower(label), '-'),
         lambda w: upper(w[1:1]) || w[2:]), '-')) AS company_guess,
     coalesce(
-      {_group('subject', rules.ROLE_APPLYING_SUBJECT)},
-      {_group('subject', rules.ROLE_FOR_THE_SUBJECT)},
-      {_group('subject', rules.ROLE_AT_SUBJECT)},
-      {_group('body_head', rules.ROLE_APPLYING_BODY)}) AS role_guess,
+      {_group('subject', rules.ROLE_APPLYING_SUBJECT[0])},
+      {_group('subject', rules.ROLE_FOR_THE_SUBJECT[0])},
+      {_group('subject', rules.ROLE_AT_SUBJECT[0])},
+      {_group('body_head', rules.ROLE_APPLYING_BODY[0])}) AS role_guess,
     CASE {_SOURCES} WHEN domain IS NOT NULL THEN {_text(rules.DIRECT)} END AS ats_source_guess
   FROM labelled)"""
 
