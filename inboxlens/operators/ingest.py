@@ -25,10 +25,10 @@ def windows(limits: DataFrame, *, days: int = 1) -> DataFrame:
     clipped, and there are none where ``lo >= hi``.
     """
     step = F.make_dt_interval(F.lit(max(1, days)))
+    day = F.date_trunc("day", "lo")
+    last = F.greatest(day, "hi")  # a sequence may not run backwards, not even unused
     cuts = limits.filter(F.col("lo") < F.col("hi")).select(
-        "lo",
-        "hi",
-        F.explode(F.sequence(F.date_trunc("day", "lo"), F.col("hi"), step)).alias("cut"),
+        "lo", "hi", F.explode(F.sequence(day, last, step)).alias("cut")
     )
     return cuts.select(
         F.greatest("cut", "lo").alias("sync_start"),
@@ -160,23 +160,26 @@ def watermark_frame(
     )
 
 
+def last_good(ledger: DataFrame | None) -> dt.datetime | None:
+    """End of the newest window recorded as ``ok``, floored to the second."""
+    if ledger is None:
+        return None
+    return _newest(ledger.filter(F.col("status") == "ok"), "sync_end")
+
+
 def watermark(
-    spark: SparkSession,
-    ledger: DataFrame | None,
-    messages: DataFrame | None,
-    *,
-    floor: dt.date,
+    ledger: DataFrame | None, messages: DataFrame | None, *, floor: dt.date
 ) -> dt.datetime:
     """The same as an aware datetime; messages are scanned only without a good window."""
-    for source, column in ((ledger, "sync_end"), (messages, "received_at")):
-        if source is None:
-            continue
-        if column == "sync_end":
-            source = source.filter(F.col("status") == "ok")
-        newest = source.agg(F.max(F.unix_micros(floor_second(F.col(column))))).first()[0]
-        if newest is not None:
-            return from_micros(newest)
-    return start_of(floor)
+    newest = last_good(ledger)
+    if newest is None and messages is not None:
+        newest = _newest(messages, "received_at")
+    return newest or start_of(floor)
+
+
+def _newest(df: DataFrame, column: str) -> dt.datetime | None:
+    found = df.agg(F.max(F.unix_micros(floor_second(F.col(column))))).first()[0]
+    return None if found is None else from_micros(found)
 
 
 def start_of(day: dt.date) -> dt.datetime:

@@ -7,7 +7,8 @@ Protocol, per commit group of windows and oldest first:
 3. new rows are appended to the message table;
 4. one ``ok`` row per window is appended to the ledger, which moves the watermark.
 
-A crash before step 4 leaves the watermark where it was.  The retry reads the same range
+A crash before step 4 leaves the watermark where it was; before any window is done, a note
+beside the ledger holds the place.  The retry reads the same range
 again and the anti-join drops what already landed, so nothing is lost or doubled.  (This is
 why the append must never become a partition overwrite.)  One run at a time may write to a
 message table.
@@ -209,14 +210,28 @@ def commit(
 def _start(
     spark: SparkSession, targets: Targets, floor: dt.date, full_backfill: bool
 ) -> dt.datetime:
+    """Where this run begins.
+
+    Until a first window is done, the newest message is no safe mark: a crashed run may have
+    appended late mail and not yet early mail.  So the first run notes where it began, and
+    runs begin there again until the ledger has a good window.
+    """
+    ledger = tables.read_ledger(spark, targets.ledger)
+    done = ingest.last_good(ledger)
+    if done is not None:
+        return ingest.start_of(floor) if full_backfill else done
+    noted = tables.read_start(spark, targets.ledger)
     if full_backfill:
-        return ingest.start_of(floor)
-    return ingest.watermark(
-        spark,
-        tables.read_ledger(spark, targets.ledger),
-        tables.read_messages(spark, targets.messages),
-        floor=floor,
-    )
+        begin = ingest.start_of(floor)
+    elif noted is not None:
+        begin = noted
+    else:
+        begin = ingest.watermark(
+            None, tables.read_messages(spark, targets.messages), floor=floor
+        )
+    if noted is None or begin < noted:
+        tables.write_start(spark, targets.ledger, begin)
+    return begin
 
 
 def _first_over_cap(counts: DataFrame, cap: int) -> dt.datetime | None:
@@ -230,6 +245,8 @@ def _first_over_cap(counts: DataFrame, cap: int) -> dt.datetime | None:
 def _append_quarantine(staged: DataFrame, targets: Targets) -> None:
     """Keep each bad line once, however often its file is read."""
     bad = landing.quarantine_of(staged)
+    if bad.isEmpty():
+        return
     known = tables.read_quarantine(staged.sparkSession, targets.quarantine)
     if known is None:
         fresh = ingest.first_copies(bad, key="payload_sha")

@@ -14,8 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from inboxlens.functions.clock import from_micros, instant
 from inboxlens.schemas import LEDGER, MESSAGES, QUARANTINE
 
+_START = T.StructType([T.StructField("sync_start", T.TimestampType())])
+
 
 def read_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """The Parquet table at ``path``, or None where nothing was written yet."""
@@ -69,6 +72,19 @@ def append_ledger(rows: DataFrame, path: str) -> None:
     ordered.write.mode("append").partitionBy("started_date").parquet(path)
 
 
+def read_start(spark: SparkSession, ledger_path: str) -> dt.datetime | None:
+    """Where the first sync into this ledger began, if it was noted."""
+    note = read_or_none(spark, f"{ledger_path}_start", _START)
+    row = None if note is None else note.agg(F.min(F.unix_micros("sync_start"))).first()
+    return None if row is None or row[0] is None else from_micros(row[0])
+
+
+def write_start(spark: SparkSession, ledger_path: str, start: dt.datetime) -> None:
+    """Note where the first sync into this ledger begins; the earliest note counts."""
+    note = spark.range(1).select(instant(start).alias("sync_start"))
+    note.write.mode("append").parquet(f"{ledger_path}_start")
+
+
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame | None:
     return read_or_none(spark, path, QUARANTINE)
 
