@@ -72,7 +72,8 @@ def is_employer_domain(domain: Column) -> Column:
 
 def title_case(label: Column) -> Column:
     """Capitalise each hyphen-separated word of a domain label."""
-    return F.translate(F.initcap(F.translate(label, "-", " ")), " ", "-")
+    hyphen, space = F.lit("-"), F.lit(" ")
+    return F.replace(F.initcap(F.replace(label, hyphen, space)), space, hyphen)
 
 
 def strip_white_space(text: Column) -> Column:

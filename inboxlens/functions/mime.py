@@ -1,4 +1,8 @@
-"""Headers and bodies of a landed message, as Column expressions."""
+"""Headers and bodies of a landed message.
+
+Expressions with lambdas are written as SQL text: nested eight levels deep, the walk of a
+message would otherwise take hundreds of calls into the JVM to put together.
+"""
 
 from __future__ import annotations
 
@@ -7,75 +11,56 @@ from pyspark.sql import functions as F
 
 PLAIN, HTML = "text/plain", "text/html"
 _TOO_DEEP = "too deep"
+_NOTHING = "CAST(array() AS ARRAY<STRUCT<mime: STRING, data: STRING>>)"
 
 
-def header(headers: Column, name: str) -> Column:
+def header(headers: str, name: str) -> Column:
     """Value of a header, any case; the last duplicate wins, NULL where missing."""
-    named = F.filter(headers, lambda h: F.lower(h["name"]) == name)
-    return F.try_element_at(named, F.lit(-1))["value"]
+    return F.expr(f"try_element_at(filter({headers}, h -> lower(h.name) = '{name}'), -1).value")
 
 
-def text_parts(payload: Column, depth: int) -> Column:
-    """Pre-order list of ``(mime, data)`` for the text parts of a message.
+def text_parts(part: str, depth: int) -> str:
+    """SQL for the pre-order list of ``(mime, data)`` for the text parts of a message.
 
     A part with a file name or an attachment id hides its whole subtree.  Where children
     lie below the declared depth, an entry marks the spot; see :func:`too_deep`.
     """
-    mime, data = payload["mimeType"], payload["body"]["data"]
-    own = F.when(
-        mime.isin(PLAIN, HTML) & (F.length(data) > 0), F.array(_entry(mime, data))
-    ).otherwise(_nothing())
-    parts = payload["parts"]
+    own = (
+        f"if({part}.mimeType IN ('{PLAIN}', '{HTML}') AND length({part}.body.data) > 0, "
+        f"array(named_struct('mime', {part}.mimeType, 'data', {part}.body.data)), {_NOTHING})"
+    )
     if depth > 0:
-        below = F.flatten(F.transform(parts, lambda part: text_parts(part, depth - 1)))
-        below = F.coalesce(below, _nothing())
+        child = f"part{depth}"
+        children = f"flatten(transform({part}.parts, {child} -> {text_parts(child, depth - 1)}))"
+        below = f"coalesce({children}, {_NOTHING})"
     else:
-        hidden = parts.isNotNull() & (parts != "[]")
-        below = F.when(
-            hidden, F.array(_entry(F.lit(_TOO_DEEP), F.lit(None).cast("string")))
-        ).otherwise(_nothing())
-    attachment = (F.length(payload["filename"]) > 0) | (
-        F.length(payload["body"]["attachmentId"]) > 0
-    )
-    return F.when(attachment, _nothing()).otherwise(F.concat(own, below))
+        marker = f"array(named_struct('mime', '{_TOO_DEEP}', 'data', CAST(NULL AS STRING)))"
+        below = f"if({part}.parts <> '[]', {marker}, {_NOTHING})"
+    hidden = f"length({part}.filename) > 0 OR length({part}.body.attachmentId) > 0"
+    return f"if({hidden}, {_NOTHING}, concat({own}, {below}))"
 
 
-def decoded(parts: Column) -> Column:
-    """The same list with its base64url data decoded to text.
+def decoded(parts: str) -> str:
+    """SQL for the same list with its base64url data decoded to text.
 
     Bytes that are not UTF-8 become U+FFFD.  Data that is not base64 decodes to NULL.
+    ``replace`` works on bytes, whereas ``translate`` pays per character.
     """
-    return F.transform(
-        parts,
-        lambda p: _entry(
-            p["mime"],
-            F.make_valid_utf8(
-                F.try_to_binary(
-                    F.translate(p["data"], "-_", "+/"), F.lit("base64")
-                ).cast("string")
-            ),
-        ),
-    )
+    standard = "replace(replace(p.data, '-', '+'), '_', '/')"
+    text = f"make_valid_utf8(CAST(try_to_binary({standard}, 'base64') AS STRING))"
+    return f"transform({parts}, p -> named_struct('mime', p.mime, 'data', {text}))"
 
 
-def body(parts: Column, mime: str, max_chars: int) -> Column:
+def body(parts: str, mime: str, max_chars: int) -> Column:
     """Decoded parts of one type joined by newlines; ``''`` where there are none."""
-    chosen = F.filter(parts, lambda p: p["mime"] == mime)
-    text = F.array_join(F.transform(chosen, lambda p: p["data"]), "\n")
+    chosen = f"transform(filter({parts}, p -> p.mime = '{mime}'), p -> p.data)"
+    text = F.array_join(F.expr(chosen), "\n")
     return F.substring(text, 1, max_chars) if max_chars > 0 else text
 
 
-def too_deep(parts: Column) -> Column:
-    return F.exists(parts, lambda p: p["mime"] == _TOO_DEEP)
-
-
-def undecodable(parts: Column) -> Column:
-    return F.exists(parts, lambda p: p["data"].isNull() & (p["mime"] != _TOO_DEEP))
-
-
-def _entry(mime: Column, data: Column) -> Column:
-    return F.struct(mime.alias("mime"), data.alias("data"))
+def too_deep(parts: str) -> Column:
+    return F.expr(f"exists({parts}, p -> p.mime = '{_TOO_DEEP}')")
 
 
-def _nothing() -> Column:
-    return F.array().cast("array<struct<mime:string,data:string>>")
+def undecodable(parts: str) -> Column:
+    return F.expr(f"exists({parts}, p -> p.data IS NULL AND p.mime <> '{_TOO_DEEP}')")

@@ -80,7 +80,7 @@ def contains_any(text: Column, words: tuple[str, ...]) -> Column:
 
 def fold_ascii_letters(text: Column) -> Column:
     """Lower-case text so that literals compare as under RE2's ``(?i)``."""
-    return F.lower(F.translate(text, "\u017f", "s"))
+    return F.lower(F.replace(text, F.lit("\u017f"), F.lit("s")))
 
 
 def any_literal(text: Column, words: tuple[str, ...]) -> Column:

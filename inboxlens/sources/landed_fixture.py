@@ -79,7 +79,10 @@ def landed_from_turns(conversations: DataFrame) -> DataFrame:
 
 def base64url(text: Column) -> Column:
     """Unpadded base64url of the UTF-8 bytes of a text, on one line."""
-    return F.translate(F.base64(F.encode(text, "UTF-8")), "+/=\r\n", "-_")
+    encoded = F.base64(F.encode(text, "UTF-8"))
+    for old, new in (("+", "-"), ("/", "_"), ("=", ""), ("\r\n", "")):
+        encoded = F.replace(encoded, F.lit(old), F.lit(new))
+    return encoded
 
 
 def _line(

@@ -69,7 +69,7 @@ def parse(
     if predicate is not None:
         wanted = wanted & F.coalesce(predicate(F.col("m")), F.lit(False))
     m = F.col("m")
-    texts = mime.decoded(mime.text_parts(m["payload"], depth))
+    texts = F.expr(mime.decoded(mime.text_parts("m.payload", depth)))
     listed = _once(parsed.filter(malformed | wanted), "_texts", texts)
     has_date_text = F.length(m["internalDate"]) > 0
     reason = (
@@ -77,10 +77,10 @@ def parse(
         .when(m["id"].isNull(), F.lit("no message id"))
         .when(has_date_text & undated, F.lit("bad internal date"))
         .when(undated & F.lit(dated_only), F.lit("no internal date"))
-        .when(mime.too_deep(F.col("_texts")), F.lit("mime too deep"))
-        .when(mime.undecodable(F.col("_texts")), F.lit("bad base64"))
+        .when(mime.too_deep("_texts"), F.lit("mime too deep"))
+        .when(mime.undecodable("_texts"), F.lit("bad base64"))
     )
-    headers = m["payload"]["headers"]
+    headers = "m.payload.headers"
     columns = {
         "message_id": m["id"],
         "thread_id": m["threadId"],
@@ -91,10 +91,10 @@ def parse(
         "date": mime.header(headers, "date"),
         "snippet": m["snippet"],
         "plain_body": F.coalesce(
-            mime.body(F.col("_texts"), mime.PLAIN, max_body_chars), F.lit("")
+            mime.body("_texts", mime.PLAIN, max_body_chars), F.lit("")
         ),
         "html_body": F.coalesce(
-            mime.body(F.col("_texts"), mime.HTML, max_body_chars), F.lit("")
+            mime.body("_texts", mime.HTML, max_body_chars), F.lit("")
         ),
         "labels": F.array_join(F.coalesce(m["labelIds"], F.array().cast("array<string>")), ","),
         "received_at": F.col("received_at"),
