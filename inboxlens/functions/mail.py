@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from inboxlens.functions import rules
-from inboxlens.functions.regex import any_literal, contains_any, has_phrase
+from inboxlens.functions.regex import contains_any, has_phrase
 
 # All characters that Unicode calls white space.
 _WHITE_SPACE = (
@@ -57,17 +57,25 @@ def status_rank(category_column: Column) -> Column:
     return chain.otherwise(F.lit(0))
 
 
-def source_system(domain: Column) -> Column:
-    """Label of the system behind a folded sender domain; NULL without a domain."""
-    chain = F
-    for label, domains in rules.SOURCE_DOMAINS:
-        chain = chain.when(contains_any(domain, domains), F.lit(label))
-    return chain.when(domain.isNotNull(), F.lit(rules.DIRECT))
+def source_system(domain: str) -> Column:
+    """Label of the first system whose domain occurs in a folded sender domain.
+
+    NULL without a domain.  Matching against a constant list keeps the generated code
+    small: the JVM never compiles a method beyond 8,000 bytes.
+    """
+    systems = ", ".join(
+        f"named_struct('domain', '{d}', 'label', '{label}')"
+        for label, domains in rules.SOURCE_DOMAINS
+        for d in domains
+    )
+    first = F.expr(f"get(filter(array({systems}), s -> contains({domain}, s.domain)), 0).label")
+    return F.when(F.col(domain).isNotNull(), F.coalesce(first, F.lit(rules.DIRECT)))
 
 
-def is_employer_domain(domain: Column) -> Column:
+def is_employer_domain(domain: str) -> Column:
     """Whether a folded sender domain may name the employer."""
-    return ~any_literal(domain, rules.NOT_AN_EMPLOYER)
+    others = ", ".join(f"'{d}'" for d in rules.NOT_AN_EMPLOYER)
+    return F.expr(f"NOT exists(array({others}), d -> contains({domain}, d))")
 
 
 def title_case(label: Column) -> Column:

@@ -83,14 +83,6 @@ def fold_ascii_letters(text: Column) -> Column:
     return F.lower(F.replace(text, F.lit("\u017f"), F.lit("s")))
 
 
-def any_literal(text: Column, words: tuple[str, ...]) -> Column:
-    """:func:`contains_any` as one pattern, for long word lists over short texts.
-
-    Generated code stays small: a method beyond 8,000 bytes is never compiled by the JVM.
-    """
-    return text.rlike("|".join(w.replace(".", r"\.") for w in words))
-
-
 def first_group(text: Column, pattern: str) -> Column:
     """Group 1 of the first RE2 match, or ``''`` where nothing matches."""
     return F.regexp_extract(text, re2(pattern), 1)

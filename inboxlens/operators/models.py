@@ -99,7 +99,8 @@ def with_guesses(classified: DataFrame) -> DataFrame:
     subject, body = ("_subject", "_subject_lower"), ("_body", "_body_lower")
     signals = signals.withColumns(
         {
-            "ats_source_guess": mail.source_system(F.col("_domain")),
+            "ats_source_guess": mail.source_system("_domain"),
+            "_is_employer": mail.is_employer_domain("_domain"),
             "_company": F.when(
                 F.length("_display").between(low, high), F.col("_display")
             ).otherwise(nothing),
@@ -113,7 +114,7 @@ def with_guesses(classified: DataFrame) -> DataFrame:
     signals = _fill(signals, "_role", subject, *rules.ROLE_AT_SUBJECT)
     signals = _fill(signals, "_role", body, *rules.ROLE_APPLYING_BODY)
     employer = F.when(
-        (F.col("_company") == "") & mail.is_employer_domain(F.col("_domain")),
+        (F.col("_company") == "") & F.col("_is_employer"),
         mail.title_case(F.col("_label")),
     ).otherwise(F.col("_company"))
     return signals.withColumn("_company", employer).select(

@@ -42,7 +42,7 @@ def test_application_mart_is_one_shuffle(raw, plan_of):
 def test_each_pattern_runs_once(raw, plan_of):
     plan = plan_of(models.applications(classified(raw), as_of=mailbox.AS_OF))
     assert plan.count("regexp_extract(") == 9
-    assert plan.count("RLIKE(") == 7
+    assert plan.count("RLIKE(") == 6
 
 
 def test_scans_are_pruned_and_filtered(raw, plan_of):
