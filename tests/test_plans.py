@@ -62,3 +62,17 @@ def test_json_is_parsed_once(spark, plan_of):
 def test_latest_status_needs_no_sort_of_threads(raw, plan_of):
     plan = plan_of(models.latest_status(classified(raw)))
     assert "Window" not in plan and "partial_max" in plan
+
+
+def test_generated_methods_can_be_compiled(spark, raw):
+    """The JVM interprets methods beyond 8,000 bytes of bytecode for good."""
+    import re
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = models.applications(classified(raw), as_of=mailbox.AS_OF)
+        text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000
