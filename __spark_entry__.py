@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -20,6 +21,18 @@ from inboxlens.session import prepare, shared_folder  # noqa: E402
 from inboxlens.sources import landed_fixture, landing, mailbox, tables  # noqa: E402
 from inboxlens.streaming import mailstream  # noqa: E402
 
+try:
+    from inboxlens.llm import registry as llm_registry
+except ModuleNotFoundError as missing:
+    # The training-data operators may be absent; a broken import inside them still raises.
+    if missing.name not in ("inboxlens.llm", "corpus_pipeline"):
+        raise
+    llm_registry = None
+except ImportError:
+    if importlib.util.find_spec("inboxlens.llm.registry"):
+        raise
+    llm_registry = None
+
 AS_OF = mailbox.AS_OF
 FLOOR = dt.date(2024, 1, 1)
 ARRIVAL = (dt.datetime(2024, 1, 18, 7, 30), dt.datetime(2024, 2, 3, 5, 0))
@@ -295,9 +308,10 @@ def queries() -> dict[str, Query]:
         ),
         "dq_declared": lambda s, d: _check(_apps(s, d), *quality.APPLICATIONS),
     }
-    return {name: _portable(query) for name, query in registered.items()}
+    portable = {name: _portable(query) for name, query in registered.items()}
+    return portable | (llm_registry.queries() if llm_registry else {})
 
 
 def oracle_sql() -> dict[str, str]:
     """The same results, stated for DuckDB over the same tables."""
-    return oracle_queries.statements()
+    return oracle_queries.statements() | (llm_registry.oracle_sql() if llm_registry else {})
