@@ -32,6 +32,11 @@ def work_folder(spark: SparkSession) -> str:
     return f"{base}/llm-{uuid.uuid4().hex}"
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand whole texts to Python in batches of few rows, so that long ones fit in memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and go on from the files.
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from inboxlens.llm import exact_dedup, mixing
+from inboxlens.llm import exact_dedup, mixing, packing, resharding
 
-MODULES = (exact_dedup, mixing)
+MODULES = (mixing, exact_dedup, packing, resharding)
 
 
 def queries() -> dict:
