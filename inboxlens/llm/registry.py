@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from inboxlens.llm import exact_dedup, mixing, packing, resharding
+from inboxlens.llm import exact_dedup, mixing, packing, resharding, toxicity
 
-MODULES = (mixing, exact_dedup, packing, resharding)
+MODULES = (mixing, exact_dedup, packing, resharding, toxicity)
 
 
 def queries() -> dict:

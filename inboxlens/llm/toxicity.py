@@ -3,8 +3,8 @@
 Folding maps every character to one character, so places in the folded and the raw text agree:
 homoglyphs, accents and full-width forms to plain letters, digits and signs to the letters they
 stand for.  The lexicon, its weights and its exception phrases are counted from labelled rows;
-a match inside an exception phrase does not count.  Two features, the weight of all matches
-and the same per hundred words, give the score by logistic regression.
+a match inside an exception phrase does not count.  Two features, the weight of the different
+words matched and the same per hundred words, give the score by logistic regression.
 """
 
 from __future__ import annotations
@@ -38,6 +38,8 @@ EXCEPTIONS = ("trash can", "trash bin", "clown fish", "pond scum")
 #: Words kept in the lexicon, the best by evidence; a fixed bound on what reaches the driver.
 MAX_TERMS = 20_000
 MAX_EXCEPTIONS = 2_000
+#: Log-odds a word must have at least; odds of about 50 to 1.
+MIN_WEIGHT = 4.0
 #: Folds of crc32(id) whose labels are never learned from.
 FOLDS, HELD_OUT = 5, 0
 #: Distinct words a task counts before it hands its sums on.
@@ -207,7 +209,7 @@ def learn(
         counts.filter("length(word) >= 3 AND toxic > 0")
         .withColumn("evidence", _evidence(F.col("toxic"), F.col("clean"), all_toxic, all_clean))
         .withColumn("weight", weight)
-        .filter((F.col("weight") > 1.0) & (F.col("evidence") > math.log(2 * tested)))
+        .filter((F.col("weight") > MIN_WEIGHT) & (F.col("evidence") > math.log(2 * tested)))
         .orderBy(F.desc("evidence"), "word")
         .limit(MAX_TERMS)
         .select("word", "weight", "clean")
@@ -259,7 +261,10 @@ def _learn_exceptions(rows: DataFrame, lexicon: Lexicon, mixed: set[str]) -> fro
 
 
 def weigh(docs: DataFrame, lexicon: Lexicon, text_col: str, keep: list[str]) -> DataFrame:
-    """The kept columns with ``hits``, ``weight`` and ``n_words`` of each whole text."""
+    """The kept columns with ``hits``, ``weight`` and ``n_words`` of each whole text.
+
+    ``hits`` counts all matches; in ``weight`` a word counts once, however often it is repeated.
+    """
     hits, weight, n_words = (fresh(docs, c) for c in ("hits", "weight", "n_words"))
     short_batches(docs.sparkSession)
 
@@ -268,9 +273,9 @@ def weigh(docs: DataFrame, lexicon: Lexicon, text_col: str, keep: list[str]) ->
         for batch in batches:
             found, sums, sizes = [], [], []
             for text in batch.column(0).to_pylist():
-                each = [w for _, _, w in matches(automaton, text or "")]
+                each = [(fold(text[a:b]), w) for a, b, w in matches(automaton, text or "")]
                 found.append(len(each))
-                sums.append(math.fsum(each))
+                sums.append(math.fsum(sorted(dict(each).values())))
                 sizes.append((text or "").count(" ") + (text or "").count("\n") + 1)
             yield pa.RecordBatch.from_arrays(
                 [
