@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inboxlens.llm.common import fresh
+from inboxlens.llm.common import fresh, settle
 
 #: A Poisson variable with a large mean is a sum of parts with means of at most this size.
 PART_MEAN = 8
@@ -98,7 +98,8 @@ def replicate(
     """
     copy, copies, position = (fresh(docs, c) for c in ("copy", "copies", "position"))
     rate, at, parts, steps = (fresh(docs, c) for c in ("rate", "at_source", "parts", "steps"))
-    table = (
+    # written, so that its size is known before the join is planned and texts stay where they are
+    table = settle(
         rates(docs, weights, source_col=source_col, text_col=text_col)
         .select(F.col("source").alias(at), F.col("rate").alias(rate))
         .withColumn(parts, F.ceil(F.col(rate) / PART_MEAN).cast("int"))

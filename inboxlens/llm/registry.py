@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from inboxlens.llm import exact_dedup, mixing, packing, resharding, toxicity
+from inboxlens.llm import exact_dedup, mixing, near_dups, packing, resharding, toxicity
 
-MODULES = (mixing, exact_dedup, packing, resharding, toxicity)
+MODULES = (mixing, near_dups, exact_dedup, packing, resharding, toxicity)
 
 
 def queries() -> dict:
