@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from inboxlens.llm import chat, exact_dedup, licenses, mixing, near_dups, packing, resharding, toxicity
+from inboxlens.llm import chat, embedding_dups, exact_dedup, licenses, mixing, near_dups, packing, resharding, toxicity
 
-MODULES = (mixing, chat, licenses, near_dups, exact_dedup, packing, resharding, toxicity)
+MODULES = (mixing, embedding_dups, chat, licenses, near_dups, exact_dedup, packing, resharding, toxicity)
 
 
 def queries() -> dict:
