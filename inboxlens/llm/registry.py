@@ -2,13 +2,37 @@
 
 from __future__ import annotations
 
-from inboxlens.llm import chat, embedding_dups, exact_dedup, licenses, mixing, near_dups, packing, resharding, toxicity
+from inboxlens.llm import (
+    chat,
+    embedding_dups,
+    exact_dedup,
+    licenses,
+    lm_scoring,
+    mixing,
+    near_dups,
+    packing,
+    resharding,
+    toxicity,
+)
 
-MODULES = (mixing, embedding_dups, chat, licenses, near_dups, exact_dedup, packing, resharding, toxicity)
+MODULES = (
+    lm_scoring,
+    mixing,
+    embedding_dups,
+    chat,
+    licenses,
+    near_dups,
+    exact_dedup,
+    packing,
+    resharding,
+    toxicity,
+)
 
 
 def queries() -> dict:
-    return {m.QUERY: m.query for m in MODULES}
+    import corpus_pipeline
+
+    return {m.QUERY: m.query for m in MODULES} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -126,7 +126,9 @@ def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) ->
         F.col(id_col).alias("labelled"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )
-    return rows.join(told, "labelled").select("text", "toxic")
+    # sorted and merged at every size: the labels grow with the documents, so the plan is not to
+    # change where they outgrow a broadcast; written, as two passes read the labelled texts
+    return settle(rows.join(told.hint("merge"), "labelled").select("text", "toxic"))
 
 
 def held_out(ident: Column) -> Column:
