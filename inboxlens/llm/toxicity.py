@@ -371,6 +371,14 @@ def score(
     )
 
 
+def keep_clean(
+    docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The input's rows and columns without those predicted toxic."""
+    scored = score(docs, labels, id_col=id_col, text_col=text_col)
+    return scored.filter(F.col(fresh(docs, "predicted")) == 0).select(*docs.columns)
+
+
 QUERY = "op10_toxicity"
 SQL = None
 
