@@ -196,14 +196,38 @@ def scan(files: DataFrame, *, path_col: str = "path", text_col: str = "text",
         .agg(F.min(F.struct("up", "dir", "dir_license", "dir_similarity")).alias("near"))
         .select("place", "near.dir", "near.dir_license", "near.dir_similarity")
     )
-    found = keyed.join(own.withColumnRenamed("path", "own_path"), F.col(key) == F.col("own_path"), "left")
-    placed = found.withColumn("file_place", at).join(given, F.col("file_place") == F.col("place"), "left")
-    has = F.col("own_license").isNotNull()
+    # what is found travels under names that the input does not have
+    mine, near, place, own_path, at_place = (
+        fresh(keyed, c) for c in ("own_notice", "near", "at_place", "own_path", "place")
+    )
+    found = keyed.join(
+        own.select(
+            F.col("path").alias(own_path),
+            F.struct(
+                F.col("own_license").alias("license"), F.col("own_similarity").alias("similarity")
+            ).alias(mine),
+        ),
+        F.col(key) == F.col(own_path),
+        "left",
+    )
+    placed = found.withColumn(place, at).join(
+        given.select(
+            F.col("place").alias(at_place),
+            F.struct(
+                "dir",
+                F.col("dir_license").alias("license"),
+                F.col("dir_similarity").alias("similarity"),
+            ).alias(near),
+        ),
+        F.col(place) == F.col(at_place),
+        "left",
+    )
+    given_by = F.col(near)["license"].isNotNull() & F.col(mine).isNull()
     return placed.select(
         *(F.col(c) for c in files.columns),
-        F.coalesce("own_license", "dir_license").alias(license_),
-        F.coalesce("own_similarity", "dir_similarity").alias(similarity),
-        F.when(~has & F.col("dir_license").isNotNull(), F.col("dir")).alias(inherited),
+        F.coalesce(F.col(mine)["license"], F.col(near)["license"]).alias(license_),
+        F.coalesce(F.col(mine)["similarity"], F.col(near)["similarity"]).alias(similarity),
+        F.when(given_by, F.col(near)["dir"]).alias(inherited),
     )
 
 

@@ -331,7 +331,7 @@ def calibrate(weighed: DataFrame, labels: DataFrame, id_col: str) -> list[float]
         if np.abs(step).max() < 1e-8:
             break
     # without matches nothing speaks for toxicity, and more weight never speaks against it
-    return [float(beta[0]), max(0.0, float(beta[1])), max(0.0, float(beta[2]))]
+    return [min(-0.05, float(beta[0])), max(0.0, float(beta[1])), max(0.0, float(beta[2]))]
 
 
 def score(
