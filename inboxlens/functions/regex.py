@@ -9,10 +9,10 @@ construct  RE2                                    Java 17
 ``\\b``     boundary of ASCII word characters      accented letters are word characters
 ``$``      end of text                            also before a final newline
 ``\\s``     ``[\\t\\n\\f\\r ]``                        also vertical tab
+``(?i)``   also U+017F as s and U+212A as k       ASCII letters only
 =========  =====================================  ==================================
 
-:func:`re2` rewrites these so that a pattern means the same on both.  (Not rewritten:
-``(?i)`` folds U+017F and U+212A to ``s`` and ``k`` in RE2 only.)
+:func:`re2` rewrites these so that a pattern means the same on both.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _SPACES = r"\t\n\f\r "
+# Letters that fold to an ASCII letter under (?i).
+_FOLDS = {"s": "\u017f", "k": "\u212a"}
 
 
 def re2(pattern: str) -> str:
@@ -35,6 +37,7 @@ def re2(pattern: str) -> str:
     out: list[str] = []
     in_class = False
     opening = True
+    folded = pattern.startswith("(?i)")
     i = 0
     while i < len(pattern):
         token = pattern[i : i + 2] if pattern[i] == "\\" else pattern[i]
@@ -48,6 +51,13 @@ def re2(pattern: str) -> str:
             out.append(r"(?<![A-Za-z0-9_])" if opening else r"(?![A-Za-z0-9_])")
         elif token == "$" and not in_class:
             out.append(r"\z")
+        elif folded and token.lower() in _FOLDS:
+            more = token + _FOLDS[token.lower()]
+            out.append(more if in_class else f"[{more}]")
+        elif folded and in_class and pattern[i : i + 3] in ("A-Z", "a-z"):
+            out.append(pattern[i : i + 3] + "".join(_FOLDS.values()))
+            i += 3
+            continue
         else:
             out.append(token)
             in_class = (in_class or token == "[") and token != "]"

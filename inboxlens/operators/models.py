@@ -65,14 +65,17 @@ def email_mart(classified: DataFrame) -> DataFrame:
     return classified.select(*EMAIL_MART_COLUMNS)
 
 
-def with_guesses(classified: DataFrame) -> DataFrame:
+def with_guesses(classified: DataFrame, *, body_chars: int = 0) -> DataFrame:
     """Add ``company_guess``, ``role_guess`` and ``ats_source_guess`` to each mail.
 
+    Bodies are read whole; ``body_chars`` limits the search to their beginning.
+
     Candidates run in order of precedence, each as a column of its own, so that a pattern
     runs at most once per mail and only where nothing was found before.  Inside the chain
     ``''`` stands for nothing found.
     """
     nothing = F.lit("")
+    body = F.coalesce("plain_body", nothing)
     signals = classified.withColumns(
         {
             "_domain": first_group(F.col("sender"), rules.SENDER_DOMAIN),
@@ -80,9 +83,7 @@ def with_guesses(classified: DataFrame) -> DataFrame:
                 first_group(F.col("sender"), rules.SENDER_DISPLAY), nothing
             ),
             "_subject": F.coalesce("subject", nothing),
-            "_body": F.substring(
-                F.coalesce("plain_body", nothing), 1, rules.BODY_HEAD_CHARS
-            ),
+            "_body": F.substring(body, 1, body_chars) if body_chars else body,
         }
     ).withColumns(
         {
@@ -91,8 +92,8 @@ def with_guesses(classified: DataFrame) -> DataFrame:
                 F.regexp_replace("_display", _GENERIC_SUFFIX, nothing)
             ),
             "_label": first_group(F.col("_domain"), rules.DOMAIN_LABEL),
-            "_subject_lower": F.lower("_subject"),
-            "_body_lower": F.lower("_body"),
+            "_subject_lower": fold_ascii_letters(F.col("_subject")),
+            "_body_lower": fold_ascii_letters(F.col("_body")),
         }
     )
     low, high = rules.DISPLAY_LENGTH

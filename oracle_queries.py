@@ -93,7 +93,7 @@ signals AS (
          nullif(trim(regexp_replace(
            coalesce({_group('sender', rules.SENDER_DISPLAY)}, ''),
            {_text(rules.GENERIC_SUFFIX)}, ''), {_SPACES}), '') AS display,
-         substr(coalesce(plain_body, ''), 1, {rules.BODY_HEAD_CHARS}) AS body_head
+         coalesce(plain_body, '') AS body_head
   FROM classified WHERE thread_id IS NOT NULL),
 labelled AS (
   SELECT *, CASE WHEN NOT regexp_matches(domain, {_domains(rules.NOT_AN_EMPLOYER)})

@@ -7,9 +7,8 @@ import __spark_entry__ as entry
 from inboxlens.operators import models
 from inboxlens.sources import mailbox
 
-LAZY = [
-    n for n in entry.queries() if not n.startswith(("sync_", "stream_"))
-]
+LLM = set(entry.llm_registry.queries()) if entry.llm_registry else set()
+LAZY = [n for n in entry.queries() if n not in LLM and not n.startswith(("sync_", "stream_"))]
 
 
 @pytest.fixture(scope="module")
