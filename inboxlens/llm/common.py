@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,6 @@ from pyspark.sql import functions as F
 from inboxlens.session import shared_folder
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_own: dict[str, str] = {}
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -21,15 +21,13 @@ def work_folder(spark: SparkSession) -> str:
     The folder comes from ``spark.checkpoint.dir``.  Only a local session without that setting
     gets a folder of its own, removed when Python ends.
     """
-    if spark.conf.get("spark.checkpoint.dir", None):
-        base = shared_folder(spark)
-    else:
-        app = spark.sparkContext.applicationId
-        if app not in _own:
-            _own[app] = shared_folder(spark)
-            atexit.register(shutil.rmtree, _own[app], ignore_errors=True)
-        base = _own[app]
-    return f"{base}/llm-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    unset = not spark.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir()
+    if unset and context.master.startswith("local"):
+        own = tempfile.mkdtemp(prefix="inboxlens-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        context.setCheckpointDir(own)
+    return f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
 
 
 def short_batches(spark: SparkSession, rows: int = 1000) -> None:
