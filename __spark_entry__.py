@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import datetime as dt
 import importlib.util
+import shutil
 import sys
+import tempfile
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -15,8 +19,9 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import oracle_queries  # noqa: E402
 from inboxlens.functions import mail, rules  # noqa: E402
+from inboxlens.functions.clock import from_micros, instant  # noqa: E402
 from inboxlens.operators import dashboard, ingest, models, quality  # noqa: E402
-from inboxlens.plans import sync  # noqa: E402
+from inboxlens.plans import build, sync  # noqa: E402
 from inboxlens.session import prepare, shared_folder  # noqa: E402
 from inboxlens.sources import landed_fixture, landing, mailbox, tables  # noqa: E402
 from inboxlens.streaming import mailstream  # noqa: E402
@@ -34,8 +39,8 @@ except ImportError:
     llm_registry = None
 
 AS_OF = mailbox.AS_OF
+UTC = dt.timezone.utc
 FLOOR = dt.date(2024, 1, 1)
-ARRIVAL = (dt.datetime(2024, 1, 18, 7, 30), dt.datetime(2024, 2, 3, 5, 0))
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -68,11 +73,29 @@ def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mailbox.ledger_from_events(_table(spark, sf_dir, "events"))
 
 
+def _bounds(spark: SparkSession, sf_dir: str) -> tuple[dt.datetime, dt.datetime]:
+    """First second of the events, and the second after the last one."""
+    at = F.col("ts").cast("timestamp")
+    lo, hi = _table(spark, sf_dir, "events").agg(
+        F.unix_micros(F.min(at)), F.unix_micros(F.max(at))
+    ).first()
+    first, last = from_micros(lo), from_micros(hi)
+    return first.replace(microsecond=0), last.replace(microsecond=0) + dt.timedelta(seconds=1)
+
+
+def _arrival(spark: SparkSession, sf_dir: str) -> tuple[dt.datetime, dt.datetime]:
+    """Mail arrives from the day nine days before the last one."""
+    _, end = _bounds(spark, sf_dir)
+    start = end.replace(hour=0, minute=0, second=0) - dt.timedelta(days=9)
+    return start, end
+
+
 def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Mail that landed before and mail that arrives, two days of it twice."""
     everything = _mail(spark, sf_dir)
-    landed = everything.filter(F.col("received_at") < "2024-01-20")
-    return landed, everything.filter(F.col("received_at") >= "2024-01-18")
+    start, _ = _arrival(spark, sf_dir)
+    landed = everything.filter(F.col("received_at") < instant(start + dt.timedelta(days=2)))
+    return landed, everything.filter(F.col("received_at") >= instant(start))
 
 
 def _data_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,13 +107,14 @@ def _data_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _placed(spark: SparkSession, sf_dir: str, days: int = 1) -> DataFrame:
-    return ingest.assign_window(_mail(spark, sf_dir), *ARRIVAL, days=days)
+    return ingest.assign_window(_mail(spark, sf_dir), *_bounds(spark, sf_dir), days=days)
 
 
 def _window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed, arriving = _split(spark, sf_dir)
-    keys = ingest.assign_window(arriving.select("message_id", "received_at"), *ARRIVAL)
-    spans = ingest.windows(ingest.bounds(spark, *ARRIVAL))
+    limits = _arrival(spark, sf_dir)
+    keys = ingest.assign_window(arriving.select("message_id", "received_at"), *limits)
+    spans = ingest.windows(ingest.bounds(spark, *limits))
     return ingest.window_counts(spans, keys, ingest.new_rows(keys, landed))
 
 
@@ -106,8 +130,7 @@ def _first_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("message_id"),
         F.col("l_shipdate").cast("date").alias("received_at"),
     )
-    copies = lines.groupBy("message_id").agg(F.count(F.lit(1)).alias("copies"))
-    return ingest.first_copies(lines).join(copies, "message_id")
+    return ingest.first_copies(lines, count="copies")
 
 
 def _flat(raw: DataFrame, **options) -> DataFrame:
@@ -150,31 +173,137 @@ def _landing_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(raw).select("message_id", "plain_body", "html_body")
 
 
+def _folder(spark: SparkSession) -> str:
+    """A new folder in the shared one; a local session without any gets its own."""
+    context = prepare(spark).sparkContext
+    unset = not spark.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir()
+    if unset and context.master.startswith("local"):
+        own = tempfile.mkdtemp(prefix="inboxlens-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        context.setCheckpointDir(own)
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def _targets(base: str) -> sync.Targets:
+    return sync.Targets(f"{base}/messages", f"{base}/ledger", f"{base}/bad")
+
+
 def _land(spark: SparkSession, sf_dir: str) -> tuple[str, sync.Targets]:
     """Write the mail of the test tables as landed JSON, and name empty targets beside it."""
-    base = f"{shared_folder(prepare(spark))}/landed-{dt.datetime.now().timestamp():.6f}"
+    base = _folder(spark)
     landed_fixture.landed_from_mail(_mail(spark, sf_dir)).write.text(f"{base}/json")
-    return f"{base}/json", sync.Targets(f"{base}/messages", f"{base}/ledger", f"{base}/bad")
+    return f"{base}/json", _targets(base)
+
 
+def _days(spark: SparkSession, sf_dir: str) -> tuple[dt.date, dt.datetime, dt.datetime]:
+    """Floor of a sync, a ceiling in the middle, and one that covers all mail."""
+    lo, hi = _bounds(spark, sf_dir)
+    midnight = (lo + (hi - lo) / 2).replace(hour=0, minute=0, second=0, microsecond=0)
+    end = hi.replace(hour=0, minute=0, second=0) + dt.timedelta(days=1)
+    return lo.date(), midnight, end
 
-def _synced(spark: SparkSession, sf_dir: str) -> sync.Targets:
-    """Two incremental syncs, then a backfill that finds nothing new."""
+
+def _synced(spark: SparkSession, sf_dir: str, **options) -> sync.Targets:
+    """Two incremental syncs, the second of which finds the mail the first had to leave."""
     landed, targets = _land(spark, sf_dir)
-    for ceiling in (dt.datetime(2024, 1, 20), dt.datetime(2024, 2, 1)):
-        stop = ceiling.replace(tzinfo=dt.timezone.utc)
-        sync.run(spark, landed, targets, floor=FLOOR, ceiling=stop)
+    floor, middle, end = _days(spark, sf_dir)
+    for ceiling in (middle, end):
+        sync.run(spark, landed, targets, floor=floor, ceiling=ceiling, **options)
     return targets
 
 
-def _sync_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ledger = tables.read_ledger(spark, _synced(spark, sf_dir).ledger)
+def _ledger_rows(spark: SparkSession, targets: sync.Targets) -> DataFrame:
+    ledger = tables.read_ledger(spark, targets.ledger)
     return ledger.select("status", "sync_start", "sync_end", "fetched", "inserted")
 
 
+def _sync_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ledger_rows(spark, _synced(spark, sf_dir))
+
+
 def _sync_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed_mail(tables.read_messages(spark, _synced(spark, sf_dir).messages))
 
 
+def _sync_daily_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every day a commit of its own, from one parse of the landing area."""
+    return _ledger_rows(spark, _synced(spark, sf_dir, windows_per_commit=1))
+
+
+def _sync_late_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third mail lands after the watermark has passed its day."""
+    base = _folder(spark)
+    everything = landed_fixture.landed_from_mail(_mail(spark, sf_dir), "message_id")
+    floor, _, end = _days(spark, sf_dir)
+    for late in (False, True):
+        part = everything.filter((F.col("message_id").cast("bigint") % 3 == 0) == late)
+        part.select("value").write.mode("append").text(f"{base}/json")
+        sync.run(spark, f"{base}/json", _targets(base), floor=floor, ceiling=end)
+    return _landed_mail(tables.read_messages(spark, f"{base}/messages"))
+
+
+def _sync_again(full: bool) -> Query:
+    """The range once more, incrementally or from the start: nothing is inserted twice."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        landed, targets = _land(spark, sf_dir)
+        floor, _, end = _days(spark, sf_dir)
+        sync.run(spark, landed, targets, floor=floor, ceiling=end)
+        sync.run(spark, landed, targets, floor=floor, ceiling=end, full_backfill=full)
+        kept = tables.read_messages(spark, targets.messages).agg(F.count(F.lit(1)).alias("messages"))
+        done = _ledger_rows(spark, targets).groupBy("status").agg(
+            F.count(F.lit(1)).alias("windows"), F.sum("fetched").alias("fetched"),
+            F.sum("inserted").alias("inserted"),
+        )
+        return done.select("*", kept.scalar().alias("messages"))
+
+    return run
+
+
+def _sync_error_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that fails, recorded with zero counts, then one that resumes at the same place."""
+    landed, targets = _land(spark, sf_dir)
+    floor, middle, end = _days(spark, sf_dir)
+    sync.run(spark, landed, targets, floor=floor, ceiling=middle)
+    failing = lambda m: F.raise_error(F.lit("quota")).cast("boolean")
+    try:
+        sync.run(spark, landed, targets, floor=floor, ceiling=end, predicate=failing)
+    except Exception as failure:
+        if "quota" not in str(failure):
+            raise
+    sync.run(spark, landed, targets, floor=floor, ceiling=end)
+    ledger = tables.read_ledger(spark, targets.ledger)
+    return ledger.select(
+        "status", "sync_start", "sync_end", "fetched", "inserted",
+        F.col("error").contains("quota").alias("names_error"),
+        F.col("run_id").rlike("^[0-9a-f]{32}$").alias("has_run_id"),
+        (F.col("started_at") <= F.col("finished_at")).alias("in_order"),
+    )
+
+
+def _sync_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs that stop at a window over its cap, until one gets through."""
+    landed, targets = _land(spark, sf_dir)
+    floor, middle, _ = _days(spark, sf_dir)
+    first_day = dt.datetime.combine(floor, dt.time(), UTC) + dt.timedelta(days=1)
+    total = _mail(spark, sf_dir).filter(F.col("received_at") < instant(first_day)).count()
+    cap = max(1, total // 3)
+    ceiling = min(first_day, middle)
+    while sync.run(spark, landed, targets, floor=floor, ceiling=ceiling, cap=cap)["status"] == "capped":
+        pass
+    return _landed_mail(tables.read_messages(spark, targets.messages))
+
+
+def _ingested_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message carries the time of its run, not before it was received."""
+    messages = tables.read_messages(spark, _synced(spark, sf_dir).messages)
+    return messages.select(
+        "message_id",
+        (F.col("ingested_at") >= F.col("received_at")).alias("after_receipt"),
+        F.col("ingested_at").isNotNull().alias("is_set"),
+    )
+
+
 def _stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed, targets = _land(spark, sf_dir)
     mailstream.start(
@@ -183,6 +312,66 @@ def _stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed_mail(tables.read_messages(spark, targets.messages))
 
 
+def _landing_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns twelve MIME levels deep; the walk starts at four and goes on by itself."""
+    raw = landed_fixture.landed_from_turns(_table(spark, sf_dir, "conversations"), levels=12)
+    staged = landing.stage(raw, f"{_folder(spark)}/rows", ingested_at=AS_OF)
+    return landing.messages_of(staged).select("message_id", "plain_body")
+
+
+def _landing_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged landing lines by reason; every third of the documents' lines is damaged."""
+    raw = landed_fixture.damaged(_table(spark, sf_dir, "documents"))
+    staged = landing.stage(raw, f"{_folder(spark)}/rows", ingested_at=AS_OF, dated_only=True)
+    bad = landing.quarantine_of(staged)
+    return bad.groupBy("reason").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(F.col("payload_sha") == F.sha2("value", 256)).alias("kept_whole"),
+    )
+
+
+def _built(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, build.Marts]:
+    """The marts built from a stored message table, and the report of their checks."""
+    base = _folder(spark)
+    mails = _mail(spark, sf_dir).withColumns(
+        {c: F.lit(None).cast("string") for c in ("history_id", "recipient", "date", "html_body")}
+    )
+    tables.append_messages(mails, f"{base}/messages")
+    marts = build.Marts(*(f"{base}/{n}" for n in ("emails", "applications", "meta")))
+    return build.build(spark, f"{base}/messages", marts, as_of=AS_OF, check=False), marts
+
+
+def _build_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.read_email_mart(spark, _built(spark, sf_dir)[1].emails).drop("received_date")
+
+
+def _build_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marts = _built(spark, sf_dir)[1]
+    return tables.read_applications(spark, marts.applications).drop("latest_status_date")
+
+
+def _build_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.read_meta(spark, _built(spark, sf_dir)[1].meta)
+
+
+def _build_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _built(spark, sf_dir)[0].groupBy("status").agg(F.count(F.lit(1)).alias("checks"))
+
+
+def _text_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mailbox.mail_from_documents(_table(spark, sf_dir, "documents"))
+
+
+def _text_guesses(spark: SparkSession, sf_dir: str, body_chars: int = 0) -> DataFrame:
+    found = models.classify(models.find_job_mail(models.staging(_text_mail(spark, sf_dir))))
+    return models.with_guesses(found, body_chars=body_chars)
+
+
+def _turn_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mails = mailbox.mail_from_turns(_table(spark, sf_dir, "conversations"))
+    return models.classify(models.find_job_mail(models.staging(mails)))
+
+
 def _check(df: DataFrame, *rules_: quality.Rule, as_of: dt.datetime = AS_OF) -> DataFrame:
     return quality.check(df, rules_, as_of=as_of)
 
@@ -277,7 +466,35 @@ def queries() -> dict[str, Query]:
         "sync_ledger": _sync_ledger,
         "sync_messages": _sync_messages,
         "stream_messages": _stream_messages,
+        "sync_daily_commits": _sync_daily_commits,
+        "sync_late_mail": _sync_late_mail,
+        "sync_backfill": _sync_again(full=True),
+        "sync_rerun": _sync_again(full=False),
+        "sync_error_ledger": _sync_error_ledger,
+        "sync_capped": _sync_capped,
+        "sync_ingested_at": _ingested_at,
+        # build
+        "build_emails": _build_emails,
+        "build_applications": _build_applications,
+        "build_meta": _build_meta,
+        "build_report": _build_report,
+        # whole texts through the models
+        "documents_classified": lambda s, d: _text_guesses(s, d).select(
+            "message_id", "job_pipeline_category"
+        ),
+        "documents_company": lambda s, d: _text_guesses(s, d).select(
+            "message_id", "company_guess", "ats_source_guess"
+        ),
+        "documents_company_head": lambda s, d: _text_guesses(
+            s, d, rules.BODY_HEAD_CHARS
+        ).select("message_id", "company_guess"),
+        "documents_role": lambda s, d: _text_guesses(s, d).select("message_id", "role_guess"),
+        "conversations_classified": lambda s, d: _turn_mail(s, d).select(
+            "message_id", "job_pipeline_category"
+        ),
         # landed JSON
+        "landing_deep": _landing_deep,
+        "landing_quarantine": _landing_quarantine,
         "landing_roundtrip": lambda s, d: _landed_mail(
             _flat(landed_fixture.landed_from_mail(_mail(s, d)))
         ),

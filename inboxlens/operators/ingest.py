@@ -41,6 +41,11 @@ def in_range(at: Column, lo: dt.datetime | Column, hi: dt.datetime | Column) ->
     return (at >= floor_second(instant(lo))) & (at < floor_second(instant(hi)))
 
 
+def before(at: Column, end: dt.datetime | Column) -> Column:
+    """Earlier than ``end`` floored to the second; true where there is no date."""
+    return F.coalesce(at < floor_second(instant(end)), F.lit(True))
+
+
 def assign_window(
     messages: DataFrame, lo: dt.datetime | Column, hi: dt.datetime | Column, *, days: int = 1
 ) -> DataFrame:
@@ -61,9 +66,13 @@ def assign_window(
     )
 
 
-def first_copies(batch: DataFrame, *, key: str = "message_id") -> DataFrame:
+def first_copies(
+    batch: DataFrame, *, key: str = "message_id", count: str | None = None
+) -> DataFrame:
     """One row per key, the smallest by receipt and then by every other column.
 
+    ``count`` names a column for the number of copies.
+
     The minimum combines map-side, so a key that fills a third of the batch reaches its
     reducer as one row per map task.  Rows without a key are not messages and are left out.
     """
@@ -72,10 +81,11 @@ def first_copies(batch: DataFrame, *, key: str = "message_id") -> DataFrame:
     kept = (
         batch.filter(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.min(F.struct(*rest)).alias("_row"))
+        .agg(F.min(F.struct(*rest)).alias("_row"), F.count(F.lit(1)).alias("_copies"))
     )
     return kept.select(
-        *(F.col(c) if c == key else F.col(f"_row.{c}").alias(c) for c in batch.columns)
+        *(F.col(c) if c == key else F.col(f"_row.{c}").alias(c) for c in batch.columns),
+        *([F.col("_copies").alias(count)] if count else []),
     )
 
 
@@ -88,6 +98,24 @@ def new_rows(batch: DataFrame, landed: DataFrame, *, key: str = "message_id") ->
     return first_copies(batch, key=key).join(landed.select(key).distinct(), key, "left_anti")
 
 
+def decide(narrow: DataFrame, landed: DataFrame) -> DataFrame:
+    """Which staged rows are new: ``(row_id, message_id, received_at, is_new)``.
+
+    ``narrow(row_id, message_id, received_at, digest)`` stands for the rows, so that no body is
+    sorted or sent.  Of the copies of a message the first by receipt stays (then by digest, then
+    by row), if its id is not among the landed ones.
+    """
+    first = (
+        narrow.groupBy("message_id")
+        .agg(F.min(F.struct("received_at", "digest", "row_id")).alias("first"))
+        .join(landed.select("message_id").distinct(), "message_id", "left_anti")
+        .select(F.col("first.row_id").alias("row_id"), F.lit(True).alias("is_new"))
+    )
+    return narrow.join(first, "row_id", "left").select(
+        "row_id", "message_id", "received_at", F.coalesce("is_new", F.lit(False)).alias("is_new")
+    )
+
+
 def window_counts(spans: DataFrame, fetched: DataFrame, fresh: DataFrame) -> DataFrame:
     """``fetched`` and ``inserted`` per window, zero for windows without mail.
 
@@ -109,36 +137,60 @@ def window_counts(spans: DataFrame, fetched: DataFrame, fresh: DataFrame) -> Dat
 def capped(assigned: DataFrame, cap: int) -> DataFrame:
     """The first ``cap`` messages of each window by receipt and id; 0 keeps all.
 
-    A histogram by second finds the second in which a window reaches its cap.  Everything
-    before is kept as it stands and only mail of that second is ranked, so a full window is
-    never sorted in one task.  The histogram has at most one row per second, and the cuts
-    one per window, whatever the volume of mail.
+    Mail is counted by hour, the hour in which a window reaches its cap by second, and only
+    mail of the second found there is ranked, so a full window is never sorted in one task.
+    Every step keeps one row a window of what the step before has found.
     """
     if cap <= 0:
         return assigned
-    timed = assigned.withColumn("_second", floor_second(F.col("received_at")))
-    so_far = F.sum("n").over(Window.partitionBy(*_WINDOW).orderBy("_second"))
-    cuts = (
-        timed.groupBy(*_WINDOW, "_second")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_before", so_far - F.col("n"))
-        .filter(F.col("_before") < cap)
-        .groupBy(*_WINDOW)
-        .agg(F.max(F.struct("_second", "_before")).alias("_cut"))
+    timed = assigned.withColumns(
+        {
+            "_hour": F.date_trunc("hour", "received_at"),
+            "_second": floor_second(F.col("received_at")),
+        }
+    )
+    hours = _cut(timed.select(*_WINDOW, "_hour", F.lit(0).cast("bigint").alias("_base")), "_hour", cap)
+    in_hour = timed.join(hours, list(_WINDOW))
+    edge_hour = in_hour.filter(F.col("_hour") == F.col("_at"))
+    seconds = _cut(
+        edge_hour.select(*_WINDOW, "_second", F.col("_before").alias("_base")), "_second", cap
+    )
+    edge_second = (
+        edge_hour.drop("_at", "_before")
+        .join(seconds, list(_WINDOW))
+        .filter(F.col("_second") <= F.col("_at"))
     )
-    placed = timed.join(F.broadcast(cuts), list(_WINDOW))
-    sure = placed.filter(F.col("_second") < F.col("_cut._second"))
     rank = F.row_number().over(
         Window.partitionBy(*_WINDOW).orderBy("received_at", "message_id")
     )
-    edge = (
-        placed.filter(F.col("_second") == F.col("_cut._second"))
+    sure = in_hour.filter(F.col("_hour") < F.col("_at"))
+    sooner = edge_second.filter(F.col("_second") < F.col("_at"))
+    ranked = (
+        edge_second.filter(F.col("_second") == F.col("_at"))
         .withColumn("_rank", rank)
-        .filter(F.col("_rank") <= cap)
-        .filter(F.col("_rank") + F.col("_cut._before") <= cap)
-        .drop("_rank")
+        .filter(F.col("_rank") + F.col("_before") <= cap)
+    )
+    columns = assigned.columns
+    return (
+        sure.select(columns).unionByName(sooner.select(columns)).unionByName(ranked.select(columns))
+    )
+
+
+def _cut(timed: DataFrame, unit: str, cap: int) -> DataFrame:
+    """The unit of time in which each window reaches the cap, and the mail before it.
+
+    ``_base`` is what a window holds before the units counted here.
+    """
+    so_far = F.sum("n").over(Window.partitionBy(*_WINDOW).orderBy(unit))
+    return (
+        timed.groupBy(*_WINDOW, unit)
+        .agg(F.count(F.lit(1)).alias("n"), F.first("_base").alias("_base"))
+        .withColumn("_before", F.col("_base") + so_far - F.col("n"))
+        .filter(F.col("_before") < cap)
+        .groupBy(*_WINDOW)
+        .agg(F.max(F.struct(F.col(unit).alias("_at"), "_before")).alias("_cut"))
+        .select(*_WINDOW, "_cut._at", "_cut._before")
     )
-    return sure.unionByName(edge).drop("_second", "_cut")
 
 
 def watermark_frame(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,56 +36,47 @@ def build(
 
     Mail is detected and classified once: the application mart starts from the written
     email mart, which is smaller than the message table and already carries the category.
-    With ``check`` a failed check raises after the report is complete.
+    Staging is checked before the first write, and marts are written beside the published ones,
+    which are replaced when all checks have passed: with ``check`` a failed one raises and leaves
+    the published marts as they were.
     """
     prepare(spark)
     as_of = as_of or dt.datetime.now(dt.timezone.utc)
-    messages = spark.read.parquet(messages_path)
-    staged = models.staging(messages)
-    classified = models.classify(models.find_job_mail(staged))
-    tables.write_email_mart(models.email_mart(classified), marts.emails)
-
-    emails = spark.read.parquet(marts.emails)
-    apps = models.applications(emails, as_of=as_of, no_response_days=no_response_days)
-    tables.write_applications(apps, marts.applications)
-
-    written = spark.read.parquet(marts.applications)
-    tables.write_meta(models.meta(staged, written, as_of=as_of), marts.meta)
+    made = Marts(*(f"{p.rstrip('/')}__next" for p in (marts.emails, marts.applications, marts.meta)))
+    reports: list[DataFrame] = []
 
-    report = audit(spark, messages_path, marts, as_of=as_of)
-    if check:
-        quality.gate(report)
-    return report
+    def passed(table: str, df: DataFrame, rules_: tuple) -> None:
+        report = quality.check(df, rules_, as_of=as_of, table=table)
+        reports.append(spark.createDataFrame(report.collect(), report.schema))
+        if check:
+            quality.gate(reports[-1])
 
-
-def audit(
-    spark: SparkSession, messages_path: str, marts: Marts, *, as_of: dt.datetime
-) -> DataFrame:
-    """Report of the checks declared on staging and on the marts."""
-    staged = models.staging(spark.read.parquet(messages_path))
-    emails = spark.read.parquet(marts.emails)
-    apps = spark.read.parquet(marts.applications)
-    links = (quality.References("thread_id", apps, "application_id"),)
-    reports = [
-        quality.check(staged, quality.STAGING, as_of=as_of, table="staging"),
-        quality.check(emails, quality.EMAIL_MART + links, as_of=as_of, table="emails"),
-        quality.check(apps, quality.APPLICATIONS, as_of=as_of, table="applications"),
-        quality.check(
-            spark.read.parquet(marts.meta), quality.META, as_of=as_of, table="meta"
-        ),
-    ]
-    report = reports[0]
-    for other in reports[1:]:
-        report = report.unionByName(other)
-    return report
+    staged = models.staging(tables.read_messages_or_empty(spark, messages_path))
+    passed("staging", staged, quality.STAGING)
+    classified = models.classify(models.find_job_mail(staged))
+    tables.write_email_mart(models.email_mart(classified), made.emails)
+    emails = tables.read_email_mart(spark, made.emails)
+    apps = models.applications(emails, as_of=as_of, no_response_days=no_response_days)
+    tables.write_applications(apps, made.applications)
+    written = tables.read_applications(spark, made.applications)
+    links = (quality.References("thread_id", written, "application_id"),)
+    passed("emails", emails, quality.EMAIL_MART + links)
+    passed("applications", written, quality.APPLICATIONS)
+    tables.write_meta(models.meta(staged, written, as_of=as_of), made.meta)
+    passed("meta", tables.read_meta(spark, made.meta), quality.META)
+    for new, old in (
+        (made.emails, marts.emails), (made.applications, marts.applications), (made.meta, marts.meta)
+    ):
+        tables.publish(spark, new, old)
+    return reduce(DataFrame.unionByName, reports)
 
 
 def audit_sources(
     spark: SparkSession, messages_path: str, ledger_path: str, *, as_of: dt.datetime
 ) -> DataFrame:
     """Report of the checks declared on the message table and the run ledger."""
-    messages = spark.read.parquet(messages_path)
-    ledger = spark.read.parquet(ledger_path)
+    messages = tables.read_messages_or_empty(spark, messages_path)
+    ledger = tables.read_ledger(spark, ledger_path)
     return quality.check(
         messages, quality.RAW_MESSAGES, as_of=as_of, table="messages"
     ).unionByName(quality.check(ledger, quality.RUN_LEDGER, as_of=as_of, table="ledger"))
@@ -92,9 +84,9 @@ def audit_sources(
 
 def read_marts(spark: SparkSession, marts: Marts) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Email mart, application mart and meta, as temporary views too."""
-    emails = spark.read.parquet(marts.emails)
-    apps = spark.read.parquet(marts.applications)
-    meta = spark.read.parquet(marts.meta)
+    emails = tables.read_email_mart(spark, marts.emails)
+    apps = tables.read_applications(spark, marts.applications)
+    meta = tables.read_meta(spark, marts.meta)
     emails.createOrReplaceTempView("emails")
     apps.createOrReplaceTempView("applications")
     meta.createOrReplaceTempView("dashboard_meta")

@@ -1,17 +1,19 @@
 """Incremental sync of landed messages into the message table.
 
-Protocol, per commit group of windows and oldest first:
-
-1. the landed JSON is read once and written, flattened, to the shared folder;
-2. per-window counts are computed from it, on ids and dates only;
-3. new rows are appended to the message table;
-4. one ``ok`` row per window is appended to the ledger, which moves the watermark.
-
-A crash before step 4 leaves the watermark where it was; before any window is done, a note
-beside the ledger holds the place.  The retry reads the same range
-again and the anti-join drops what already landed, so nothing is lost or doubled.  (This is
-why the append must never become a partition overwrite.)  One run at a time may write to a
-message table.
+Protocol:
+
+1. landing files not read before are parsed once and written, flattened, to the shared folder
+   by day of receipt;
+2. per commit group of windows, oldest first: a decision on ids says which rows are new, counts
+   follow from it, new rows are appended to the message table, and one ``ok`` row per window is
+   appended to the ledger, which moves the watermark;
+3. mail that landed late, received before the watermark, goes first, with a ledger row for each
+   day that has any;
+4. files whose mail is all committed are noted as read.
+
+A crash leaves the files unread and the watermark at the last finished group.  The retry reads the
+files again and drops what already landed, so nothing is lost or doubled.  (This is why the append must never become a
+partition overwrite.)  One run at a time may write to a message table.
 """
 
 from __future__ import annotations
@@ -24,19 +26,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from inboxlens.functions.clock import from_micros, instant
 from inboxlens.operators import ingest
-from inboxlens.schemas import MESSAGES, MIME_DEPTH
 from inboxlens.session import prepare, shared_folder
 from inboxlens.sources import landing, tables
 
 LOG = logging.getLogger(__name__)
-LISTING_SLACK = dt.timedelta(days=1)
 
-STAGED = T.StructType(
-    [*MESSAGES.fields, T.StructField("reason", T.StringType()), T.StructField("value", T.StringType())]
+
+_DECIDED = (
+    "row_id bigint, message_id string, received_at timestamp, is_new boolean, "
+    "sync_start timestamp, sync_end timestamp"
 )
 
 
@@ -72,15 +73,16 @@ def run(
     full_backfill: bool = False,
     windows_per_commit: int | None = None,
     max_body_chars: int = landing.MAX_BODY_CHARS,
-    depth: int = MIME_DEPTH,
-    prune_files: bool = True,
-    full_scan_dedup: bool = False,
+    depth: int = landing.FIRST_DEPTH,
+    dedup_by_date: bool = False,
 ) -> dict:
     """Bring the message table up to ``ceiling`` (default: now) and return a summary.
 
-    ``windows_per_commit`` trades crash granularity for scans of the landing area: None
-    commits all windows in one group.  ``cap`` bounds the new messages of a window; a window
-    that has more is filled up to the cap, is not recorded as done, and ends the run.
+    ``windows_per_commit`` sets how much a crash can undo: None commits all windows in one
+    group; the landing area is parsed once either way.  ``cap`` bounds the new messages of a window; a window
+    that has more is filled up to the cap, is not recorded as done, and ends the run.  Copies are
+    looked for among all landed ids; ``dedup_by_date`` reads those of the same days only, which is
+    right where a copy never changes its date.
     """
     prepare(spark)
     now = dt.datetime.now(dt.timezone.utc).replace(microsecond=0)
@@ -88,51 +90,49 @@ def run(
     lo = _start(spark, targets, floor, full_backfill)
     run_id = uuid.uuid4().hex
     scratch = f"{shared_folder(spark)}/sync-{run_id}"
-    spans = ingest.windows(ingest.bounds(spark, lo, hi), days=days)
     fetched = inserted = completed = 0
     status = "ok"
+    start, end, started_at = lo, hi, dt.datetime.now(dt.timezone.utc)
     try:
-        for number, (start, end) in enumerate(ingest.window_edges(spans, windows_per_commit)):
+        files = _unread(spark, landing_path, targets, full_backfill)
+        staged = landing.stage(
+            landing.read(spark, *files),
+            f"{scratch}/rows",
+            ingested_at=started_at,
+            max_body_chars=max_body_chars,
+            depth=depth,
+            predicate=predicate,
+            dated_only=True,
+        )
+        append_quarantine(staged, targets)
+        for number, (start, end, spans) in enumerate(
+            _groups(spark, staged, lo, hi, days, windows_per_commit)
+        ):
             started_at = dt.datetime.now(dt.timezone.utc)
-            try:
-                staged = stage(
-                    landing.parse(
-                        landing.read(
-                            spark,
-                            landing_path,
-                            changed_since=start - LISTING_SLACK if prune_files else None,
-                        ),
-                        ingested_at=started_at,
-                        max_body_chars=max_body_chars,
-                        depth=depth,
-                        keep=ingest.in_range(F.col("received_at"), start, end),
-                        predicate=predicate,
-                        dated_only=True,
-                    ),
-                    f"{scratch}/{number}",
-                )
-                done = commit(
-                    staged,
-                    ingest.windows(ingest.bounds(spark, start, end), days=days),
-                    start,
-                    end,
-                    targets,
-                    scratch=f"{scratch}/{number}",
-                    run_id=run_id,
-                    started_at=started_at,
-                    days=days,
-                    cap=cap,
-                    full_scan_dedup=full_scan_dedup,
-                )
-            except Exception as failure:
-                _record_failure(spark, targets, run_id, started_at, start, end, failure)
-                raise
+            done = commit(
+                staged,
+                spans,
+                start,
+                end,
+                targets,
+                scratch=f"{scratch}/{number}",
+                run_id=run_id,
+                started_at=started_at,
+                days=days,
+                cap=cap,
+                dedup_by_date=dedup_by_date,
+            )
             fetched += done.fetched
             inserted += done.inserted
             completed += done.windows
             if done.stopped_at is not None:
                 status = "capped"
                 break
+        if status == "ok":
+            _note_read(spark, staged, files, hi, targets)
+    except Exception as failure:
+        _record_failure(spark, targets, run_id, started_at, start, end, failure)
+        raise
     finally:
         tables.drop_folder(spark, scratch)
     return {
@@ -146,14 +146,56 @@ def run(
     }
 
 
-def stage(rows: DataFrame, scratch: str) -> DataFrame:
-    """Write parsed rows to the shared folder and read them back.
+def _unread(
+    spark: SparkSession, landing_path: str, targets: Targets, full_backfill: bool
+) -> list[str]:
+    """Landing files to read: all of them, or those not noted as read.  Names only."""
+    listed = spark.read.text(landing_path).inputFiles()
+    if full_backfill or not listed:
+        return listed
+    names = spark.createDataFrame([(f,) for f in listed], "file string")
+    unread = names.join(tables.read_files(spark, targets.ledger), "file", "left_anti")
+    return [r["file"] for r in unread.collect()]
 
-    Counting, de-duplication and the quarantine all start from this table, so the JSON is
-    parsed once, and losing an executor later on costs a re-read of columns.
-    """
-    rows.write.mode("overwrite").parquet(f"{scratch}/rows")
-    return rows.sparkSession.read.schema(STAGED).parquet(f"{scratch}/rows")
+
+def _note_read(
+    spark: SparkSession, staged: DataFrame, files: list[str], hi: dt.datetime, targets: Targets
+) -> None:
+    """Files count as read when none of their mail lies at or beyond the end of the run."""
+    if not files:
+        return
+    waiting = staged.filter(~ingest.before(F.col("received_at"), hi)).select("file").distinct()
+    names = spark.createDataFrame([(f,) for f in files], "file string")
+    known = tables.read_files(spark, targets.ledger)
+    tables.append_files(
+        names.join(waiting, "file", "left_anti").join(known, "file", "left_anti"), targets.ledger
+    )
+
+
+def _groups(
+    spark: SparkSession,
+    staged: DataFrame,
+    lo: dt.datetime,
+    hi: dt.datetime,
+    days: int,
+    per_commit: int | None,
+) -> list[tuple[dt.datetime, dt.datetime, DataFrame]]:
+    """Commit groups with their windows: late mail first, then the new windows in order."""
+    groups = []
+    late = landing.messages_of(staged).filter(ingest.before(F.col("received_at"), lo))
+    oldest = late.agg(F.min(F.unix_micros("received_at"))).first()[0]
+    if oldest is not None:
+        first = from_micros(oldest).replace(hour=0, minute=0, second=0, microsecond=0)
+        spans = (
+            ingest.assign_window(late.select("received_at"), first, lo, days=days)
+            .select("sync_start", "sync_end")
+            .distinct()
+        )
+        groups.append((first, lo, spans))
+    new = ingest.windows(ingest.bounds(spark, lo, hi), days=days)
+    for start, end in ingest.window_edges(new, per_commit):
+        groups.append((start, end, ingest.windows(ingest.bounds(spark, start, end), days=days)))
+    return groups
 
 
 def commit(
@@ -168,34 +210,47 @@ def commit(
     started_at: dt.datetime,
     days: int = 1,
     cap: int = 0,
-    full_scan_dedup: bool = False,
+    dedup_by_date: bool = False,
 ) -> Outcome:
-    """Append the new rows of a staged batch, then its ledger rows."""
-    spark = staged.sparkSession
-    _append_quarantine(staged, targets)
+    """Append the new rows of the staged days in ``[lo, hi)``, then their ledger rows.
 
-    dates = (None, None) if full_scan_dedup else (lo.date(), hi.date())
+    One decision on ids serves the counts and the append; bodies only meet the ids of the rows
+    that are turned away.
+    """
+    spark = staged.sparkSession
+    dates = (lo.date(), hi.date()) if dedup_by_date else (None, None)
     landed = tables.landed_ids(spark, targets.messages, *dates)
-    messages = landing.messages_of(staged)
-    placed = ingest.assign_window(
-        messages.select("message_id", "received_at"), lo, hi, days=days
+    of_group = staged.filter(
+        F.col("received_date").between(F.lit(lo.date()), F.lit(hi.date()))
+        & ingest.in_range(F.col("received_at"), lo, hi)
+        & F.col("reason").isNull()
     )
-    ingest.window_counts(spans, placed, ingest.new_rows(placed, landed)).write.mode(
-        "overwrite"
-    ).parquet(f"{scratch}/counts")
+    decisions = ingest.decide(
+        of_group.select("row_id", "message_id", "received_at", "digest"), landed
+    )
+    placed = ingest.assign_window(decisions, lo, hi, days=days)
+    placed.write.mode("overwrite").parquet(f"{scratch}/decisions")
+    decided = spark.read.schema(_DECIDED).parquet(f"{scratch}/decisions")
+    counts = ingest.window_counts(spans, decided, decided.filter("is_new"))
+    counts.write.mode("overwrite").parquet(f"{scratch}/counts")
     counts = spark.read.schema(
         "sync_start timestamp, sync_end timestamp, fetched bigint, inserted bigint"
     ).parquet(f"{scratch}/counts")
 
-    fresh = ingest.new_rows(messages, landed)
+    refused = decided.filter("NOT is_new").select("row_id")
     stop = _first_over_cap(counts, cap)
-    done = counts
+    done, extra = counts, (0, 0)
     if stop is not None:
         done = counts.filter(F.col("sync_start") < instant(stop))
-        fresh = ingest.capped(ingest.assign_window(fresh, lo, hi, days=days), cap).filter(
+        taken = ingest.capped(decided.filter("is_new"), cap).filter(
             F.col("sync_start") <= instant(stop)
-        ).drop("sync_start", "sync_end")
-    tables.append_messages(fresh, targets.messages)
+        )
+        refused = decided.join(taken.select("row_id"), "row_id", "left_anti").select("row_id")
+        refused.write.mode("overwrite").parquet(f"{scratch}/refused")
+        refused = spark.read.schema("row_id bigint").parquet(f"{scratch}/refused")
+        full = counts.filter(F.col("sync_start") == instant(stop)).first()
+        extra = (full["fetched"], cap)
+    tables.append_messages(of_group.join(refused, "row_id", "left_anti"), targets.messages)
 
     tables.append_ledger(_ok_rows(done, run_id, started_at), targets.ledger)
     total = done.agg(
@@ -203,8 +258,7 @@ def commit(
         F.coalesce(F.sum("inserted"), F.lit(0)),
         F.count(F.lit(1)),
     ).first()
-    extra = 0 if stop is None else cap
-    return Outcome(total[0] + extra, total[1] + extra, total[2], stop)
+    return Outcome(total[0] + extra[0], total[1] + extra[1], total[2], stop)
 
 
 def _start(
@@ -242,7 +296,7 @@ def _first_over_cap(counts: DataFrame, cap: int) -> dt.datetime | None:
     return None if first is None else from_micros(first)
 
 
-def _append_quarantine(staged: DataFrame, targets: Targets) -> None:
+def append_quarantine(staged: DataFrame, targets: Targets) -> None:
     """Keep each bad line once, however often its file is read."""
     bad = landing.quarantine_of(staged)
     if bad.isEmpty():

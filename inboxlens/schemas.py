@@ -90,6 +90,43 @@ APPLICATION_COLUMNS = (
     "days_in_pipeline",
 )
 
+EMAIL_MART = T.StructType(
+    [
+        T.StructField(
+            name, T.TimestampType() if name == "received_at" else T.StringType()
+        )
+        for name in EMAIL_MART_COLUMNS
+    ]
+)
+
+_APPLICATION_TYPES = {
+    "applied_at": T.TimestampType(),
+    "first_email_at": T.TimestampType(),
+    "last_email_at": T.TimestampType(),
+    "email_count": T.LongType(),
+    "latest_status_at": T.TimestampType(),
+    "has_interview": T.BooleanType(),
+    "has_offer": T.BooleanType(),
+    "has_rejection": T.BooleanType(),
+    "has_recruiter_outreach": T.BooleanType(),
+    "is_no_response": T.BooleanType(),
+    "days_in_pipeline": T.LongType(),
+}
+APPLICATIONS = T.StructType(
+    [
+        T.StructField(name, _APPLICATION_TYPES.get(name, T.StringType()))
+        for name in APPLICATION_COLUMNS
+    ]
+)
+
+META = T.StructType(
+    [
+        T.StructField("mart_built_at", T.TimestampType()),
+        T.StructField("data_through", T.TimestampType()),
+        T.StructField("application_count", T.LongType()),
+    ]
+)
+
 # --- landed message JSON ---------------------------------------------------
 
 MIME_DEPTH = 8

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -19,15 +17,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach, as the cluster or the caller names it.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only where it is unset *and*
-    the session is local does a temporary folder stand in: on a cluster a driver-side
-    temporary folder is not visible to the executors, so that is refused.
+    ``spark.checkpoint.dir`` is read from the session; where it is unset, the checkpoint folder
+    given to the context counts.  Without either the job is refused: a folder of the driver's own
+    machine is not visible to the executors.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="inboxlens-")
+    return folder.rstrip("/")

@@ -11,26 +11,38 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from inboxlens.functions import mime
 from inboxlens.functions.clock import instant
 from inboxlens.schemas import MESSAGES, MIME_DEPTH, landed_message
 
-MAX_BODY_CHARS = 512_000
+#: Bodies are kept whole; a positive number cuts them to as many characters.
+MAX_BODY_CHARS = 0
+#: MIME levels walked at first, and the deepest walk that Spark's SQL parser takes.
+FIRST_DEPTH, LAST_DEPTH = 4, 32
 INBOX = "INBOX"
+TOO_DEEP = "mime too deep"
 
+STAGED = T.StructType(
+    [
+        *MESSAGES.fields,
+        T.StructField("reason", T.StringType()),
+        T.StructField("value", T.StringType()),
+        T.StructField("file", T.StringType()),
+        T.StructField("digest", T.LongType()),
+        T.StructField("row_id", T.LongType()),
+        T.StructField("round", T.IntegerType()),
+        T.StructField("received_date", T.DateType()),
+    ]
+)
 
-def read(spark: SparkSession, path: str, *, changed_since: dt.datetime | None = None) -> DataFrame:
-    """Landed lines as a ``value`` column.
 
-    ``changed_since`` skips files last written before that instant.  A message lands after
-    it was received, so a sync from a watermark need not open older files.
-    """
-    reader = spark.read
-    if changed_since is not None:
-        stamp = changed_since.strftime("%Y-%m-%dT%H:%M:%S")
-        reader = reader.option("modifiedAfter", stamp).option("timeZone", "UTC")
-    return reader.text(path)
+def read(spark: SparkSession, *paths: str) -> DataFrame:
+    """Landed lines as a ``value`` column, with the ``file`` each comes from."""
+    if not paths:
+        return spark.createDataFrame([], "value string, file string")
+    return spark.read.text(list(paths)).select("value", F.input_file_name().alias("file"))
 
 
 def in_inbox(message: Column) -> Column:
@@ -48,7 +60,10 @@ def parse(
     predicate: Callable[[Column], Column] | None = None,
     dated_only: bool = False,
 ) -> DataFrame:
-    """The 13 message columns plus ``reason`` (NULL for a good row) and ``value``.
+    """The 13 message columns plus ``reason`` (NULL for a good row), ``value`` and ``file``.
+
+    A line may hold one object, several with commas between, or an array of them; anything
+    else is a bad row as a whole.  ``file`` is NULL where the lines don't name one.
 
     ``predicate`` maps the parsed message struct to a boolean Column, and ``keep`` is one
     over the column ``received_at``; messages that fail either are not decoded.  Lines that
@@ -56,12 +71,13 @@ def parse(
     message without a date is a bad row.  ``value`` holds the landed text of bad rows only.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
-    lines = raw.filter(F.trim("value") != "")
+    file = F.col("file") if "file" in raw.columns else F.lit(None).cast("string")
+    lines = raw.select("value", file.alias("file")).filter(F.btrim("value", F.lit(" \t\r\n")) != "")
     message = F.from_json("value", landed_message(depth), options)
-    parsed = _once(lines.select("value"), "m", message).withColumn(
+    parsed = _once(_objects(lines), "m", message).withColumn(
         "received_at", F.timestamp_millis(F.col("m.internalDate").try_cast("bigint"))
     )
-    malformed = F.col("m._malformed").isNotNull()
+    malformed = F.col("broken") | F.col("m._malformed").isNotNull()
     undated = F.col("received_at").isNull()
     wanted = F.lit(True)
     if keep is not None:
@@ -77,7 +93,7 @@ def parse(
         .when(m["id"].isNull(), F.lit("no message id"))
         .when(has_date_text & undated, F.lit("bad internal date"))
         .when(undated & F.lit(dated_only), F.lit("no internal date"))
-        .when(mime.too_deep("_texts"), F.lit("mime too deep"))
+        .when(mime.too_deep("_texts"), F.lit(TOO_DEEP))
         .when(mime.undecodable("_texts"), F.lit("bad base64"))
     )
     headers = "m.payload.headers"
@@ -105,6 +121,26 @@ def parse(
         *(columns[name].alias(name) for name in MESSAGES.fieldNames()),
         "reason",
         F.when(F.col("reason").isNotNull(), F.col("value")).alias("value"),
+        "file",
+    )
+
+
+def _objects(lines: DataFrame) -> DataFrame:
+    """One row an object: ``value``, ``file`` and whether the line is ``broken``.
+
+    Counting the objects of a line walks its tokens only; a line is taken apart where there is
+    more than one.
+    """
+    is_array = F.btrim("value", F.lit(" \t\r\n")).startswith("[")
+    array = F.when(is_array, F.col("value")).otherwise(F.concat(F.lit("["), "value", F.lit("]")))
+    size = F.coalesce(F.json_array_length(array), F.lit(0))
+    several = F.transform(
+        F.from_json(array, "array<string>"), lambda v: F.coalesce(v, F.lit("null"))
+    )
+    apart = F.when((size > 1) | (is_array & (size == 1)), several).otherwise(F.array("value"))
+    return lines.select(
+        F.explode(F.coalesce(apart, F.array("value"))).alias("value"), "file",
+        (size == 0).alias("broken"),
     )
 
 
@@ -126,13 +162,47 @@ def flatten(
 ) -> tuple[DataFrame, DataFrame]:
     """Split landed lines into ``(messages, quarantined)``; no line is lost.
 
-    Quarantined rows keep their text, so a message nested deeper than ``depth`` can be
-    flattened again with a larger one.
+    Lazy, and so bound to one ``depth``: messages nested deeper are quarantined with their text.
+    :func:`stage` flattens any depth.
     """
     rows = parse(raw, ingested_at=ingested_at, max_body_chars=max_body_chars, depth=depth)
     return messages_of(rows), quarantine_of(rows)
 
 
+def stage(raw: DataFrame, folder: str, *, depth: int = FIRST_DEPTH, **options) -> DataFrame:
+    """Parse landed lines once and write the rows to ``folder``, by day of receipt.
+
+    Few messages are nested deeply, so the walk is shallow at first; those it does not reach the
+    bottom of are parsed again with twice the depth, until none is left; below ``LAST_DEPTH``
+    levels they stay in quarantine with their text.  The rows carry an id
+    and a digest, so that copies are decided on without their bodies.  ``options`` are those of
+    :func:`parse`.
+    """
+    spark = raw.sparkSession
+    lines, number = raw, 0
+    while True:
+        rows = parse(lines, depth=depth, **options)
+        identified = rows.withColumns(
+            {
+                "digest": F.xxhash64(*(c for c in MESSAGES.fieldNames() if c != "ingested_at")),
+                "received_date": F.to_date("received_at"),
+            }
+        ).hint("rebalance", "received_date")
+        (
+            identified.withColumn("row_id", F.monotonically_increasing_id() * 16 + number)
+            .sortWithinPartitions("received_date", "sender", "thread_id")
+            .write.partitionBy("received_date")
+            .parquet(f"{folder}/round={number}")
+        )
+        written = spark.read.schema(STAGED).parquet(folder)
+        deep = written.filter((F.col("reason") == TOO_DEEP) & (F.col("round") == number))
+        if depth >= LAST_DEPTH or deep.isEmpty():
+            return written.filter(
+                (F.coalesce("reason", F.lit("")) != TOO_DEEP) | (F.col("round") == number)
+            )
+        lines, depth, number = deep.select("value", "file"), depth * 2, number + 1
+
+
 def messages_of(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("reason").isNull()).select(*MESSAGES.fieldNames())
 

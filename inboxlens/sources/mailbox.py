@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 AS_OF = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
@@ -70,11 +70,93 @@ def mail_from_events(events: DataFrame) -> DataFrame:
             (received_at + F.expr("INTERVAL 1 HOUR")).alias("ingested_at"),
             k.alias("k"),
         )
-        .join(F.broadcast(templates), "k")
+        .join(templates, "k")
         .drop("k")
     )
 
 
+#: Senders of mail made from documents: every source system, and names that try the rules.
+SENDERS = (
+    *(
+        f'"{name} Hiring Team" <no-reply@mail.{domain}>'
+        for name, domain in (
+            ("Vandelay", "greenhouse.io"), ("Kramerica", "lever.co"), ("Pendant", "ashbyhq.com"),
+            ("Monk", "myworkday.com"), ("Sacrimoni", "workday.com"),
+            ("Tessmacher", "smartrecruiters.com"), ("Krusty Krab", "icims.com"),
+            ("Bluth", "bamboohr.com"), ("Oceanic", "recruitee.com"), ("Dharma", "jobvite.com"),
+            ("Massive Dynamic", "taleo.net"), ("Soylent", "workable.com"), ("Tyrell", "breezy.hr"),
+            ("Cyberdyne", "linkedin.com"), ("Weyland", "indeed.com"), ("Nakatomi", "ziprecruiter.com"),
+            ("Wernham", "wellfound.com"), ("Dunder", "hire.com"),
+        )
+    ),
+    "jobs@north-star-labs.co.uk",
+    '"Café Müller GmbH Recruiting" <jobs@cafe-mueller.de>',
+    '"' + "A very long sender name " * 4 + '" <jobs@long-names.org>',
+    "career\u017f <jobs@career\u017f-office.com>",
+    '"\u212aelvin Talent Acqui\u017fition" <jobs@kelvin.io>',
+    "x <jobs@x.io>",
+    "talent@gmail.com",
+)
+SUBJECTS = (
+    "Your application to Globex Corporation",
+    "Applying for the Senior Data-Engineer po\u017fition",
+    "Interview for the Site Reliability Engineer role",
+    "Product Manager opportunity at Initech",
+    "An update on your application",
+    "Job offer",
+    "Thank you for your application with \u212aelvin & Sons",
+    "Open role: let's talk about a po\u017fition",
+)
+CLOSINGS = (
+    "Thank you for applying to Initrode Systems.",
+    "Unfortunately, we have decided to move forward with other candidates.",
+    "You wrote that you are applying for the Head of \u212anitting role here.",
+    "Thank you for your intere\u017ft in joining Hooli Labs",
+    "We received your application for Massive Dynamic and look forward to an interview.",
+    "",
+    "application received at Umbrella-Works yesterday",
+)
+
+
+def mail_from_documents(documents: DataFrame) -> DataFrame:
+    """One mail per document: its whole text, then a closing sentence, is the body."""
+    ident = F.col("doc_id")
+    received_at = F.timestamp_seconds(F.lit(1_704_067_200) + ident * 60)
+    body = F.concat_ws("\n", "text", _pick(CLOSINGS, ident))
+    return documents.select(
+        ident.cast("string").alias("message_id"),
+        F.concat_ws("-", "source", ident % 50).alias("thread_id"),
+        _pick(SENDERS, ident).alias("sender"),
+        _pick(SUBJECTS, ident).alias("subject"),
+        F.col("lang").alias("snippet"),
+        body.alias("plain_body"),
+        F.lit("INBOX").alias("labels"),
+        received_at.alias("received_at"),
+        received_at.alias("ingested_at"),
+    )
+
+
+def mail_from_turns(conversations: DataFrame) -> DataFrame:
+    """One mail per turn of a conversation, its text as the body."""
+    received_at = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("conv_id") * 60 + F.col("turn"))
+    return conversations.select(
+        F.concat_ws("/", "conv_id", "turn").alias("message_id"),
+        F.col("conv_id").cast("string").alias("thread_id"),
+        F.concat(F.lit("jobs@"), "role", F.lit(".com")).alias("sender"),
+        F.concat(F.lit("Application of the "), "role").alias("subject"),
+        F.substring("text", 1, 80).alias("snippet"),
+        F.concat_ws("\n", "text", _pick(CLOSINGS, F.col("conv_id") + F.col("turn"))).alias("plain_body"),
+        F.lit("INBOX").alias("labels"),
+        received_at.alias("received_at"),
+        received_at.alias("ingested_at"),
+    )
+
+
+def _pick(values: tuple[str, ...], number: Column) -> Column:
+    listed = F.array(*(F.lit(v) for v in values))
+    return F.element_at(listed, (number % len(values) + 1).cast("int"))
+
+
 def mail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mail_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
 

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inboxlens.functions.clock import from_micros, instant
-from inboxlens.schemas import LEDGER, MESSAGES, QUARANTINE
+from inboxlens.schemas import APPLICATIONS, EMAIL_MART, LEDGER, MESSAGES, META, QUARANTINE
 
+_FILES = T.StructType([T.StructField("file", T.StringType())])
 _START = T.StructType([T.StructField("sync_start", T.TimestampType())])
 
 
@@ -35,13 +36,17 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame | None:
     return read_or_none(spark, path, _with_day(MESSAGES, "received_date"))
 
 
+def read_messages_or_empty(spark: SparkSession, path: str) -> DataFrame:
+    found = read_messages(spark, path)
+    return spark.createDataFrame([], _with_day(MESSAGES, "received_date")) if found is None else found
+
+
 def landed_ids(
     spark: SparkSession, path: str, first: dt.date | None = None, last: dt.date | None = None
 ) -> DataFrame:
-    """Ids in the message table; within a date range only those partitions are read.
+    """Ids in the message table, one column; within a date range only those partitions are read.
 
-    A message keeps its received date, so a copy of it can only lie in the same partition,
-    or in the partition of undated mail.
+    A range is right only where a copy of a message keeps its received date.
     """
     table = read_messages(spark, path)
     if table is None:
@@ -53,12 +58,27 @@ def landed_ids(
 
 
 def append_messages(messages: DataFrame, path: str) -> None:
-    """Append to the message table: day of receipt, then sender and thread."""
-    _day_layout(messages, "received_at", "received_date", ["sender", "thread_id"]).write.mode(
+    """Append staged rows to the message table: day of receipt, then sender and thread.
+
+    Staging has already dealt the rows out by day, so bodies are not shuffled again.
+    """
+    known = [c for c in messages.columns if c in MESSAGES.fieldNames()]
+    dated = messages.select(*known, _day(F.col("received_at")).alias("received_date"))
+    dated.sortWithinPartitions("received_date", "sender", "thread_id").write.mode(
         "append"
     ).partitionBy("received_date").parquet(path)
 
 
+def read_files(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """Landing files that were read to their end."""
+    found = read_or_none(spark, f"{ledger_path}_files", _FILES)
+    return spark.createDataFrame([], _FILES) if found is None else found
+
+
+def append_files(files: DataFrame, ledger_path: str) -> None:
+    files.select("file").coalesce(1).write.mode("append").parquet(f"{ledger_path}_files")
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
     """Run ledger with its partition column ``started_date``."""
     return read_or_none(spark, path, _with_day(LEDGER, "started_date"))
@@ -93,6 +113,30 @@ def append_quarantine(rows: DataFrame, path: str) -> None:
     rows.select(*QUARANTINE.fieldNames()).write.mode("append").parquet(path)
 
 
+def read_email_mart(spark: SparkSession, path: str) -> DataFrame:
+    """Email mart with its declared schema, which an empty mart has too."""
+    return spark.read.schema(_with_day(EMAIL_MART, "received_date")).parquet(path)
+
+
+def read_applications(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_with_day(APPLICATIONS, "latest_status_date")).parquet(path)
+
+
+def read_meta(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(META).parquet(path)
+
+
+def publish(spark: SparkSession, made: str, path: str) -> None:
+    """Put a checked folder in the place of the published one."""
+    jvm = spark.sparkContext._jvm
+    source, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (made, path))
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(target, True)
+    files.mkdirs(target.getParent())
+    if not files.rename(source, target):
+        raise OSError(f"could not move {made} to {path}")
+
+
 def write_email_mart(mart: DataFrame, path: str) -> None:
     """Replace the email mart: day of receipt, then category and sender."""
     _day_layout(

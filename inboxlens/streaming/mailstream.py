@@ -18,7 +18,6 @@ from pyspark.sql.streaming import StreamingQuery
 from inboxlens.functions.clock import from_micros
 from inboxlens.operators import ingest
 from inboxlens.plans import sync
-from inboxlens.schemas import MIME_DEPTH
 from inboxlens.session import prepare, shared_folder
 from inboxlens.sources import landing, tables
 
@@ -35,7 +34,7 @@ def start(
     predicate: Callable[[Column], Column] | None = landing.in_inbox,
     max_files_per_trigger: int | None = None,
     max_body_chars: int = landing.MAX_BODY_CHARS,
-    depth: int = MIME_DEPTH,
+    depth: int = landing.FIRST_DEPTH,
 ) -> StreamingQuery:
     """Process all files that are there and stop (``availableNow``).
 
@@ -52,16 +51,18 @@ def start(
     def write(batch: DataFrame, batch_id: int) -> None:
         started_at = dt.datetime.now(dt.timezone.utc)
         folder = f"{scratch}/{batch_id}"
-        rows = landing.parse(
-            batch,
-            ingested_at=started_at,
-            max_body_chars=max_body_chars,
-            depth=depth,
-            predicate=predicate,
-            dated_only=True,
-        )
         try:
-            _commit(sync.stage(rows, folder), targets, folder, run_id, started_at, days)
+            staged = landing.stage(
+                batch,
+                f"{folder}/rows",
+                ingested_at=started_at,
+                max_body_chars=max_body_chars,
+                depth=depth,
+                predicate=predicate,
+                dated_only=True,
+            )
+            batch_key = f"{checkpoint.rstrip('/').rsplit('/', 1)[-1]}-{batch_id}"
+            _commit(staged, targets, folder, batch_key, started_at, days)
         finally:
             tables.drop_folder(batch.sparkSession, folder)
 
@@ -78,19 +79,25 @@ def _commit(
     staged: DataFrame,
     targets: sync.Targets,
     folder: str,
-    run_id: str,
+    batch_key: str,
     started_at: dt.datetime,
     days: int,
 ) -> None:
+    """Commit one micro-batch; its ledger rows carry the batch's key as run id.
+
+    A batch replayed after its ledger rows were written finds them and adds none.
+    """
+    spark = staged.sparkSession
+    sync.append_quarantine(staged, targets)
+    ledger = tables.read_ledger(spark, targets.ledger)
+    if ledger is not None and not ledger.filter(F.col("run_id") == batch_key).isEmpty():
+        return
     at = F.unix_micros("received_at")
     oldest, newest = landing.messages_of(staged).agg(F.min(at), F.max(at)).first()
     if oldest is None:
-        # No mail; the bad lines of the batch are still kept.
-        lo = hi = started_at
-    else:
-        first = from_micros(oldest)
-        lo = first.replace(hour=0, minute=0, second=0, microsecond=0)
-        hi = from_micros(newest).replace(microsecond=0) + _SECOND
+        return  # no mail; the bad lines of the batch are kept
+    lo = from_micros(oldest).replace(hour=0, minute=0, second=0, microsecond=0)
+    hi = from_micros(newest).replace(microsecond=0) + _SECOND
     spans = (
         ingest.assign_window(landing.messages_of(staged).select("received_at"), lo, hi, days=days)
         .select("sync_start", "sync_end")
@@ -103,7 +110,7 @@ def _commit(
         hi,
         targets,
         scratch=folder,
-        run_id=run_id,
+        run_id=batch_key,
         started_at=started_at,
         days=days,
     )

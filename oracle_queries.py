@@ -7,7 +7,7 @@ aggregates, and the patterns in RE2, which DuckDB runs natively.
 from __future__ import annotations
 
 from inboxlens.functions import rules
-from inboxlens.sources.mailbox import TEMPLATES, UNTHREADED
+from inboxlens.sources.mailbox import CLOSINGS, SENDERS, SUBJECTS, TEMPLATES, UNTHREADED
 
 _SPACES = (
     "' ' || " + " || ".join(f"chr({c})" for c in (
@@ -222,12 +222,19 @@ _DATA_LIMITS = (
     "SELECT date_trunc('second', min(CAST(ts AS TIMESTAMP))) AS lo, "
     "date_trunc('second', max(CAST(ts AS TIMESTAMP))) AS hi FROM events"
 )
-_ARRIVAL_LIMITS = (
-    "SELECT TIMESTAMP '2024-01-18 07:30:00' AS lo, TIMESTAMP '2024-02-03 05:00:00' AS hi"
-)
-SPLIT = """
-landed AS (SELECT * FROM mail WHERE received_at < TIMESTAMP '2024-01-20'),
-arriving AS (SELECT * FROM mail WHERE received_at >= TIMESTAMP '2024-01-18')"""
+_FIRST = "(SELECT date_trunc('second', min(CAST(ts AS TIMESTAMP))) FROM events)"
+_LAST = "(SELECT date_trunc('second', max(CAST(ts AS TIMESTAMP))) + INTERVAL 1 SECOND FROM events)"
+_ARRIVAL = f"(date_trunc('day', {_LAST}) - INTERVAL 9 DAY)"
+_ALL_LIMITS = f"SELECT {_FIRST} AS lo, {_LAST} AS hi"
+_ARRIVAL_LIMITS = f"SELECT {_ARRIVAL} AS lo, {_LAST} AS hi"
+# a sync begins at midnight of the first day and ends at midnight after the last
+_FLOOR = f"date_trunc('day', {_FIRST})"
+_END = f"(date_trunc('day', {_LAST}) + INTERVAL 1 DAY)"
+_MIDDLE = f"date_trunc('day', {_FIRST} + ({_LAST} - {_FIRST}) / 2)"
+_SYNC_LIMITS = f"SELECT {_FLOOR} AS lo, {_END} AS hi"
+SPLIT = f"""
+landed AS (SELECT * FROM mail WHERE received_at < {_ARRIVAL} + INTERVAL 2 DAY),
+arriving AS (SELECT * FROM mail WHERE received_at >= {_ARRIVAL})"""
 
 _LANDED_COLUMNS = (
     "message_id, thread_id, 'h' || message_id AS history_id, subject, sender, snippet, "
@@ -236,6 +243,47 @@ _LANDED_COLUMNS = (
     "coalesce(labels, '') AS labels, date_trunc('milliseconds', received_at) AS received_at"
 )
 
+def _synced(select: str) -> str:
+    """A select over ``done``: the windows of a sync with their counts."""
+    return (
+        f"WITH {MAIL}, inbox AS (SELECT * FROM mail WHERE labels LIKE '%INBOX%'), "
+        + _windows(_SYNC_LIMITS, 1).strip()
+        + ", done AS (SELECT w.sync_start, w.sync_end, count(m.message_id) AS fetched, "
+        "count(m.message_id) AS inserted FROM windows w LEFT JOIN inbox m ON "
+        "date_trunc('milliseconds', m.received_at) >= w.sync_start AND "
+        f"date_trunc('milliseconds', m.received_at) < w.sync_end GROUP BY ALL) SELECT {select}"
+    )
+
+
+def _listed(values: tuple[str, ...], number: str) -> str:
+    return f"([{', '.join(_text(v) for v in values)}])[({number}) % {len(values)} + 1]"
+
+
+_BODY = "concat_ws(chr(10), text, {closing})"
+DOCUMENT_MAIL = f"""
+mail AS (
+  SELECT CAST(doc_id AS VARCHAR) AS message_id, concat_ws('-', source, doc_id % 50) AS thread_id,
+         {_listed(SENDERS, 'doc_id')} AS sender, {_listed(SUBJECTS, 'doc_id')} AS subject,
+         lang AS snippet, {_BODY.format(closing=_listed(CLOSINGS, 'doc_id'))} AS plain_body,
+         'INBOX' AS labels, TIMESTAMP '2024-01-01' + to_seconds(doc_id * 60) AS received_at,
+         TIMESTAMP '2024-01-01' AS ingested_at
+  FROM documents)"""
+TURN_MAIL = f"""
+mail AS (
+  SELECT conv_id || '/' || turn AS message_id, CAST(conv_id AS VARCHAR) AS thread_id,
+         'jobs@' || role || '.com' AS sender, 'Application of the ' || role AS subject,
+         substr(text, 1, 80) AS snippet,
+         {_BODY.format(closing=_listed(CLOSINGS, 'conv_id + turn'))} AS plain_body,
+         'INBOX' AS labels, TIMESTAMP '2024-01-01' + to_seconds(conv_id * 60 + turn) AS received_at,
+         TIMESTAMP '2024-01-01' AS ingested_at
+  FROM conversations)"""
+
+
+def _on(chain: str, mail: str) -> str:
+    """The same models over another mail relation."""
+    return chain.replace(MAIL, mail)
+
+
 _AS_OF = "TIMESTAMP '2024-02-01'"
 
 
@@ -328,7 +376,7 @@ def statements() -> dict[str, str]:
         "(SELECT count(*) FROM apps) AS application_count",
         "ingest_windows": f"WITH {_windows(_DATA_LIMITS, 1)} SELECT * FROM windows",
         "ingest_windows_3_days": f"WITH {_windows(_DATA_LIMITS, 3)} SELECT * FROM windows",
-        "window_assignment": f"WITH {MAIL},{_windows(_ARRIVAL_LIMITS, 2)} "
+        "window_assignment": f"WITH {MAIL},{_windows(_ALL_LIMITS, 2)} "
         "SELECT m.message_id, w.sync_start, w.sync_end FROM mail m JOIN windows w "
         "ON m.received_at >= w.sync_start AND m.received_at < w.sync_end",
         "ingest_dedup": f"WITH {MAIL},{SPLIT} SELECT message_id, thread_id, received_at FROM arriving "
@@ -337,10 +385,10 @@ def statements() -> dict[str, str]:
         "min(CAST(l_shipdate AS DATE)) AS received_at, count(*) AS copies FROM lineitem GROUP BY 1",
         "window_counts": f"WITH {MAIL},{SPLIT},{_windows(_ARRIVAL_LIMITS, 1)} "
         "SELECT w.sync_start, w.sync_end, count(m.message_id) AS fetched, "
-        "count(*) FILTER (WHERE m.message_id IS NOT NULL AND m.received_at >= "
-        "TIMESTAMP '2024-01-20') AS inserted FROM windows w LEFT JOIN arriving m "
+        f"count(*) FILTER (WHERE m.message_id IS NOT NULL AND m.received_at >= "
+        f"{_ARRIVAL} + INTERVAL 2 DAY) AS inserted FROM windows w LEFT JOIN arriving m "
         "ON m.received_at >= w.sync_start AND m.received_at < w.sync_end GROUP BY ALL",
-        "window_cap": f"WITH {MAIL},{_windows(_ARRIVAL_LIMITS, 1)} "
+        "window_cap": f"WITH {MAIL},{_windows(_ALL_LIMITS, 1)} "
         "SELECT m.message_id, w.sync_start FROM mail m JOIN windows w "
         "ON m.received_at >= w.sync_start AND m.received_at < w.sync_end "
         "QUALIFY row_number() OVER (PARTITION BY w.sync_start "
@@ -354,12 +402,57 @@ def statements() -> dict[str, str]:
         "CAST(sum(inserted) AS BIGINT) AS inserted, count(*) AS windows_completed, "
         "min(sync_start) AS sync_start, max(sync_end) AS sync_end "
         "FROM ledger WHERE status = 'ok' GROUP BY run_id",
-        "sync_ledger": f"WITH {MAIL}, inbox AS (SELECT * FROM mail WHERE labels LIKE '%INBOX%'), "
-        + _windows("SELECT TIMESTAMP '2024-01-01' AS lo, TIMESTAMP '2024-02-01' AS hi", 1).strip()
-        + " SELECT 'ok' AS status, w.sync_start, w.sync_end, count(m.message_id) AS fetched, "
-        "count(m.message_id) AS inserted FROM windows w LEFT JOIN inbox m ON "
-        "date_trunc('milliseconds', m.received_at) >= w.sync_start AND "
-        "date_trunc('milliseconds', m.received_at) < w.sync_end GROUP BY ALL",
+        "sync_ledger": _synced("'ok' AS status, sync_start, sync_end, fetched, inserted FROM done"),
+        "sync_daily_commits": _synced(
+            "'ok' AS status, sync_start, sync_end, fetched, inserted FROM done"
+        ),
+        "sync_backfill": _synced(
+            "'ok' AS status, 2 * count(*) AS windows, CAST(2 * sum(fetched) AS BIGINT) AS fetched, "
+            "CAST(sum(inserted) AS BIGINT) AS inserted, CAST(sum(inserted) AS BIGINT) AS messages FROM done"
+        ),
+        "sync_rerun": _synced(
+            "'ok' AS status, count(*) AS windows, CAST(sum(fetched) AS BIGINT) AS fetched, "
+            "CAST(sum(inserted) AS BIGINT) AS inserted, CAST(sum(inserted) AS BIGINT) AS messages FROM done"
+        ),
+        "sync_error_ledger": _synced(
+            "'ok' AS status, sync_start, sync_end, fetched, inserted, CAST(NULL AS BOOLEAN) AS names_error, "
+            "true AS has_run_id, true AS in_order FROM done "
+            f"UNION ALL SELECT 'error', {_MIDDLE}, {_END}, 0, 0, true, true, true"
+        ),
+        "sync_late_mail": f"WITH {MAIL} SELECT {_LANDED_COLUMNS} FROM mail "
+        "WHERE labels LIKE '%INBOX%'",
+        "sync_capped": f"WITH {MAIL} SELECT {_LANDED_COLUMNS} FROM mail "
+        f"WHERE labels LIKE '%INBOX%' AND received_at < {_FLOOR} + INTERVAL 1 DAY",
+        "sync_ingested_at": f"WITH {MAIL} SELECT message_id, true AS after_receipt, true AS is_set "
+        "FROM mail WHERE labels LIKE '%INBOX%'",
+        "build_emails": f"WITH {CLASSIFIED} SELECT message_id, thread_id, sender, subject, snippet, "
+        "plain_body, labels, received_at, job_pipeline_category FROM classified",
+        "build_applications": f"WITH {APPS} SELECT * FROM apps",
+        "build_meta": f"WITH {APPS} SELECT {_AS_OF} AS mart_built_at, "
+        "(SELECT max(received_at) FROM staged) AS data_through, "
+        "(SELECT count(*) FROM apps) AS application_count",
+        "build_report": f"WITH {CLASSIFIED} SELECT CASE WHEN failed THEN 'error' ELSE 'pass' END AS status, "
+        "count(*) AS checks FROM (SELECT unnest(list_concat("
+        "list_transform(range(26), lambda x: false), "
+        f"[(SELECT max(received_at) < {_AS_OF} - INTERVAL 72 HOUR FROM staged)])) AS failed) GROUP BY 1",
+        "documents_classified": f"WITH {_on(CLASSIFIED, DOCUMENT_MAIL)} SELECT message_id, "
+        "job_pipeline_category FROM classified",
+        "documents_company": f"WITH {_on(GUESSED, DOCUMENT_MAIL)} SELECT message_id, company_guess, "
+        "ats_source_guess FROM guessed",
+        "documents_company_head": f"WITH {_on(GUESSED, DOCUMENT_MAIL)} ".replace(
+            "coalesce(plain_body, '') AS body_head",
+            f"substr(coalesce(plain_body, ''), 1, {rules.BODY_HEAD_CHARS}) AS body_head",
+        )
+        + "SELECT message_id, company_guess FROM guessed",
+        "documents_role": f"WITH {_on(GUESSED, DOCUMENT_MAIL)} SELECT message_id, role_guess FROM guessed",
+        "conversations_classified": f"WITH {_on(CLASSIFIED, TURN_MAIL)} SELECT message_id, "
+        "job_pipeline_category FROM classified",
+        "landing_deep": "SELECT conv_id || '/' || turn AS message_id, "
+        "role || chr(10) || text AS plain_body FROM conversations",
+        "landing_quarantine": "SELECT reason, count(*) AS lines, count(*) AS kept_whole FROM (SELECT "
+        "CASE doc_id % 12 WHEN 1 THEN 'malformed json' WHEN 2 THEN 'malformed json' "
+        "WHEN 4 THEN 'no message id' WHEN 5 THEN 'bad internal date' WHEN 7 THEN 'bad base64' "
+        "ELSE 'no internal date' END AS reason FROM documents) GROUP BY reason",
         "sync_messages": f"WITH {MAIL} SELECT {_LANDED_COLUMNS} FROM mail "
         "WHERE labels LIKE '%INBOX%'",
         "stream_messages": f"WITH {MAIL} SELECT {_LANDED_COLUMNS} FROM mail "

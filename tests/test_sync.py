@@ -82,12 +82,71 @@ def test_incremental_backfill_and_rerun(box):
     box.land("b", line("3", 4), line("late", 1))
     second = box.sync(6)
     assert second["sync_start"] == "2026-03-03T00:00:00+00:00"
-    assert (second["fetched"], second["inserted"], second["windows_completed"]) == (1, 1, 3)
+    # late mail is committed too, with a ledger row for its day
+    assert (second["fetched"], second["inserted"], second["windows_completed"]) == (2, 2, 4)
+    assert box.ledger()[2] == ("ok", 1, 2, 1, 1)
     assert box.sync(6)["windows_completed"] == 0
     backfill = box.sync(6, full_backfill=True)
-    assert (backfill["fetched"], backfill["inserted"]) == (5, 1)
+    assert (backfill["fetched"], backfill["inserted"]) == (5, 0)
     assert box.ids() == ["1", "2", "3", "late"]
-    assert box.sync(6, full_backfill=True, full_scan_dedup=True)["inserted"] == 0
+    assert box.sync(6, full_backfill=True, dedup_by_date=True)["inserted"] == 0
+
+
+def test_files_with_old_times_and_copies_with_new_dates(box, tmp_path):
+    import os
+
+    box.land("a", line("1", 1))
+    box.sync(2)
+    box.land("old", line("2", 2), line("1", 3))
+    os.utime(tmp_path / "landing" / "old.json", (10**9, 10**9))
+    run = box.sync(4)
+    assert (run["fetched"], run["inserted"]) == (2, 1)
+    assert box.ids() == ["1", "2"]
+
+
+def test_mail_beyond_the_ceiling_waits(box):
+    box.land("a", line("1", 1), line("3", 3))
+    assert box.sync(2)["inserted"] == 1
+    assert box.sync(4)["inserted"] == 1
+    assert box.ids() == ["1", "3"]
+
+
+def test_groups_parse_the_landing_area_once(box, monkeypatch):
+    calls = []
+    real = landing.parse
+    monkeypatch.setattr(landing, "parse", lambda *a, **k: calls.append(1) or real(*a, **k))
+    box.land("a", *(line(str(d), d) for d in range(1, 5)))
+    assert box.sync(5, windows_per_commit=1)["windows_completed"] == 4
+    assert len(calls) == 1 and box.ids() == ["1", "2", "3", "4"]
+
+
+def test_several_objects_on_a_line(box):
+    box.land(
+        "a", line("1", 1) + "," + line("2", 1), f"[{line('3', 1)}, {line('4', 1)}]",
+        line("5", 1) + " " + line("6", 1), line("7", 1) + " trailing", "[]", f"[{line('8', 1)}]",
+    )
+    box.sync(2)
+    assert box.ids() == ["1", "2", "3", "4", "8"]
+    assert box.bad() == ["malformed json"] * 3
+
+
+def test_deep_messages_are_not_left_behind(box):
+    part = {"mimeType": "text/plain", "body": {"data": "ZGVlcA"}}
+    for _ in range(30):
+        part = {"mimeType": "multipart/mixed", "parts": [part]}
+    box.land("a", line("1", 1), line("2", 1, payload=part))
+    box.sync(2)
+    assert box.ids() == ["1", "2"] and box.bad() == []
+
+
+def test_bodies_cross_one_exchange(box, spark, plan_of):
+    from inboxlens.operators import ingest
+
+    box.land("a", line("1", 1))
+    folder = f"{box.targets.messages}-staged"
+    staged = landing.stage(landing.read(spark, *spark.read.text(f"{box.targets.messages}/../landing").inputFiles()), folder, ingested_at=dt.datetime(2026, 3, 2, tzinfo=UTC))
+    narrow = ingest.decide(staged.select("row_id", "message_id", "received_at", "digest"), tables.landed_ids(spark, box.targets.messages))
+    assert "plain_body" not in plan_of(narrow)
 
 
 def test_failed_window_blocks_the_watermark(box):
@@ -99,7 +158,7 @@ def test_failed_window_blocks_the_watermark(box):
     box.land("b", line("2", 2), line("3", 3))
     with pytest.raises(Exception, match="boom"):
         box.sync(4, windows_per_commit=1, predicate=fails_on_2)
-    assert [r[:3] for r in box.ledger()] == [("ok", 1, 2), ("error", 2, 3)]
+    assert [r[:3] for r in box.ledger()] == [("ok", 1, 2), ("error", 2, 4)]
     assert box.ledger()[1][3:] == (0, 0)
     assert box.ids() == ["1"]
     done = box.sync(4)
@@ -186,13 +245,30 @@ def test_build_writes_the_marts_and_passes_its_checks(box, spark, tmp_path):
     assert source.filter("status = 'error'").count() == 0
 
 
+def test_build_without_mail_and_without_job_mail(box, spark, tmp_path):
+    marts = build.Marts(*(str(tmp_path / n) for n in ("emails", "apps", "meta")))
+    as_of = dt.datetime(2026, 3, 4, tzinfo=UTC)
+    # without any mail the declared check on the newest mail fails, and nothing is published
+    with pytest.raises(ValueError, match="meta.not_null:data_through"):
+        build.build(spark, box.targets.messages, marts, as_of=as_of)
+    assert build.build(spark, box.targets.messages, marts, as_of=as_of, check=False).count() == 27
+    assert [t.count() for t in build.read_marts(spark, marts)] == [0, 0, 1]
+    box.land("a", line("1", 1, payload={"headers": [{"name": "Subject", "value": "dinner"}]}))
+    box.sync(2)
+    build.build(spark, box.targets.messages, marts, as_of=as_of)
+    assert [t.count() for t in build.read_marts(spark, marts)] == [0, 0, 1]
+
+
 def test_stale_mail_fails_the_build(box, spark, tmp_path):
     box.land("a", line("1", 1))
     box.sync(2)
     marts = build.Marts(*(str(tmp_path / n) for n in ("emails", "apps", "meta")))
+    build.build(spark, box.targets.messages, marts, as_of=dt.datetime(2026, 3, 2, tzinfo=UTC))
     late = dt.datetime(2026, 3, 9, tzinfo=UTC)
     with pytest.raises(ValueError, match=r"staging.recency:received_at \(1\)"):
         build.build(spark, box.targets.messages, marts, as_of=late)
+    # what was published stays
+    assert build.read_marts(spark, marts)[2].first().mart_built_at.day == 2
 
 
 def test_predicate_is_a_parameter(box):
