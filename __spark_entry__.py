@@ -478,6 +478,7 @@ def queries() -> dict[str, Query]:
         "build_applications": _build_applications,
         "build_meta": _build_meta,
         "build_report": _build_report,
+        "last_updated": lambda s, d: dashboard.last_updated(_build_meta(s, d)),
         # whole texts through the models
         "documents_classified": lambda s, d: _text_guesses(s, d).select(
             "message_id", "job_pipeline_category"

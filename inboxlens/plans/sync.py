@@ -106,7 +106,7 @@ def run(
         )
         append_quarantine(staged, targets)
         for number, (start, end, spans) in enumerate(
-            _groups(spark, staged, lo, hi, days, windows_per_commit)
+            _groups(spark, staged, targets, floor, lo, hi, days, windows_per_commit)
         ):
             started_at = dt.datetime.now(dt.timezone.utc)
             done = commit(
@@ -175,14 +175,21 @@ def _note_read(
 def _groups(
     spark: SparkSession,
     staged: DataFrame,
+    targets: Targets,
+    floor: dt.date,
     lo: dt.datetime,
     hi: dt.datetime,
     days: int,
     per_commit: int | None,
 ) -> list[tuple[dt.datetime, dt.datetime, DataFrame]]:
-    """Commit groups with their windows: late mail first, then the new windows in order."""
+    """Commit groups with their windows: days with late mail first, then the new ones in order."""
     groups = []
-    late = landing.messages_of(staged).filter(ingest.before(F.col("received_at"), lo))
+    late = (
+        staged.filter(F.col("reason").isNull() & F.col("received_at").isNotNull())
+        .filter(ingest.in_range(F.col("received_at"), ingest.start_of(floor), lo))
+        .select("message_id", "received_at")
+        .join(tables.landed_ids(spark, targets.messages).distinct(), "message_id", "left_anti")
+    )
     oldest = late.agg(F.min(F.unix_micros("received_at"))).first()[0]
     if oldest is not None:
         first = from_micros(oldest).replace(hour=0, minute=0, second=0, microsecond=0)

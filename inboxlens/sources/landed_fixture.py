@@ -64,12 +64,13 @@ def damaged(documents: DataFrame) -> DataFrame:
         "k", F.get_json_object("value", "$.id").cast("bigint") % 12
     )
     line, start = F.col("value"), F.lit('{"id":')
+    dated = F.replace(line, start, F.lit('{"internalDate":"1704067200000","id":'))
     return whole.select(
         F.when(F.col("k") == 1, F.substring(line, 1, 20))
         .when(F.col("k") == 2, F.concat(line, F.lit(" "), line))
         .when(F.col("k") == 4, F.replace(line, start, F.lit('{"idx":')))
         .when(F.col("k") == 5, F.replace(line, start, F.lit('{"internalDate":"soon","id":')))
-        .when(F.col("k") == 7, F.replace(line, F.lit('"data":"'), F.lit('"data":"Y*')))
+        .when(F.col("k") == 7, F.regexp_replace(dated, '"data":"[^"]*"', '"data":"Y"'))
         .when(F.col("k") == 8, F.concat(F.lit("["), line, F.lit("]")))
         .otherwise(line)
         .alias("value")

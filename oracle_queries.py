@@ -431,6 +431,7 @@ def statements() -> dict[str, str]:
         "build_meta": f"WITH {APPS} SELECT {_AS_OF} AS mart_built_at, "
         "(SELECT max(received_at) FROM staged) AS data_through, "
         "(SELECT count(*) FROM apps) AS application_count",
+        "last_updated": f"SELECT {_AS_OF} AS mart_built_at",
         "build_report": f"WITH {CLASSIFIED} SELECT CASE WHEN failed THEN 'error' ELSE 'pass' END AS status, "
         "count(*) AS checks FROM (SELECT unnest(list_concat("
         "list_transform(range(26), lambda x: false), "
