@@ -232,7 +232,68 @@ def scan(files: DataFrame, *, path_col: str = "path", text_col: str = "text",
 
 
 QUERY = "op5_license_scan"
-SQL = None
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _sql_terms(text: str) -> str:
+    return (
+        f"list_filter(list_transform(string_split_regex(lower({text}), {_quoted(_TERM)}), "
+        "lambda w: regexp_replace(w, '^[.\\-]+|[.\\-]+$', '', 'g')), lambda w: w <> '')"
+    )
+
+
+def _sql_size(text: str) -> str:
+    return f"len(list_filter(string_split_regex({text}, '\\s+'), lambda w: w <> ''))"
+
+
+_ROWS = ", ".join(
+    f"({_quoted(f'{name} {k}')}, {_quoted(text)})" for k, (name, text) in enumerate(TEMPLATES)
+)
+SQL = f"""
+WITH files AS (
+  SELECT doc_id, coalesce(source, 'none') AS top,
+         concat_ws('/', coalesce(source, 'none'), coalesce(lang, 'none')) AS dir,
+         concat_ws('/', coalesce(source, 'none'), coalesce(lang, 'none'), doc_id) AS path,
+         coalesce(text, '') AS text
+  FROM documents),
+noted AS (
+  SELECT path, dir, text, array_to_string(list_filter(string_split(text, chr(10)),
+           lambda l: regexp_matches(lower(l), {_quoted(NOTICE)})), chr(10)) AS notice
+  FROM files WHERE regexp_matches(lower(text), {_quoted(NOTICE)})),
+words AS (
+  SELECT path, term, count(*) AS tf
+  FROM (SELECT path, unnest({_sql_terms('notice')}) AS term FROM noted) GROUP BY ALL),
+templates(template, text) AS (VALUES {_ROWS}),
+wanted AS (
+  SELECT template, term, count(*) AS tf
+  FROM (SELECT template, unnest({_sql_terms('text')}) AS term FROM templates) GROUP BY ALL),
+total AS (SELECT (SELECT count(*) FROM noted) + (SELECT count(*) FROM templates) AS n),
+idf AS (
+  SELECT term, ln((n + 1) / (count(*) + 1)) + 1 AS idf
+  FROM (SELECT term FROM words UNION ALL SELECT term FROM wanted), total GROUP BY term, n),
+a AS (SELECT path, term, (1 + ln(tf)) * idf AS w FROM words JOIN idf USING (term)),
+b AS (SELECT template, term, (1 + ln(tf)) * idf AS w FROM wanted JOIN idf USING (term)),
+an AS (SELECT path, sqrt(sum(w * w)) AS norm FROM a GROUP BY path),
+bn AS (SELECT template, sqrt(sum(w * w)) AS norm FROM b GROUP BY template),
+cosine AS (
+  SELECT path, template, round(sum(a.w / an.norm * (b.w / bn.norm)), 6) AS similarity
+  FROM a JOIN an USING (path) JOIN b USING (term) JOIN bn USING (template) GROUP BY ALL),
+own AS (
+  SELECT path, string_split(template, ' ')[1] AS license, similarity FROM cosine
+  WHERE similarity >= {THRESHOLD}
+  QUALIFY row_number() OVER (PARTITION BY path ORDER BY similarity DESC, template) = 1),
+marked AS (
+  SELECT dir, license, similarity FROM own JOIN noted USING (path)
+  WHERE {_sql_size('notice')} >= {WHOLE_FILE} * {_sql_size('text')}
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY similarity DESC, path) = 1)
+SELECT f.doc_id, f.path, coalesce(own.license, near.license) AS license,
+       coalesce(own.similarity, near.similarity) AS similarity,
+       CASE WHEN own.path IS NULL THEN near.dir END AS inherited_from
+FROM files f LEFT JOIN own ON own.path = f.path LEFT JOIN marked near ON near.dir = f.dir
+"""
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -178,6 +178,16 @@ def test_scan_of_documents(spark):
     assert {"MIT", "Apache-2.0", "GPL-3.0", "CC-BY-NC-4.0"} <= {l for l, _ in want.values()}
 
 
+def test_license_statement(spark):
+    db = duckdb.connect()
+    db.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.01/documents.parquet'")
+    df = licenses.query(spark, "/root/testdata/sf0.01")
+    result = db.execute(licenses.SQL)
+    columns = [c[0] for c in result.description]
+    assert sorted(columns) == sorted(df.columns)
+    assert counted(df.columns, [tuple(r) for r in df.collect()]) == counted(columns, result.fetchall())
+
+
 def test_nearest_directory_wins(spark):
     files = [
         ("LICENSE", "Released under the MIT License."),
