@@ -144,9 +144,8 @@ def _landed_mail(df: DataFrame) -> DataFrame:
     )
 
 
-def _landing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = landed_fixture.landed_from_documents(_table(spark, sf_dir, "documents"))
-    return _flat(raw).select(
+def _digests(df: DataFrame) -> DataFrame:
+    return df.select(
         "message_id",
         "thread_id",
         "subject",
@@ -157,17 +156,35 @@ def _landing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _page_digests(df: DataFrame) -> DataFrame:
+    html_md5 = F.md5(F.encode("html_body", "UTF-8")).alias("html_md5")
+    return df.select("message_id", "subject", "plain_body", html_md5)
+
+
+#: Landed JSON of a table and what is read from the flattened messages.
+LANDED = {
+    "landing_roundtrip": (
+        lambda s, d: landed_fixture.landed_from_mail(_mail(s, d)), _landed_mail
+    ),
+    "landing_documents": (
+        lambda s, d: landed_fixture.landed_from_documents(_table(s, d, "documents")), _digests
+    ),
+    "landing_pages": (
+        lambda s, d: landed_fixture.landed_from_pages(_table(s, d, "pages")), _page_digests
+    ),
+}
+
+
+def _landed(name: str) -> Query:
+    lines, pick = LANDED[name]
+    return lambda spark, sf_dir: pick(_flat(lines(spark, sf_dir)))
+
+
 def _landing_body_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = landed_fixture.landed_from_documents(_table(spark, sf_dir, "documents"))
     return _flat(raw, max_body_chars=500).select("message_id", "plain_body", "html_body")
 
 
-def _landing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = landed_fixture.landed_from_pages(_table(spark, sf_dir, "pages"))
-    html_md5 = F.md5(F.encode("html_body", "UTF-8")).alias("html_md5")
-    return _flat(raw).select("message_id", "subject", "plain_body", html_md5)
-
-
 def _landing_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = landed_fixture.landed_from_turns(_table(spark, sf_dir, "conversations"))
     return _flat(raw).select("message_id", "plain_body", "html_body")
@@ -496,12 +513,8 @@ def queries() -> dict[str, Query]:
         # landed JSON
         "landing_deep": _landing_deep,
         "landing_quarantine": _landing_quarantine,
-        "landing_roundtrip": lambda s, d: _landed_mail(
-            _flat(landed_fixture.landed_from_mail(_mail(s, d)))
-        ),
-        "landing_documents": _landing_documents,
+        **{name: _landed(name) for name in LANDED},
         "landing_body_cap": _landing_body_cap,
-        "landing_pages": _landing_pages,
         "landing_parts": _landing_parts,
         # data checks
         "dq_not_null": lambda s, d: _check(
