@@ -178,22 +178,13 @@ def _evidence(toxic: Column, clean: Column, all_toxic: int, all_clean: int) -> C
     return part(toxic, share) + part(clean, 1 - share)
 
 
-def learn(
-    docs: DataFrame,
-    labels: DataFrame,
-    *,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    exceptions: tuple[str, ...] = EXCEPTIONS,
-) -> Lexicon:
-    """The words whose rate among toxic documents is beyond chance, with log-odds as weights.
+def learn(rows: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
+    """The words of labelled ``rows(text, toxic)`` whose rate among toxic documents is beyond chance, with log-odds as weights.
 
     A word is kept when its evidence exceeds that of the luckiest among all words counted
     (Bonferroni), so the bar rises with the vocabulary.  Nothing but ``MAX_TERMS`` words reaches
     the driver.  Without labels of both kinds the lexicon is empty.
     """
-    short_batches(docs.sparkSession)
-    rows = _labelled(docs, labels, id_col, text_col)
     counts = settle(
         rows.mapInArrow(_count, "word string, toxic bigint, clean bigint")
         .groupBy("word")
@@ -299,20 +290,16 @@ def _features(weight: Column, n_words: Column) -> tuple[Column, Column]:
     return F.log1p(weight), F.log1p(weight * 100.0 / F.greatest(n_words, F.lit(1)))
 
 
-def calibrate(weighed: DataFrame, labels: DataFrame, id_col: str) -> list[float]:
-    """Coefficients of the logistic regression, from all labelled training rows.
+def calibrate(weighed: DataFrame) -> list[float]:
+    """Coefficients of the logistic regression, from all labelled rows ``(toxic, weight, n_words)``.
 
     The rows are summed by features rounded to a twentieth, so the driver gets a small table of
     counts, whatever the number of rows.
     """
-    told = labels.filter(F.col("toxic").isNotNull() & _training(F.col(id_col))).groupBy(
-        F.col(id_col).alias("labelled")
-    ).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     f1, f2 = _features(F.col("weight"), F.col("n_words"))
     cells = (
-        weighed.join(told, F.col(id_col) == F.col("labelled"))
-        .groupBy(F.round(f1 * 20).alias("a"), F.round(f2 * 20).alias("b"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic"))
+        weighed.groupBy(F.round(f1 * 20).alias("a"), F.round(f2 * 20).alias("b"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("toxic").cast("int")).alias("toxic"))
         .collect()
     )
     if not cells:
@@ -352,13 +339,12 @@ def score(
     labels of both kinds every score is that of the prior, under 0.5.
     """
     kept = [id_col, *(c for c in (keep or docs.columns) if c != id_col)]
-    lexicon = learn(docs, labels, id_col=id_col, text_col=text_col, exceptions=exceptions)
-    weighed = settle(weigh(docs, lexicon, text_col, kept))
+    short_batches(docs.sparkSession)
+    rows = _labelled(docs, labels, id_col, text_col)
+    lexicon = learn(rows, exceptions)
+    beta = calibrate(weigh(rows, lexicon, "text", ["toxic"]))
+    weighed = weigh(docs, lexicon, text_col, kept)
     hits, weight, n_words = weighed.columns[-3:]
-    narrow = weighed.select(
-        id_col, F.col(weight).alias("weight"), F.col(n_words).alias("n_words")
-    )
-    beta = calibrate(narrow, labels, id_col)
     f1, f2 = _features(F.col(weight), F.col(n_words))
     margin = F.lit(beta[0]) + F.lit(beta[1]) * f1 + F.lit(beta[2]) * f2
     chance = F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
