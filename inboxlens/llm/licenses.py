@@ -1,13 +1,16 @@
 """License scan: TF-IDF cosine to license templates, then inheritance along directories.
 
-A file's license header is what its notice lines say.  Terms of notices are weighed by how rare
-they are among all notices and templates; the cosine to every template sums the products of
-equal terms only, so files and templates meet in a sparse join.  A file without a license of its
-own takes that of the license file in its nearest ancestor directory.
+A file's license is that of its best window: a run of lines, a sentence, a paragraph or the whole
+text around a line that speaks of licenses.  Terms are weighed by how rare they are among all
+notices and templates; the cosine to every template sums the products of equal terms only, so
+windows and templates meet in a sparse join.  A file without a license of its own takes that of
+the license file in its nearest ancestor directory.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -40,12 +43,77 @@ TEMPLATES = (
     ("CC0-1.0", "CC0 1.0 Universal Public Domain Dedication"),
     ("Proprietary", "Copyright. All rights reserved."),
 )
-#: A line with one of these words is a notice line.
+#: Full texts, or the titles and operative paragraphs of long ones, and headers as their licenses
+#: advise them.  They are matched like ``TEMPLATES`` and take no part in the document frequencies.
+TEXTS = (
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+            "software and associated documentation files (the Software), to deal in the Software "
+            "without restriction, including without limitation the rights to use, copy, modify, "
+            "merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+            "permit persons to whom the Software is furnished to do so, subject to the following "
+            "conditions:"),
+    ("MIT", "MIT License Copyright (c) Permission is hereby granted, free of charge, to any person "
+            "obtaining a copy of this software and associated documentation files (the Software), "
+            "to deal in the Software without restriction, including without limitation the rights "
+            "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+            "Software, and to permit persons to whom the Software is furnished to do so, subject to "
+            "the following conditions: The above copyright notice and this permission notice shall "
+            "be included in all copies or substantial portions of the Software. THE SOFTWARE IS "
+            "PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT "
+            "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+            "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY "
+            "CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, "
+            "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN "
+            "THE SOFTWARE."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without "
+                     "modification, are permitted provided that the following conditions are met: "
+                     "Redistributions of source code must retain the above copyright notice, this "
+                     "list of conditions and the following disclaimer. Redistributions in binary "
+                     "form must reproduce the above copyright notice, this list of conditions and "
+                     "the following disclaimer in the documentation and/or other materials provided "
+                     "with the distribution. Neither the name of the copyright holder nor the names "
+                     "of its contributors may be used to endorse or promote products derived from "
+                     "this software without specific prior written permission."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use "
+                   "this file except in compliance with the License. You may obtain a copy of the "
+                   "License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    *(
+        (name, f"This program is free software: you can redistribute it and/or modify it under the "
+               f"terms of the GNU {kind} as published by the Free Software Foundation, either "
+               f"version {version} of the License, or (at your option) any later version.")
+        for name, kind, version in (
+            ("GPL-2.0", "General Public License", 2),
+            ("GPL-3.0", "General Public License", 3),
+            ("LGPL-3.0", "Lesser General Public License", 3),
+            ("AGPL-3.0", "Affero General Public License", 3),
+        )
+    ),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International Public License"),
+    ("CC0-1.0", "Creative Commons Legal Code CC0 1.0 Universal"),
+)
+#: A line with one of these words is a notice line; document frequencies are counted over them.
 NOTICE = r"licen[sc]e|copyright|all rights reserved|public domain|spdx-license-identifier"
-#: Cosine from which a notice counts as the template's.
+#: Every window holds a line with one of these: the notice words and those of templates without any.
+ANCHOR = (
+    NOTICE + r"|hereby|redistribut|creative commons|\bcc0\b|\bcc[ -]by\b|free software|source code form"
+)
+#: Lines that a window of lines has at most; longer passages are paragraphs, or the whole text.
+SPAN = 4
+#: Cosine from which a window counts as the template's.
 THRESHOLD = 0.6
 #: Share of a file's words in notice lines from which it is a license file.
 WHOLE_FILE = 0.5
+#: Cosine from which a window with that share of the words makes a license file too.
+WHOLE_COSINE = 0.8
+#: What reserves all rights yields to any license granted in the same file.
+RESERVED = "Proprietary"
 _TERM = r"[^\p{L}\p{N}.\-]+"
 
 
@@ -67,13 +135,14 @@ def _templates(spark: SparkSession, templates) -> DataFrame:
     return words.groupBy("template", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def _count(text: Column) -> Column:
+    return F.size(F.filter(F.split(text, r"\s+"), lambda w: w != ""))
+
+
 def notices(files: DataFrame, *, path_col: str, text_col: str) -> DataFrame:
     """``(path, notice, whole)`` of files with notice lines; ``whole`` marks license files."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     lines = F.filter(F.split("text", "\n"), lambda line: F.lower(line).rlike(NOTICE))
-    size = F.size(F.filter(F.split("text", r"\s+"), lambda w: w != ""))
-    own = F.size(F.filter(F.split("notice", r"\s+"), lambda w: w != ""))
-    name = F.lower(F.element_at(F.split("path", "/"), -1))
     return (
         files.select(F.col(path_col).alias("path"), text.alias("text"))
         .filter(F.lower("text").rlike(NOTICE))
@@ -81,66 +150,155 @@ def notices(files: DataFrame, *, path_col: str, text_col: str) -> DataFrame:
         .select(
             "path", "notice",
             F.coalesce(
-                (own >= WHOLE_FILE * size) | name.rlike(r"^(licen[sc]e|copying|notice)(\.|$)"),
-                F.lit(False),
+                (_count(F.col("notice")) >= WHOLE_FILE * _count(F.col("text"))) | _named("path"), F.lit(False)
             ).alias("whole"),
         )
     )
 
 
+def _runs(words: str) -> Column:
+    """``(term, tf)`` of a sorted array of words, from the places where a new word begins."""
+    at = F.filter(
+        F.sequence(F.lit(1), F.size(words) + 1),
+        lambda i: (i == 1) | (i > F.size(words)) | (F.get(words, i - 1) != F.get(words, i - 2)),
+    )
+    return F.zip_with(
+        F.slice(at, F.lit(1), F.size(at) - 1), F.slice(at, F.lit(2), F.size(at) - 1),
+        lambda i, j: F.struct(F.get(words, i - 1).alias("term"), (j - i).alias("tf")),
+    )
+
+
+def _named(path: str) -> Column:
+    """Whether a file's name is that of a license file."""
+    return F.lower(F.element_at(F.split(path, "/"), -1)).rlike(r"^(licen[sc]e|copying|notice)(\.|$)")
+
+
+def windows(files: DataFrame, *, path_col: str, text_col: str) -> DataFrame:
+    """``(path, window, half, named)``: passages of the files around lines with an anchor word.
+
+    Runs of up to ``SPAN`` lines, sentences and paragraphs (a line without letters and digits ends
+    one), and the whole text.  ``half`` marks windows with half of the file's words, ``named`` files
+    with a license file's name.
+    """
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    speaks = lambda t: F.lower(t).rlike(ANCHOR)
+
+    def runs(n: int) -> Column:
+        def of(i: Column) -> Column:
+            begins = F.sequence(F.greatest(i - n + 1, F.lit(1)), i)
+            return F.transform(begins, lambda k: F.array_join(F.slice("lines", k, n), " "))
+
+        return F.flatten(F.transform("at", of))
+
+    sentences = F.flatten(
+        F.transform("paragraphs", lambda p: F.split(p, r"(?<=[.;:!?])[^\p{L}\p{N}]+(?=\p{Lu})"))
+    )
+    return (
+        files.select(F.col(path_col).alias("path"), text.alias("text"))
+        .filter(speaks("text"))
+        .withColumn("lines", F.split("text", "\n"))
+        .withColumn("paragraphs", F.filter(F.split("text", r"\n(?:[^\p{L}\p{N}\n]*\n)+"), speaks))
+        .withColumn("at", F.filter(
+            F.sequence(F.lit(1), F.size("lines")), lambda i: speaks(F.element_at("lines", i))
+        ))
+        .select(
+            "path", _named("path").alias("named"), _count(F.col("text")).alias("size"),
+            F.explode(F.array_distinct(F.concat(
+                *(runs(n) for n in range(1, SPAN + 1)),
+                F.filter(sentences, speaks), F.col("paragraphs"), F.array("text"),
+            ))).alias("window"),
+        )
+        .select(
+            "path", "window", "named",
+            (_count(F.col("window")) >= WHOLE_FILE * F.col("size")).alias("half"),
+        )
+    )
+
+
 def detect(files: DataFrame, *, path_col: str, text_col: str, templates=TEMPLATES,
-           threshold: float = THRESHOLD) -> DataFrame:
-    """``(path, whole, license, similarity)`` of the files whose notice reaches the threshold.
+           threshold: float = THRESHOLD, texts=TEXTS) -> DataFrame:
+    """``(path, whole, license, similarity)`` of the files with a window that reaches the threshold.
 
-    Document frequencies are counted over the notices of all files and all templates.
-    Notices of equal words are weighed once: a notice that a third of all files carries is one
-    row in the join.  Ties between templates go to the first by name.
+    Document frequencies are counted over the notices of all files and all templates; a term in
+    none of them has a frequency of 0.  Windows of equal words are weighed once: a notice that a
+    third of all files carries is one row in the join.  Ties between templates go to the first by
+    name, and ``RESERVED`` comes after any license.
     """
     spark = files.sparkSession
-    found = settle(
-        notices(files, path_col=path_col, text_col=text_col).withColumn(
-            "words", F.array_sort(_terms(F.col("notice")))
-        ).withColumn("key", F.sha2(F.array_join("words", " "), 256)).drop("notice")
-    )
-    kinds = settle(
-        found.groupBy("key").agg(F.first("words").alias("words"), F.count(F.lit(1)).alias("files"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    spoken = settle(
+        files.select(F.col(path_col).alias("path"), text.alias("text")).filter(F.lower("text").rlike(ANCHOR))
     )
-    terms = kinds.select("key", "files", F.explode("words").alias("term")).groupBy(
-        "key", "files", "term"
-    ).agg(F.count(F.lit(1)).alias("tf"))
+
+    def keyed(rows: DataFrame, name: str) -> DataFrame:
+        return rows.withColumn("words", F.array_sort(_terms(F.col(name)))).withColumn(
+            "key", F.sha2(F.array_join("words", " "), 256)
+        ).drop(name)
+
+    def kinds_of(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("key").agg(F.first("words").alias("words"), F.count(F.lit(1)).alias("files"))
+
+    found = settle(keyed(notices(spoken, path_col="path", text_col="text"), "notice"))
+    kinds = settle(kinds_of(found))
     wanted = _templates(spark, templates)
     frequency = (
-        terms.select("term", "files")
-        .unionByName(wanted.select("term", F.lit(1).cast("bigint").alias("files")))
+        kinds.select("files", F.explode(F.array_distinct("words")).alias("term"))
+        .unionByName(wanted.select(F.lit(1).cast("bigint").alias("files"), "term"))
         .groupBy("term")
         .agg(F.sum("files").alias("df"))
     )
     total = (kinds.agg(F.sum("files")).first()[0] or 0) + len(templates)
     idf = settle(frequency.select("term", (F.log((total + 1) / (F.col("df") + 1)) + 1).alias("idf")))
 
-    def vector(rows: DataFrame, key: str) -> DataFrame:
-        weighed = rows.join(idf, "term").select(
-            key, "term", ((1 + F.log("tf")) * F.col("idf")).alias("weight")
+    passages = settle(keyed(windows(spoken, path_col="path", text_col="text"), "window"))
+    # narrow numbers stand for the different windows; once written they stay
+    numbered = settle(kinds_of(passages).select("key", "words", F.monotonically_increasing_id().alias("n")))
+
+    def weighed(rows: DataFrame, key: str) -> DataFrame:
+        return rows.join(idf, "term", "left").select(
+            key, "term",
+            ((1 + F.log("tf")) * F.coalesce("idf", F.lit(math.log(total + 1) + 1))).alias("weight"),
         )
-        norm = weighed.groupBy(key).agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"))
-        return weighed.join(norm, key).select(key, "term", (F.col("weight") / F.col("norm")).alias("weight"))
 
-    left = vector(terms, "key")
-    right = vector(wanted, "template").withColumnRenamed("weight", "other")
-    best = (
+    def norms(rows: DataFrame, key: str, name: str) -> DataFrame:
+        return rows.groupBy(key).agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias(name))
+
+    # the terms of a window leave its row side by side, so sums by window shrink before they travel
+    left = weighed(numbered.select("n", F.inline(_runs("words"))), "n")
+    right = weighed(_templates(spark, (*templates, *texts)), "template").withColumnRenamed("weight", "other")
+    sizes = norms(right.withColumnRenamed("other", "weight"), "template", "other_norm")
+    scored = (
         left.join(right, "term")
-        .groupBy("key", "template")
-        .agg(F.round(F.sum(F.col("weight") * F.col("other")), 6).alias("similarity"))
+        .groupBy("n", "template")
+        .agg(F.sum(F.col("weight") * F.col("other")).alias("product"))
+        .join(norms(left, "n", "norm"), "n")
+        .join(sizes, "template")
+        .withColumn("similarity", F.round(F.col("product") / F.col("norm") / F.col("other_norm"), 6))
         .filter(F.col("similarity") >= threshold)
-        .groupBy("key")
-        .agg(F.min(F.struct((-F.col("similarity")).alias("far"), "template")).alias("top"))
-        .select(
-            "key",
-            F.substring_index("top.template", " ", 1).alias("license"),
-            (-F.col("top.far")).alias("similarity"),
+        .join(numbered.select("n", "key"), "n")
+        .select("key", "template", "similarity")
+    )
+    # a license's best window in every file, then the file's best license
+    told = (
+        passages.drop("words").join(scored, "key")
+        .withColumn("license", F.substring_index("template", " ", 1))
+        .groupBy("path", "license")
+        .agg(
+            F.min(F.struct((-F.col("similarity")).alias("far"), "template")).alias("top"),
+            F.bool_or(F.col("named") | F.col("half") & (F.col("similarity") >= WHOLE_COSINE)).alias("whole"),
         )
+        .groupBy("path")
+        .agg(F.min(F.struct(
+            (F.col("license") == RESERVED).alias("reserved"), "top.far", "top.template", "license", "whole"
+        )).alias("best"))
+    )
+    marked = found.groupBy("path").agg(F.bool_or("whole").alias("marked"))
+    return told.join(marked, "path", "left").select(
+        "path",
+        F.coalesce(F.col("best.whole") | F.col("marked"), F.col("best.whole"), F.col("marked"), F.lit(False)).alias("whole"),
+        F.col("best.license").alias("license"),
+        (-F.col("best.far")).alias("similarity"),
     )
-    return found.join(best, "key").select("path", "whole", "license", "similarity")
 
 
 def directories(path: Column) -> Column:

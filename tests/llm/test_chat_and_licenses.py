@@ -226,3 +226,54 @@ def test_odd_files(spark):
     empty = spark.createDataFrame([], DOCS).withColumnRenamed("lang", "path")
     assert licenses.scan(empty).count() == 0
     assert no_documents(spark).count() == 0
+
+
+MIT_FILE = """MIT License
+
+Copyright (c) 2021 Acme Inc
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+
+
+def test_headers_and_whole_texts(spark):
+    code = "\n".join(f"def f{k}(x): return x + {k}" for k in range(30))
+    files = {
+        "p/mit.py": ("# Copyright (c) 2021 Acme Inc\n# Licensed under the MIT License.\n" + code, "MIT"),
+        "p/names.py": ("".join(f"# Copyright {n} Person{n} Surname{n}\n" for n in range(9))
+                       + "# Licensed under the Apache License, Version 2.0.\n" + code, "Apache-2.0"),
+        "p/one_line.py": ("# Part of Tool 7. Released under the MIT License. See the manual of Tool 7.\n" + code, "MIT"),
+        "p/reserved.c": ("/* Copyright 2020 Acme. All rights reserved.\n * Licensed under MIT License */\n" + code, "MIT"),
+        "p/bsd.c": ("/*\n * Copyright (c) 2019 Foo Bar. All rights reserved.\n *\n * Redistribution and use in source and binary "
+                    "forms, with or without\n * modification, are permitted provided that the following\n * conditions are met:\n"
+                    " */\n" + code, "BSD-3-Clause"),
+        "p/plain.c": ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+                      "associated documentation files\n" + code, "MIT"),
+        "p/agpl.c": ("// This program is free software: you can redistribute it and/or modify\n// it under the terms of the GNU "
+                     "Affero General Public License as\n// published by the Free Software Foundation, either version 3 of the\n"
+                     "// License, or (at your option) any later version.\n" + code, "AGPL-3.0"),
+        "q/LICENSE": (MIT_FILE, "MIT"),
+        "q/mit.txt": (MIT_FILE, "MIT"),
+        "r/texts/mit": (MIT_FILE, "MIT"),
+        "r/texts/code": (code, "MIT"),
+        "s/code": (code + "\n# the copyright of names and the license to use them is a long story", None),
+    }
+    df = spark.createDataFrame([(p, t) for p, (t, _) in files.items()], "path string, text string")
+    got = {r["path"]: (r["license"], r["inherited_from"]) for r in licenses.scan(df).collect()}
+    assert got == {p: (l, "r/texts" if p == "r/texts/code" else None) for p, (_, l) in files.items()}
