@@ -153,3 +153,34 @@ def test_only_touched_shards_are_written(spark, tmp_path):
     touched = resharding.rewrite(docs, placed, str(tmp_path / "out"))
     assert touched == [2, 3]
     assert spark.read.parquet(str(tmp_path / "out")).count() == 20
+
+
+def test_rewriting_in_place_keeps_every_row(spark, tmp_path):
+    path = str(tmp_path / "shards")
+    rows = [(k, f"text {k} " * 9, k % 3, k) for k in range(30)]
+    rows += [(None, "no id", 2, 100 + k) for k in range(4)] + [(None, None, 2, 200)]
+    rows += [(7, "same", k % 3, 300 + k) for k in range(40)] + [(7, "other", 1, 400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, shard int, tag int").repartition(5)
+    docs.write.partitionBy("shard").parquet(path)
+    old = F.col("shard")
+
+    def tags():
+        return sorted(r["tag"] for r in spark.read.parquet(path).collect())
+
+    every = sorted(r[3] for r in rows)
+    for shards in (5, 2):
+        laid = spark.read.parquet(path)
+        placed = resharding.reshard(laid, old=old, shards=shards)
+        resharding.rewrite(laid, placed, path, old=old)
+        assert tags() == every
+        found = [(r["doc_id"], r["shard"]) for r in spark.read.parquet(path).collect()]
+        assert sorted(found, key=repr) == sorted(((r["doc_id"], r["shard"]) for r in placed.collect()), key=repr)
+
+
+def test_rewriting_leaves_untouched_shards(spark, tmp_path):
+    path = str(tmp_path / "shards")
+    docs = spark.createDataFrame([(k, "x" * 84) for k in range(40)], "doc_id bigint, text string")
+    old = F.when(F.col("doc_id") < 10, 0).when(F.col("doc_id") < 20, 1).otherwise(2)
+    docs.withColumn("shard", old).write.partitionBy("shard").parquet(path)
+    assert resharding.rewrite(docs, resharding.reshard(docs, old=old, shards=4), path) == [2, 3]
+    assert sorted(r["doc_id"] for r in spark.read.parquet(path).collect()) == list(range(40))
