@@ -38,8 +38,6 @@ EXCEPTIONS = ("trash can", "trash bin", "clown fish", "pond scum")
 #: Words kept in the lexicon, the best by evidence; a fixed bound on what reaches the driver.
 MAX_TERMS = 20_000
 MAX_EXCEPTIONS = 2_000
-#: Log-odds a word must have at least; odds of about 50 to 1.
-MIN_WEIGHT = 4.0
 #: Folds of crc32(id) whose labels are never learned from.
 FOLDS, HELD_OUT = 5, 0
 #: Distinct words a task counts before it hands its sums on.
@@ -182,7 +180,8 @@ def learn(rows: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """The words of labelled ``rows(text, toxic)`` whose rate among toxic documents is beyond chance, with log-odds as weights.
 
     A word is kept when its evidence exceeds that of the luckiest among all words counted
-    (Bonferroni), so the bar rises with the vocabulary.  Nothing but ``MAX_TERMS`` words reaches
+    (Bonferroni), so the bar rises with the vocabulary; how much it says is left to its weight and
+    the regression, so words that clean documents quote stay.  Nothing but ``MAX_TERMS`` words reaches
     the driver.  Without labels of both kinds the lexicon is empty.
     """
     counts = settle(
@@ -202,7 +201,7 @@ def learn(rows: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
         counts.filter("length(word) >= 3 AND toxic > 0")
         .withColumn("evidence", _evidence(F.col("toxic"), F.col("clean"), all_toxic, all_clean))
         .withColumn("weight", weight)
-        .filter((F.col("weight") > MIN_WEIGHT) & (F.col("evidence") > math.log(2 * tested)))
+        .filter((F.col("weight") > 0) & (F.col("evidence") > math.log(2 * tested)))
         .orderBy(F.desc("evidence"), "word")
         .limit(MAX_TERMS)
         .select("word", "weight", "clean")

@@ -158,3 +158,33 @@ def test_lm_without_training_rows(spark):
     rows = lm_scoring.score(docs, train_rows=F.lit(False)).collect()
     assert len(rows) == docs.count()
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 and math.isfinite(r["score"]) for r in rows)
+
+
+def test_words_with_evidence_stay_in_the_lexicon(spark):
+    def rows(toxic, clean, bad, quoted):
+        texts = [(f"plain w{k % 50} " + ("grumbo" if k < bad else ""), True) for k in range(toxic)]
+        texts += [(f"plain w{k % 50} " + ("grumbo" if k < quoted else ""), False) for k in range(clean)]
+        return spark.createDataFrame(texts, "text string, toxic boolean")
+
+    # balanced labels; labels mostly toxic; quoted in clean rows, each with its own neighbour
+    for case in ((100, 100, 24, 0), (400, 100, 90, 0), (500, 3000, 50, 8)):
+        lexicon = toxicity.learn(rows(*case))
+        assert list(lexicon.weights) == ["grumbo"], case
+
+
+def test_balanced_labels_with_quoted_insults(spark):
+    rng = np.random.default_rng(3)
+    docs, labels = [], []
+    for k in range(1500):
+        words = [f"w{n}" for n in rng.integers(0, 900, rng.integers(5, 60))]
+        bad = bool(rng.random() < 0.5)
+        if bad or rng.random() < 0.04:
+            words.insert(int(rng.integers(0, len(words))), ["grumbo", "flarg"][int(rng.integers(0, 2))])
+        docs.append((k, " ".join(words)))
+        labels.append((k, int(bad)))
+    scored = toxicity.score(
+        spark.createDataFrame(docs, "doc_id bigint, text string"),
+        spark.createDataFrame(labels, "doc_id bigint, toxic int"),
+    ).filter("held_out").collect()
+    truth = dict(labels)
+    assert sum(r["predicted"] == truth[r["doc_id"]] for r in scored) / len(scored) > 0.93
