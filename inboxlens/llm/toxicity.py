@@ -12,7 +12,8 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -35,9 +36,13 @@ HOMOGLYPHS = {
 }
 #: Harmless phrases around words that are often abuse.
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "pond scum")
-#: Words kept in the lexicon, the best by evidence; a fixed bound on what reaches the driver.
-MAX_TERMS = 20_000
-MAX_EXCEPTIONS = 2_000
+#: Odds of the toxic label that a word must at least multiply, beyond chance, to be kept.
+MIN_ODDS = 2.0
+#: Words added in one round have at least this share of the evidence of the round's best word.
+ROUND_SHARE = 0.5
+#: Default bounds on the lexicon and its exception phrases (the best by evidence), which are held
+#: by the driver and every task; ``learn`` and ``score`` take others.
+MOST_WORDS, MOST_EXCEPTIONS = 100_000, 20_000
 #: Folds of crc32(id) whose labels are never learned from.
 FOLDS, HELD_OUT = 5, 0
 #: Distinct words a task counts before it hands its sums on.
@@ -108,8 +113,14 @@ def matches(automaton, text: str) -> Iterator[tuple[int, int, float]]:
         if start and text[start - 1].isalnum() or end < last and text[end].isalnum():
             continue
         (excused if excuse else hits).append((start, end, weight))
+    excused.sort()
+    starts, ends = [a for a, _, _ in excused], []
+    for _, b, _ in excused:
+        ends.append(max(b, ends[-1]) if ends else b)
     for start, end, weight in hits:
-        if not any(a <= start and end <= b for a, b, _ in excused):
+        before = bisect_right(starts, start)
+        # of the phrases that begin in time, does the one that goes furthest cover the word?
+        if not before or ends[before - 1] < end:
             yield start, end, weight
 
 
@@ -139,114 +150,146 @@ def _training(ident: Column) -> Column:
     return ~held_out(ident)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with a word, by label, summed over a task; the empty word counts all of them."""
-    toxic: dict[str, int] = {}
-    clean: dict[str, int] = {}
-
-    def out() -> pa.RecordBatch:
-        keys = list(toxic.keys() | clean.keys())
-        made = pa.RecordBatch.from_arrays(
-            [
-                pa.array(keys, pa.string()),
-                pa.array([toxic.get(k, 0) for k in keys], pa.int64()),
-                pa.array([clean.get(k, 0) for k in keys], pa.int64()),
-            ],
-            names=["word", "toxic", "clean"],
-        )
-        toxic.clear()
-        clean.clear()
-        return made
-
-    for batch in batches:
-        for text, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            side = toxic if label else clean
-            for word in {"", *words(text)}:
-                side[word] = side.get(word, 0) + 1
-        if len(toxic) + len(clean) > FLUSH:
-            yield out()
-    yield out()
-
-
-def _evidence(toxic: Column, clean: Column, all_toxic: int, all_clean: int) -> Column:
-    """Log-likelihood ratio of the word's own rate against the rate of all documents."""
-    share = all_toxic / (all_toxic + all_clean)
-    n = toxic + clean
-    part = lambda k, p: F.when(k > 0, k * F.log(k / (n * p))).otherwise(0.0)
-    return part(toxic, share) + part(clean, 1 - share)
+def _tally(keys_of: Callable[[str], set[str]], name: str) -> Callable:
+    """Documents with a key, by label, counted in the task before anything is handed on."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        toxic: dict[str, int] = {}
+        clean: dict[str, int] = {}
 
-def learn(rows: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
-    """The words of labelled ``rows(text, toxic)`` whose rate among toxic documents is beyond chance, with log-odds as weights.
+        def out() -> pa.RecordBatch:
+            keys = list(toxic.keys() | clean.keys())
+            made = pa.RecordBatch.from_arrays(
+                [
+                    pa.array(keys, pa.string()),
+                    pa.array([toxic.get(k, 0) for k in keys], pa.int64()),
+                    pa.array([clean.get(k, 0) for k in keys], pa.int64()),
+                ],
+                names=[name, "toxic", "clean"],
+            )
+            toxic.clear()
+            clean.clear()
+            return made
 
-    A word is kept when its evidence exceeds that of the luckiest among all words counted
-    (Bonferroni), so the bar rises with the vocabulary; how much it says is left to its weight and
-    the regression, so words that clean documents quote stay.  Nothing but ``MAX_TERMS`` words reaches
-    the driver.  Without labels of both kinds the lexicon is empty.
-    """
-    counts = settle(
-        rows.mapInArrow(_count, "word string, toxic bigint, clean bigint")
-        .groupBy("word")
+        for batch in batches:
+            for text, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                side = toxic if label else clean
+                for key in keys_of(text):
+                    side[key] = side.get(key, 0) + 1
+            if len(toxic) + len(clean) > FLUSH:
+                yield out()
+        yield out()
+
+    return run
+
+
+def _counted(rows: DataFrame, keys_of: Callable[[str], set[str]], name: str) -> DataFrame:
+    return (
+        rows.mapInArrow(_tally(keys_of, name), f"{name} string, toxic bigint, clean bigint")
+        .groupBy(name)
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     )
+
+
+def _uncovered(kept: set[str]) -> Callable[[str], set[str]]:
+    """The words of a text that holds none of the kept ones; the empty word counts the text."""
+
+    def keys_of(text: str) -> set[str]:
+        found = {"", *words(text)}
+        return set() if found & kept else found
+
+    return keys_of
+
+
+def _evidence(toxic: Column, clean: Column, share: float) -> Column:
+    """Log-likelihood ratio of the word's own toxic share against a given one."""
+    n = toxic + clean
+    part = lambda k, p: F.when(k > 0, k * F.log(k / (n * p))).otherwise(0.0)
+    return part(toxic, share) + part(clean, 1 - share)
+
+
+def _added(rows: DataFrame, kept: set[str], min_odds: float, most: int) -> list:
+    """The words of one round of :func:`learn`: ``(word, weight, clean)``."""
+    counts = settle(_counted(rows, _uncovered(kept), "word"))
     totals = counts.filter("word = ''").first()
     if not totals or not totals["toxic"] or not totals["clean"]:
-        return Lexicon()
+        return []
     all_toxic, all_clean = totals["toxic"], totals["clean"]
-    tested = counts.count()
-    weight = F.log((F.col("toxic") + 0.5) / (all_toxic + 1.0)) - F.log(
-        (F.col("clean") + 0.5) / (all_clean + 1.0)
-    )
-    kept = (
+    bar = math.log(2 * counts.count())
+    # the toxic share among documents with a word that multiplies the odds by just the least
+    share = min_odds * all_toxic / (min_odds * all_toxic + all_clean)
+    toxic, clean = F.col("toxic"), F.col("clean")
+    weight = F.log((toxic + 0.5) / (all_toxic + 1.0)) - F.log((clean + 0.5) / (all_clean + 1.0))
+    good = (
         counts.filter("length(word) >= 3 AND toxic > 0")
-        .withColumn("evidence", _evidence(F.col("toxic"), F.col("clean"), all_toxic, all_clean))
+        .filter(toxic / (toxic + clean) > share)
+        .withColumn("evidence", _evidence(toxic, clean, share))
+        .filter(F.col("evidence") > bar)
+    )
+    best = good.agg(F.max("evidence")).first()[0]
+    if best is None:
+        return []
+    return (
+        good.filter(F.col("evidence") >= best * ROUND_SHARE)
         .withColumn("weight", weight)
-        .filter((F.col("weight") > 0) & (F.col("evidence") > math.log(2 * tested)))
         .orderBy(F.desc("evidence"), "word")
-        .limit(MAX_TERMS)
+        .limit(most)
         .select("word", "weight", "clean")
         .collect()
     )
-    lexicon = Lexicon({r["word"]: r["weight"] for r in kept}, frozenset(map(_phrase, exceptions)))
-    mixed = {r["word"] for r in kept if r["clean"]}
+
+
+def learn(
+    rows: DataFrame,
+    exceptions: tuple[str, ...] = EXCEPTIONS,
+    *,
+    min_odds: float = MIN_ODDS,
+    most_words: int = MOST_WORDS,
+    most_exceptions: int = MOST_EXCEPTIONS,
+) -> Lexicon:
+    """The words of labelled ``rows(text, toxic)`` that raise the odds of the toxic label, with log-odds as weights.
+
+    A word qualifies when documents with it are toxic more often than ``min_odds`` times the
+    overall odds explain, with evidence beyond that of the luckiest among all words counted
+    (Bonferroni), so the bar rises with the vocabulary.  Words are added in rounds, the ones with
+    most evidence first; the next round counts only documents that hold no word kept so far.  Plain
+    words that a group of copies shares with an insult are thereby explained by the insult and stay
+    out, however many copies there are.  The best evidence about halves from round to round, so
+    there are few.  Only words that qualify reach the driver, at most ``most_words`` of them.
+    Without labels of both kinds the lexicon is empty.
+    """
+    weights: dict[str, float] = {}
+    mixed: set[str] = set()
+    while len(weights) < most_words:
+        added = _added(rows, set(weights), min_odds, most_words - len(weights))
+        if not added:
+            break
+        weights |= {r["word"]: r["weight"] for r in added}
+        mixed |= {r["word"] for r in added if r["clean"]}
+    phrases = frozenset(map(_phrase, exceptions))
     if mixed:
-        found = _learn_exceptions(rows, lexicon, mixed)
-        lexicon = Lexicon(lexicon.weights, lexicon.exceptions | found)
-    return lexicon
+        phrases |= _learn_exceptions(rows, mixed, most_exceptions)
+    return Lexicon(weights, phrases if weights else frozenset())
 
 
 def _phrase(text: str) -> str:
     return " ".join(fold(text).split())
 
 
-def _learn_exceptions(rows: DataFrame, lexicon: Lexicon, mixed: set[str]) -> frozenset[str]:
-    """Pairs of neighbours around a lexicon word that clean documents have and toxic ones lack."""
+def _learn_exceptions(rows: DataFrame, mixed: set[str], most: int) -> frozenset[str]:
+    """Pairs of neighbours around a word of ``mixed`` that clean documents have and toxic ones lack."""
 
-    def run(batches):
-        for batch in batches:
-            phrases, toxic, clean = [], [], []
-            for text, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = words(text)
-                near = {
-                    f"{a} {b}"
-                    for a, b in zip(found, found[1:], strict=False)
-                    if a in mixed or b in mixed
-                }
-                phrases += near
-                toxic += [int(label)] * len(near)
-                clean += [int(not label)] * len(near)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(phrases, pa.string()), pa.array(toxic, pa.int64()), pa.array(clean, pa.int64())],
-                names=["phrase", "toxic", "clean"],
-            )
+    def near(text: str) -> set[str]:
+        found = words(text)
+        return {
+            f"{a} {b}" for a, b in zip(found, found[1:], strict=False) if a in mixed or b in mixed
+        }
 
-    counted = rows.mapInArrow(run, "phrase string, toxic bigint, clean bigint").groupBy("phrase").agg(
-        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
-    )
     best = (
-        counted.filter("clean >= 5 AND toxic * 20 <= clean")
+        _counted(rows, near, "phrase")
+        .filter("clean >= 5 AND toxic * 20 <= clean")
         .orderBy(F.desc("clean"), "phrase")
-        .limit(MAX_EXCEPTIONS)
+        .limit(most)
         .collect()
     )
     return frozenset(r["phrase"] for r in best)

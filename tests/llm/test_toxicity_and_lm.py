@@ -103,6 +103,108 @@ def test_labels_of_the_held_out_fold_are_not_read(labelled):
     assert one == two
 
 
+def brute_toxicity(docs, labels, exceptions=toxicity.EXCEPTIONS):
+    """Lexicon, hits, weights and scores by plain loops over all rows."""
+    told = {}
+    for ident, toxic in labels:
+        if toxic is not None and ident is not None and zlib.crc32(str(ident).encode()) % 5:
+            told[ident] = told.get(ident, False) or toxic > 0
+    rows = [(t or "", told[i]) for i, t in docs if i in told]
+    weights, mixed = {}, set()
+    while True:
+        left = [({*toxicity.words(t), ""}, y) for t, y in rows]
+        left = [(ws, y) for ws, y in left if not ws & weights.keys()]
+        bad, good = Counter(), Counter()
+        for ws, y in left:
+            (bad if y else good).update(ws)
+        if not bad[""] or not good[""]:
+            break
+        odds = toxicity.MIN_ODDS * bad[""] / good[""]
+        share = odds / (1 + odds)
+        found = {}
+        for w in bad.keys() | good.keys():
+            b, g = bad[w], good[w]
+            if len(w) >= 3 and b and b / (b + g) > share:
+                e = b * math.log(b / ((b + g) * share))
+                e += g * math.log(g / ((b + g) * (1 - share))) if g else 0
+                if e > math.log(2 * len(bad.keys() | good.keys())):
+                    found[w] = e
+        if not found:
+            break
+        for w, e in found.items():
+            if e >= max(found.values()) * toxicity.ROUND_SHARE:
+                weights[w] = math.log((bad[w] + 0.5) / (bad[""] + 1)) - math.log(
+                    (good[w] + 0.5) / (good[""] + 1)
+                )
+                mixed |= {w} if good[w] else set()
+    pairs = {True: Counter(), False: Counter()}
+    for t, y in rows:
+        ws = toxicity.words(t)
+        pairs[y].update({f"{a} {b}" for a, b in zip(ws, ws[1:]) if {a, b} & mixed})
+    phrases = {" ".join(toxicity.fold(e).split()) for e in exceptions}
+    phrases |= {p for p, n in pairs[False].items() if n >= 5 and pairs[True][p] * 20 <= n}
+
+    def spans(text, key):
+        at = text.find(key)
+        while at >= 0:
+            end = at + len(key)
+            if not (at and raw[at - 1].isalnum()) and not (end < len(raw) and raw[end].isalnum()):
+                yield at, end
+            at = text.find(key, at + 1)
+
+    result = []
+    for ident, t in docs:
+        raw = t or ""
+        text = toxicity.fold(raw)
+        excused = [s for p in phrases for s in spans(text, p)]
+        hits = [
+            (w, s) for w in weights if w not in phrases for s in spans(text, w)
+            if not any(a <= s[0] and s[1] <= b for a, b in excused)
+        ]
+        weight = math.fsum(sorted(weights[w] for w in {w for w, _ in hits}))
+        result.append((ident, len(hits), weight, raw.count(" ") + raw.count("\n") + 1))
+    return weights, phrases, result
+
+
+def test_scores_equal_brute_force(spark, labelled):
+    docs, labels, _ = labelled
+    long = " ".join(["grumbo flarg stone wibble"] * 20_000)
+    odd = spark.createDataFrame(
+        [(9001, None), (9002, ""), (9003, long), (9004, "Flarg stone, fl4rg"), (9004, "grumbo")],
+        "doc_id bigint, text string",
+    )
+    docs = docs.unionByName(odd)
+    got = toxicity.score(docs, labels)
+    lexicon = toxicity.learn(toxicity._labelled(docs, labels, "doc_id", "text"))
+    weights, phrases, rows = brute_toxicity(
+        [tuple(r) for r in docs.collect()], [tuple(r) for r in labels.collect()]
+    )
+    assert lexicon.weights.keys() == weights.keys() and set(lexicon.exceptions) == phrases
+    assert all(lexicon.weights[w] == pytest.approx(x) for w, x in weights.items())
+    mine = sorted((r["doc_id"], r["hits"], round(r["weight"], 9), r["n_words"]) for r in got.collect())
+    assert mine == sorted((i, h, round(w, 9), n) for i, h, w, n in rows)
+    # one logistic curve over the two features, the same for every row
+    by_features = {}
+    for r in got.collect():
+        by_features.setdefault((r["weight"], r["n_words"]), set()).add(r["score"])
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
+    assert all(len(scores) == 1 for scores in by_features.values())
+
+
+def test_copies_of_a_toxic_text_teach_no_plain_words(spark):
+    """Words that copies share with an insult are explained by the insult."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(800):
+        words = [f"w{n}" for n in rng.integers(0, 700, 30)]
+        if k % 4 == 0:
+            words.insert(int(rng.integers(0, 30)), ["grumbo", "snizzle"][k % 8 // 4])
+        rows.append((" ".join(words), k % 4 == 0))
+    rows += [(f"once upon unheard grumbo times v{k}", True) for k in range(60)]
+    lexicon = toxicity.learn(spark.createDataFrame(rows, "text string, toxic boolean"))
+    assert set(lexicon.weights) == {"grumbo", "snizzle"}
+
+
 def test_base_scores_and_held_out_gain(spark):
     rows = lm_scoring.query(spark, SMALL).collect()
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
