@@ -6,8 +6,11 @@ from inboxlens.llm import (
     chat,
     embedding_dups,
     exact_dedup,
+    fill_middle,
+    hard_negatives,
     licenses,
     lm_scoring,
+    main_text,
     mixing,
     near_dups,
     packing,
@@ -26,6 +29,9 @@ MODULES = (
     packing,
     resharding,
     toxicity,
+    hard_negatives,
+    main_text,
+    fill_middle,
 )
 
 
