@@ -23,7 +23,7 @@ from inboxlens.functions.clock import from_micros, instant  # noqa: E402
 from inboxlens.operators import dashboard, ingest, models, quality  # noqa: E402
 from inboxlens.plans import build, sync  # noqa: E402
 from inboxlens.session import prepare, shared_folder  # noqa: E402
-from inboxlens.sources import landed_fixture, landing, mailbox, tables  # noqa: E402
+from inboxlens.sources import files, landed_fixture, landing, mailbox, tables  # noqa: E402
 from inboxlens.streaming import mailstream  # noqa: E402
 
 try:
@@ -83,19 +83,12 @@ def _bounds(spark: SparkSession, sf_dir: str) -> tuple[dt.datetime, dt.datetime]
     return first.replace(microsecond=0), last.replace(microsecond=0) + dt.timedelta(seconds=1)
 
 
-def _arrival(spark: SparkSession, sf_dir: str) -> tuple[dt.datetime, dt.datetime]:
-    """Mail arrives from the day nine days before the last one."""
-    _, end = _bounds(spark, sf_dir)
-    start = end.replace(hour=0, minute=0, second=0) - dt.timedelta(days=9)
-    return start, end
-
-
 def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Mail that landed before and mail that arrives, two days of it twice."""
+    """Mail of the first two thirds of the days, landed before, and all mail, which arrives now."""
     everything = _mail(spark, sf_dir)
-    start, _ = _arrival(spark, sf_dir)
-    landed = everything.filter(F.col("received_at") < instant(start + dt.timedelta(days=2)))
-    return landed, everything.filter(F.col("received_at") >= instant(start))
+    lo, hi = _bounds(spark, sf_dir)
+    cut = (lo + 2 * ((hi - lo) / 3)).replace(hour=0, minute=0, second=0, microsecond=0)
+    return everything.filter(F.col("received_at") < instant(cut)), everything
 
 
 def _data_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,7 +105,7 @@ def _placed(spark: SparkSession, sf_dir: str, days: int = 1) -> DataFrame:
 
 def _window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed, arriving = _split(spark, sf_dir)
-    limits = _arrival(spark, sf_dir)
+    limits = _bounds(spark, sf_dir)
     keys = ingest.assign_window(arriving.select("message_id", "received_at"), *limits)
     spans = ingest.windows(ingest.bounds(spark, *limits))
     return ingest.window_counts(spans, keys, ingest.new_rows(keys, landed))
@@ -278,10 +271,15 @@ def _sync_again(full: bool) -> Query:
 
 
 def _sync_error_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run that fails, recorded with zero counts, then one that resumes at the same place."""
-    landed, targets = _land(spark, sf_dir)
+    """A run that fails on mail landed since the last one, recorded with zero counts, and its retry."""
+    base = _folder(spark)
+    landed, targets = f"{base}/json", _targets(base)
     floor, middle, end = _days(spark, sf_dir)
+    early = F.col("received_at") < instant(middle)
+    everything = _mail(spark, sf_dir)
+    landed_fixture.landed_from_mail(everything.filter(early)).write.text(landed)
     sync.run(spark, landed, targets, floor=floor, ceiling=middle)
+    landed_fixture.landed_from_mail(everything.filter(~early)).write.mode("append").text(landed)
     failing = lambda m: F.raise_error(F.lit("quota")).cast("boolean")
     try:
         sync.run(spark, landed, targets, floor=floor, ceiling=end, predicate=failing)
@@ -299,18 +297,52 @@ def _sync_error_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sync_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs that stop at a window over its cap, until one gets through."""
+    """All days in windows that each hold more than the cap: runs that stop and resume to the end."""
     landed, targets = _land(spark, sf_dir)
-    floor, middle, _ = _days(spark, sf_dir)
-    first_day = dt.datetime.combine(floor, dt.time(), UTC) + dt.timedelta(days=1)
-    total = _mail(spark, sf_dir).filter(F.col("received_at") < instant(first_day)).count()
-    cap = max(1, total // 3)
-    ceiling = min(first_day, middle)
-    while sync.run(spark, landed, targets, floor=floor, ceiling=ceiling, cap=cap)["status"] == "capped":
+    floor, _, end = _days(spark, sf_dir)
+    cap = max(1, _mail(spark, sf_dir).count() // 6)
+    options = {"floor": floor, "ceiling": end, "cap": cap, "days": 8, "windows_per_commit": 1}
+    while sync.run(spark, landed, targets, **options)["status"] == "capped":
         pass
     return _landed_mail(tables.read_messages(spark, targets.messages))
 
 
+#: Names that need care in paths, in URLs or in patterns.
+ODD_NAMES = ("a b", "c[1]", "50%", "d%20e", "f+g", "{h,i}", "j?k", "l*m", "ünï", "n#o", "p=q", "r&s;t")
+
+
+def _sync_odd_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two syncs of files with odd names, some of which land after the first."""
+    landed, targets = _land(spark, sf_dir)
+    floor, _, end = _days(spark, sf_dir)
+    parts = sorted(p for p in files.matching(spark, f"{landed}/part-*"))
+    for n, part in enumerate(parts):
+        files.move(spark, part, f"{landed}/{ODD_NAMES[n % len(ODD_NAMES)]}.{n}.json")
+    sync.run(spark, landed, targets, floor=floor, ceiling=end)
+    late = landed_fixture.landed_from_mail(_mail(spark, sf_dir), "message_id").select(
+        F.replace("value", F.lit('"id":"'), F.lit('"id":"late ')).alias("value")
+    )
+    late.repartition(len(ODD_NAMES)).write.mode("append").text(landed)
+    for n, part in enumerate(sorted(files.matching(spark, f"{landed}/part-*"))):
+        files.move(spark, part, f"{landed}/late {ODD_NAMES[n % len(ODD_NAMES)]}.{n}.json")
+    sync.run(spark, landed, targets, floor=floor, ceiling=end)
+    return _landed_mail(tables.read_messages(spark, targets.messages))
+
+
+SEARCH = (
+    "(in:inbox OR label:starred) -category:promotions after:2024/01/03 -subject:dinner "
+    '{from:acme subject:"interview for" "schedule a call" from:(hire lever) snippet-free hello}'
+)
+
+
+def _sync_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sync whose mail is chosen by a search string."""
+    landed, targets = _land(spark, sf_dir)
+    floor, _, end = _days(spark, sf_dir)
+    sync.run(spark, landed, targets, floor=floor, ceiling=end, predicate=SEARCH)
+    return _landed_mail(tables.read_messages(spark, targets.messages))
+
+
 def _ingested_at(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message carries the time of its run, not before it was received."""
     messages = tables.read_messages(spark, _synced(spark, sf_dir).messages)
@@ -329,11 +361,15 @@ def _stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed_mail(tables.read_messages(spark, targets.messages))
 
 
-def _landing_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns twelve MIME levels deep; the walk starts at four and goes on by itself."""
-    raw = landed_fixture.landed_from_turns(_table(spark, sf_dir, "conversations"), levels=12)
-    staged = landing.stage(raw, f"{_folder(spark)}/rows", ingested_at=AS_OF)
-    return landing.messages_of(staged).select("message_id", "plain_body")
+def _landing_deep(levels: int) -> Query:
+    """Turns so many MIME levels deep; one expression walks four, the rest goes level by level."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = landed_fixture.landed_from_turns(_table(spark, sf_dir, "conversations"), levels=levels)
+        staged = landing.stage(raw, f"{_folder(spark)}/rows", ingested_at=AS_OF)
+        return landing.messages_of(staged).select("message_id", "plain_body")
+
+    return run
 
 
 def _landing_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -359,16 +395,16 @@ def _built(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, build.Marts]:
 
 
 def _build_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.read_email_mart(spark, _built(spark, sf_dir)[1].emails).drop("received_date")
+    return build.read_marts(spark, _built(spark, sf_dir)[1])[0].drop("received_date")
 
 
 def _build_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     marts = _built(spark, sf_dir)[1]
-    return tables.read_applications(spark, marts.applications).drop("latest_status_date")
+    return build.read_marts(spark, marts)[1].drop("latest_status_date")
 
 
 def _build_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.read_meta(spark, _built(spark, sf_dir)[1].meta)
+    return build.read_marts(spark, _built(spark, sf_dir)[1])[2]
 
 
 def _build_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -489,6 +525,8 @@ def queries() -> dict[str, Query]:
         "sync_rerun": _sync_again(full=False),
         "sync_error_ledger": _sync_error_ledger,
         "sync_capped": _sync_capped,
+        "sync_odd_files": _sync_odd_files,
+        "sync_search": _sync_search,
         "sync_ingested_at": _ingested_at,
         # build
         "build_emails": _build_emails,
@@ -511,7 +549,8 @@ def queries() -> dict[str, Query]:
             "message_id", "job_pipeline_category"
         ),
         # landed JSON
-        "landing_deep": _landing_deep,
+        "landing_deep": _landing_deep(12),
+        "landing_40_levels": _landing_deep(40),
         "landing_quarantine": _landing_quarantine,
         **{name: _landed(name) for name in LANDED},
         "landing_body_cap": _landing_body_cap,

@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 
 PLAIN, HTML = "text/plain", "text/html"
 _TOO_DEEP = "too deep"
+#: A part whose subtree is not read, over a VARIANT column ``part``.
+HIDDEN_PART = (
+    "coalesce(length(try_variant_get(part, '$.filename', 'string')) > 0, false) "
+    "OR coalesce(length(try_variant_get(part, '$.body.attachmentId', 'string')) > 0, false)"
+)
 _NOTHING = "CAST(array() AS ARRAY<STRUCT<mime: STRING, data: STRING>>)"
 
 

@@ -98,21 +98,21 @@ def new_rows(batch: DataFrame, landed: DataFrame, *, key: str = "message_id") ->
     return first_copies(batch, key=key).join(landed.select(key).distinct(), key, "left_anti")
 
 
-def decide(narrow: DataFrame, landed: DataFrame) -> DataFrame:
-    """Which staged rows are new: ``(row_id, message_id, received_at, is_new)``.
+def decide(narrow: DataFrame, landed: DataFrame, *, row: tuple[str, ...] = ("row_id",)) -> DataFrame:
+    """Which staged rows are new: the columns ``row``, ``message_id``, ``received_at``, ``is_new``.
 
-    ``narrow(row_id, message_id, received_at, digest)`` stands for the rows, so that no body is
+    ``narrow(*row, message_id, received_at, digest)`` stands for the rows, so that no body is
     sorted or sent.  Of the copies of a message the first by receipt stays (then by digest, then
-    by row), if its id is not among the landed ones.
+    by row), if its id is not among the landed ones.  ``landed`` may hold an id twice.
     """
     first = (
         narrow.groupBy("message_id")
-        .agg(F.min(F.struct("received_at", "digest", "row_id")).alias("first"))
-        .join(landed.select("message_id").distinct(), "message_id", "left_anti")
-        .select(F.col("first.row_id").alias("row_id"), F.lit(True).alias("is_new"))
+        .agg(F.min(F.struct("received_at", "digest", *row)).alias("first"))
+        .join(landed.select("message_id"), "message_id", "left_anti")
+        .select(*(F.col(f"first.{c}").alias(c) for c in row), F.lit(True).alias("is_new"))
     )
-    return narrow.join(first, "row_id", "left").select(
-        "row_id", "message_id", "received_at", F.coalesce("is_new", F.lit(False)).alias("is_new")
+    return narrow.join(first, [*row], "left").select(
+        *row, "message_id", "received_at", F.coalesce("is_new", F.lit(False)).alias("is_new")
     )
 
 

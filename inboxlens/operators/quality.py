@@ -8,11 +8,13 @@ else, so a hot key is one row per map task.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from inboxlens.functions import rules
@@ -123,11 +125,63 @@ def check(
     df: DataFrame, checks: Sequence[Rule], *, as_of: dt.datetime | Column, table: str = ""
 ) -> DataFrame:
     """One row per check; ``failures`` counts rows, or values for uniqueness."""
-    prefix = f"{table}." if table else ""
-    simple = [c for c in checks if not isinstance(c, (Unique, References))]
+    simple = [c for c in checks if not _grouped(c)]
     reports = []
     if simple:
-        reports.append(_one_pass(df, simple, instant(as_of), prefix))
+        reports.append(_reported(df.agg(*_measures(simple)), simple, instant(as_of), _prefix(table)))
+    return _with_grouped(reports, df, checks, table)
+
+
+def observed(
+    df: DataFrame, checks: Sequence[Rule], *, as_of: dt.datetime | Column, table: str = ""
+) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The frame, watched, and a function that gives the report once a write of it has run.
+
+    Checks of single rows and newest timestamps are counted while the watched frame passes by, so they
+    cost no pass of their own.  The function takes the frame to group for the other checks, best
+    the written table, and gives what :func:`check` gives.  If a lost executor makes Spark repeat
+    a stage, failures may be counted twice; none stays none.
+    """
+    simple = [c for c in checks if not _grouped(c)]
+    watch = Observation(f"checks-{uuid.uuid4().hex}")
+
+    def report(written: DataFrame) -> DataFrame:
+        reports = []
+        if simple:
+            found = _seen(watch)
+            if found is None:
+                row = written.agg(*_measures(simple))
+            else:
+                kinds = ", ".join(f"{name} bigint" for name in found)
+                row = df.sparkSession.createDataFrame([list(found.values())], kinds)
+            reports.append(_reported(row, simple, instant(as_of), _prefix(table)))
+        return _with_grouped(reports, written, checks, table)
+
+    return (df.observe(watch, *_measures(simple)) if simple else df), report
+
+
+def _seen(watch: Observation) -> dict | None:
+    """What was observed; None where the optimizer saw that there is no row and looked at none."""
+    try:
+        return watch.get or None
+    except Py4JJavaError as failure:
+        if "AssertionError" not in str(failure.java_exception):
+            raise
+        return None
+
+
+def _grouped(rule: Rule) -> bool:
+    return isinstance(rule, (Unique, References))
+
+
+def _prefix(table: str) -> str:
+    return f"{table}." if table else ""
+
+
+def _with_grouped(
+    reports: list[DataFrame], df: DataFrame, checks: Sequence[Rule], table: str
+) -> DataFrame:
+    prefix = _prefix(table)
     for c in checks:
         if isinstance(c, Unique):
             reports.append(_counted(_duplicates(df, c.column), f"{prefix}unique:{c.column}"))
@@ -144,30 +198,42 @@ def gate(report: DataFrame) -> None:
         raise ValueError(f"data checks failed: {lines}")
 
 
-def _one_pass(df: DataFrame, checks: Sequence[Rule], as_of: Column, prefix: str) -> DataFrame:
-    measures, rows = [], []
+def _measures(checks: Sequence[Rule]) -> list[Column]:
+    """One aggregate a check, ``m0`` and so on: failing rows, or the newest value in microseconds."""
+    made = []
     for i, c in enumerate(checks):
-        name, value = f"m{i}", F.col(f"m{i}")
         match c:
             case NotNull(column):
-                measures.append(F.count_if(F.col(column).isNull()).alias(name))
-                rows.append(_row(f"{prefix}not_null:{column}", value))
+                value = F.count_if(F.col(column).isNull())
             case Accepted(column, values):
-                measures.append(F.count_if(~F.col(column).isin(*values)).alias(name))
+                value = F.count_if(~F.col(column).isin(*values))
+            case Recent(column) | Fresh(column):
+                value = F.unix_micros(F.max(column))
+        made.append(value.alias(f"m{i}"))
+    return made
+
+
+def _reported(measured: DataFrame, checks: Sequence[Rule], as_of: Column, prefix: str) -> DataFrame:
+    rows = []
+    for i, c in enumerate(checks):
+        value = F.col(f"m{i}")
+        newest = F.timestamp_micros(value)
+        match c:
+            case NotNull(column):
+                rows.append(_row(f"{prefix}not_null:{column}", value))
+            case Accepted(column):
                 rows.append(_row(f"{prefix}accepted_values:{column}", value))
             case Recent(column, hours):
-                measures.append(F.max(column).alias(name))
-                stale = F.coalesce(value < as_of - _hours(hours), F.lit(False))
+                stale = F.coalesce(newest < as_of - _hours(hours), F.lit(False))
                 rows.append(_row(f"{prefix}recency:{column}", stale.cast("bigint")))
             case Fresh(column, warn_hours, error_hours):
-                measures.append(F.max(column).alias(name))
-                late = value.isNull() | (value < as_of - _hours(warn_hours))
-                dead = value.isNull() | (value < as_of - _hours(error_hours))
+                late = value.isNull() | (newest < as_of - _hours(warn_hours))
+                dead = value.isNull() | (newest < as_of - _hours(error_hours))
                 status = F.when(dead, ERROR).when(late, WARN).otherwise(PASS)
                 rows.append(
                     _row(f"{prefix}freshness:{column}", late.cast("bigint"), status)
                 )
-    return df.agg(*measures).select(F.inline(F.array(*rows)))
+    return measured.select(F.inline(F.array(*rows)))
 
 
 def _hours(n: int) -> Column:

@@ -2,18 +2,20 @@
 
 Protocol:
 
-1. landing files not read before are parsed once and written, flattened, to the shared folder
-   by day of receipt;
-2. per commit group of windows, oldest first: a decision on ids says which rows are new, counts
-   follow from it, new rows are appended to the message table, and one ``ok`` row per window is
-   appended to the ledger, which moves the watermark;
-3. mail that landed late, received before the watermark, goes first, with a ledger row for each
+1. a file stream over the landing area, run until it has caught up, hands over the files not read
+   before; its own log is the record of files.  Every file is parsed once and its mail
+   written, flattened and by day of receipt, to the rows that wait beside the ledger;
+2. one decision on ids, against the index of landed ids, says which waiting rows are new;
+3. per commit group of windows, oldest first: new rows are appended to the message table, their ids
+   to the index, and one ``ok`` row per window to the ledger, which moves the watermark;
+4. mail that landed late, received before the watermark, goes first, with a ledger row for each
    day that has any;
-4. files whose mail is all committed are noted as read.
+5. days that are committed are removed from the waiting rows; mail at or beyond the end of the run goes
+   on waiting, and its file is not read again.
 
-A crash leaves the files unread and the watermark at the last finished group.  The retry reads the
-files again and drops what already landed, so nothing is lost or doubled.  (This is why the append must never become a
-partition overwrite.)  One run at a time may write to a message table.
+A crash leaves the rows waiting and the watermark at the last finished group.  The retry finds the rows
+and drops what already landed, so nothing is lost or doubled.  (This is why the append must never become a
+partition overwrite.)  One run at a time may write to a message table, which a lease sees to.
 """
 
 from __future__ import annotations
@@ -26,19 +28,22 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from inboxlens.functions import search
 from inboxlens.functions.clock import from_micros, instant
 from inboxlens.operators import ingest
 from inboxlens.session import prepare, shared_folder
-from inboxlens.sources import landing, tables
+from inboxlens.sources import files, ids, landing, lease, tables
 
 LOG = logging.getLogger(__name__)
 
 
+_KEY = ("batch", "row_id")
 _DECIDED = (
-    "row_id bigint, message_id string, received_at timestamp, is_new boolean, "
-    "sync_start timestamp, sync_end timestamp"
+    "batch bigint, row_id bigint, message_id string, received_at timestamp, is_new boolean"
 )
+_WAITING = T.StructType([T.StructField("batch", T.LongType()), *landing.STAGED.fields])
 
 
 @dataclass(frozen=True)
@@ -68,73 +73,82 @@ def run(
     floor: dt.date,
     ceiling: dt.datetime | None = None,
     days: int = 1,
-    predicate: Callable[[Column], Column] | None = landing.in_inbox,
+    predicate: Callable[[Column], Column] | str | None = landing.in_inbox,
     cap: int = 0,
     full_backfill: bool = False,
     windows_per_commit: int | None = None,
     max_body_chars: int = landing.MAX_BODY_CHARS,
     depth: int = landing.FIRST_DEPTH,
-    dedup_by_date: bool = False,
+    id_buckets: int = ids.BUCKETS,
+    lease_minutes: int = lease.MINUTES,
 ) -> dict:
     """Bring the message table up to ``ceiling`` (default: now) and return a summary.
 
     ``windows_per_commit`` sets how much a crash can undo: None commits all windows in one
-    group; the landing area is parsed once either way.  ``cap`` bounds the new messages of a window; a window
-    that has more is filled up to the cap, is not recorded as done, and ends the run.  Copies are
-    looked for among all landed ids; ``dedup_by_date`` reads those of the same days only, which is
-    right where a copy never changes its date.
+    group; files are parsed and ids looked up once either way.  ``cap`` bounds the new messages of
+    a window; a window that has more is filled up to the cap, is not recorded as done, and ends the
+    run.  ``predicate`` is a column over the parsed message or a search string such as
+    ``in:inbox -from:me``.  A full backfill reads the whole landing area again.  Mail received before ``floor`` is
+    not taken up.  A second run on the same message table is refused while one holds the lease.
     """
     prepare(spark)
     now = dt.datetime.now(dt.timezone.utc).replace(microsecond=0)
     hi = (ceiling or now).replace(microsecond=0)
-    lo = _start(spark, targets, floor, full_backfill)
     run_id = uuid.uuid4().hex
-    scratch = f"{shared_folder(spark)}/sync-{run_id}"
-    fetched = inserted = completed = 0
-    status = "ok"
-    start, end, started_at = lo, hi, dt.datetime.now(dt.timezone.utc)
-    try:
-        files = _unread(spark, landing_path, targets, full_backfill)
-        staged = landing.stage(
-            landing.read(spark, *files),
-            f"{scratch}/rows",
-            ingested_at=started_at,
-            max_body_chars=max_body_chars,
-            depth=depth,
-            predicate=predicate,
-            dated_only=True,
-        )
-        append_quarantine(staged, targets)
-        for number, (start, end, spans) in enumerate(
-            _groups(spark, staged, targets, floor, lo, hi, days, windows_per_commit)
-        ):
-            started_at = dt.datetime.now(dt.timezone.utc)
-            done = commit(
-                staged,
-                spans,
-                start,
-                end,
-                targets,
-                scratch=f"{scratch}/{number}",
-                run_id=run_id,
-                started_at=started_at,
-                days=days,
-                cap=cap,
-                dedup_by_date=dedup_by_date,
-            )
-            fetched += done.fetched
-            inserted += done.inserted
-            completed += done.windows
-            if done.stopped_at is not None:
-                status = "capped"
-                break
-        if status == "ok":
-            _note_read(spark, staged, files, hi, targets)
-    except Exception as failure:
-        _record_failure(spark, targets, run_id, started_at, start, end, failure)
-        raise
-    finally:
-        tables.drop_folder(spark, scratch)
+    with lease.held(spark, targets.messages, run_id, minutes=lease_minutes) as renew:
+        ids.repair(spark, targets.messages, id_buckets)
+        lo = _start(spark, targets, floor, full_backfill)
+        scratch = f"{shared_folder(spark)}/sync-{run_id}"
+        fetched = inserted = completed = 0
+        status = "ok"
+        start, end, started_at = lo, hi, dt.datetime.now(dt.timezone.utc)
+        options = {
+            "ingested_at": started_at, "max_body_chars": max_body_chars, "depth": depth,
+            "predicate": search.predicate(predicate) if isinstance(predicate, str) else predicate,
+            "dated_only": True,
+            "keep": F.col("received_at") >= instant(ingest.start_of(floor)),
+        }
+        try:
+            if full_backfill:
+                waiting = landing.stage(landing.read(spark, landing_path), f"{scratch}/rows", **options)
+                append_quarantine(waiting, targets)
+                waiting = waiting.withColumn("batch", F.lit(0).cast("bigint"))
+            else:
+                waiting = _caught_up(spark, landing_path, targets, lo, options)
+            renew()
+            decided = decide(waiting, targets, ingest.start_of(floor), hi, f"{scratch}/decided", id_buckets)
+            for number, (start, end, spans) in enumerate(
+                _groups(spark, decided, lo, hi, days, windows_per_commit)
+            ):
+                renew()
+                started_at = dt.datetime.now(dt.timezone.utc)
+                done = commit(
+                    waiting,
+                    decided,
+                    spans,
+                    start,
+                    end,
+                    targets,
+                    scratch=f"{scratch}/{number}",
+                    run_id=run_id,
+                    started_at=started_at,
+                    days=days,
+                    cap=cap,
+                    id_buckets=id_buckets,
+                )
+                fetched += done.fetched
+                inserted += done.inserted
+                completed += done.windows
+                if done.stopped_at is not None:
+                    status = "capped"
+                    break
+            if status == "ok" and not full_backfill:
+                _settle(spark, targets, hi)
+        except Exception as failure:
+            _record_failure(spark, targets, run_id, started_at, start, end, failure)
+            raise
+        finally:
+            files.drop(spark, scratch)
     return {
         "status": status,
         "run_id": run_id,
@@ -146,37 +160,61 @@ def run(
     }
 
 
-def _unread(
-    spark: SparkSession, landing_path: str, targets: Targets, full_backfill: bool
-) -> list[str]:
-    """Landing files to read: all of them, or those not noted as read.  Names only."""
-    listed = spark.read.text(landing_path).inputFiles()
-    if full_backfill or not listed:
-        return listed
-    names = spark.createDataFrame([(f,) for f in listed], "file string")
-    unread = names.join(tables.read_files(spark, targets.ledger), "file", "left_anti")
-    return [r["file"] for r in unread.collect()]
+def _area(targets: Targets) -> str:
+    """Where the stream's log and the waiting rows lie."""
+    return f"{targets.ledger.rstrip('/')}_landing"
 
 
-def _note_read(
-    spark: SparkSession, staged: DataFrame, files: list[str], hi: dt.datetime, targets: Targets
-) -> None:
-    """Files count as read when none of their mail lies at or beyond the end of the run."""
-    if not files:
-        return
-    waiting = staged.filter(~ingest.before(F.col("received_at"), hi)).select("file").distinct()
-    names = spark.createDataFrame([(f,) for f in files], "file string")
-    known = tables.read_files(spark, targets.ledger)
-    tables.append_files(
-        names.join(waiting, "file", "left_anti").join(known, "file", "left_anti"), targets.ledger
+def _caught_up(
+    spark: SparkSession, landing_path: str, targets: Targets, lo: dt.datetime, options: dict
+) -> DataFrame:
+    """Stage what landed since the last run and return the rows that wait for a commit.
+
+    Those are the rows of files that no finished run has seen, and older ones that were not due yet.
+    A batch that failed is planned again by the stream with the same files, and starts from an
+    empty folder.
+    """
+    area = _area(targets)
+
+    def write(batch: DataFrame, number: int) -> None:
+        # streams plan without adaptive execution, which deals the rows out by day
+        batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+        folder = f"{area}/rows/batch={number}"
+        files.drop(batch.sparkSession, folder)
+        append_quarantine(landing.stage(batch, folder, **options), targets)
+
+    (
+        # files count as new whatever their time is
+        spark.readStream.format("text").option("maxFileAge", "36500d").load(landing_path)
+        .select("value")
+        .writeStream.foreachBatch(write)
+        .option("checkpointLocation", f"{area}/log")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
     )
+    if not files.exists(spark, f"{area}/rows"):
+        return spark.createDataFrame([], _WAITING)
+    rows = landing.staged_rows(spark, f"{area}/rows", _WAITING)
+    settled = tables.read_settled(spark, targets.ledger)
+    return rows.filter((F.col("batch") > settled) | (F.col("received_at") >= instant(lo)))
+
+
+def _settle(spark: SparkSession, targets: Targets, hi: dt.datetime) -> None:
+    """Note that all rows staged so far and received before ``hi`` are committed, and drop whole days of them."""
+    staged = [int(p.rsplit("=", 1)[1]) for p in files.matching(spark, f"{_area(targets)}/rows/batch=*")]
+    if not staged:
+        return
+    tables.write_settled(spark, targets.ledger, max(staged))
+    for day in files.matching(spark, f"{_area(targets)}/rows/batch=*/round=*/received_date=*"):
+        name = day.rsplit("=", 1)[1]
+        if name == "__HIVE_DEFAULT_PARTITION__" or dt.date.fromisoformat(name) < hi.date():
+            files.drop(spark, day)
 
 
 def _groups(
     spark: SparkSession,
-    staged: DataFrame,
-    targets: Targets,
-    floor: dt.date,
+    decided: DataFrame,
     lo: dt.datetime,
     hi: dt.datetime,
     days: int,
@@ -184,12 +222,7 @@ def _groups(
 ) -> list[tuple[dt.datetime, dt.datetime, DataFrame]]:
     """Commit groups with their windows: days with late mail first, then the new ones in order."""
     groups = []
-    late = (
-        staged.filter(F.col("reason").isNull() & F.col("received_at").isNotNull())
-        .filter(ingest.in_range(F.col("received_at"), ingest.start_of(floor), lo))
-        .select("message_id", "received_at")
-        .join(tables.landed_ids(spark, targets.messages).distinct(), "message_id", "left_anti")
-    )
+    late = decided.filter(F.col("is_new") & (F.col("received_at") < instant(lo)))
     oldest = late.agg(F.min(F.unix_micros("received_at"))).first()[0]
     if oldest is not None:
         first = from_micros(oldest).replace(hour=0, minute=0, second=0, microsecond=0)
@@ -205,8 +238,31 @@ def _groups(
     return groups
 
 
+def decide(
+    waiting: DataFrame,
+    targets: Targets,
+    lo: dt.datetime,
+    hi: dt.datetime,
+    folder: str,
+    id_buckets: int = ids.BUCKETS,
+) -> DataFrame:
+    """Which of the waiting rows in ``[lo, hi)`` are new, written to ``folder``.
+
+    The index of landed ids is read once a run, where it lies; only the ids of the waiting rows are
+    shuffled.
+    """
+    spark = waiting.sparkSession
+    due = waiting.filter(
+        ingest.in_range(F.col("received_at"), lo, hi) & F.col("reason").isNull()
+    ).select(*_KEY, "message_id", "received_at", "digest")
+    landed = ids.read(spark, targets.messages, id_buckets)
+    ingest.decide(due, landed, row=_KEY).write.mode("overwrite").parquet(folder)
+    return spark.read.schema(_DECIDED).parquet(folder)
+
+
 def commit(
-    staged: DataFrame,
+    waiting: DataFrame,
+    decided: DataFrame,
     spans: DataFrame,
     lo: dt.datetime,
     hi: dt.datetime,
@@ -217,47 +273,40 @@ def commit(
     started_at: dt.datetime,
     days: int = 1,
     cap: int = 0,
-    dedup_by_date: bool = False,
+    id_buckets: int = ids.BUCKETS,
 ) -> Outcome:
-    """Append the new rows of the staged days in ``[lo, hi)``, then their ledger rows.
+    """Append the new rows of the waiting days in ``[lo, hi)``, then their ids and their ledger rows.
 
-    One decision on ids serves the counts and the append; bodies only meet the ids of the rows
+    The decision on ids serves the counts and the append; bodies only meet the keys of the rows
     that are turned away.
     """
-    spark = staged.sparkSession
-    dates = (lo.date(), hi.date()) if dedup_by_date else (None, None)
-    landed = tables.landed_ids(spark, targets.messages, *dates)
-    of_group = staged.filter(
+    spark = waiting.sparkSession
+    of_group = waiting.filter(
         F.col("received_date").between(F.lit(lo.date()), F.lit(hi.date()))
         & ingest.in_range(F.col("received_at"), lo, hi)
         & F.col("reason").isNull()
     )
-    decisions = ingest.decide(
-        of_group.select("row_id", "message_id", "received_at", "digest"), landed
-    )
-    placed = ingest.assign_window(decisions, lo, hi, days=days)
-    placed.write.mode("overwrite").parquet(f"{scratch}/decisions")
-    decided = spark.read.schema(_DECIDED).parquet(f"{scratch}/decisions")
+    decided = ingest.assign_window(decided, lo, hi, days=days)
     counts = ingest.window_counts(spans, decided, decided.filter("is_new"))
     counts.write.mode("overwrite").parquet(f"{scratch}/counts")
     counts = spark.read.schema(
         "sync_start timestamp, sync_end timestamp, fetched bigint, inserted bigint"
     ).parquet(f"{scratch}/counts")
 
-    refused = decided.filter("NOT is_new").select("row_id")
+    refused, taken = decided.filter("NOT is_new").select(*_KEY), decided.filter("is_new")
     stop = _first_over_cap(counts, cap)
     done, extra = counts, (0, 0)
     if stop is not None:
         done = counts.filter(F.col("sync_start") < instant(stop))
-        taken = ingest.capped(decided.filter("is_new"), cap).filter(
-            F.col("sync_start") <= instant(stop)
-        )
-        refused = decided.join(taken.select("row_id"), "row_id", "left_anti").select("row_id")
-        refused.write.mode("overwrite").parquet(f"{scratch}/refused")
-        refused = spark.read.schema("row_id bigint").parquet(f"{scratch}/refused")
+        taken = ingest.capped(taken, cap).filter(F.col("sync_start") <= instant(stop))
+        taken.write.mode("overwrite").parquet(f"{scratch}/taken")
+        taken = spark.read.schema(taken.schema).parquet(f"{scratch}/taken")
+        refused = decided.join(taken.select(*_KEY), [*_KEY], "left_anti").select(*_KEY)
         full = counts.filter(F.col("sync_start") == instant(stop)).first()
         extra = (full["fetched"], cap)
-    tables.append_messages(of_group.join(refused, "row_id", "left_anti"), targets.messages)
+    ids.opened(spark, targets.messages, lo.date(), hi.date(), id_buckets)
+    tables.append_messages(of_group.join(refused, [*_KEY], "left_anti"), targets.messages)
+    ids.append(taken, targets.messages, id_buckets)
 
     tables.append_ledger(_ok_rows(done, run_id, started_at), targets.ledger)
     total = done.agg(

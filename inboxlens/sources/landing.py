@@ -16,11 +16,12 @@ from pyspark.sql import types as T
 from inboxlens.functions import mime
 from inboxlens.functions.clock import instant
 from inboxlens.schemas import MESSAGES, MIME_DEPTH, landed_message
+from inboxlens.sources import files
 
 #: Bodies are kept whole; a positive number cuts them to as many characters.
 MAX_BODY_CHARS = 0
-#: MIME levels walked at first, and the deepest walk that Spark's SQL parser takes.
-FIRST_DEPTH, LAST_DEPTH = 4, 32
+#: MIME levels that one expression walks; deeper messages are walked level by level.
+FIRST_DEPTH = 4
 INBOX = "INBOX"
 TOO_DEEP = "mime too deep"
 
@@ -29,7 +30,6 @@ STAGED = T.StructType(
         *MESSAGES.fields,
         T.StructField("reason", T.StringType()),
         T.StructField("value", T.StringType()),
-        T.StructField("file", T.StringType()),
         T.StructField("digest", T.LongType()),
         T.StructField("row_id", T.LongType()),
         T.StructField("round", T.IntegerType()),
@@ -39,10 +39,8 @@ STAGED = T.StructType(
 
 
 def read(spark: SparkSession, *paths: str) -> DataFrame:
-    """Landed lines as a ``value`` column, with the ``file`` each comes from."""
-    if not paths:
-        return spark.createDataFrame([], "value string, file string")
-    return spark.read.text(list(paths)).select("value", F.input_file_name().alias("file"))
+    """Landed lines as a ``value`` column; a folder is read whole, whatever its files are called."""
+    return spark.read.text(list(paths)).select("value")
 
 
 def in_inbox(message: Column) -> Column:
@@ -60,33 +58,47 @@ def parse(
     predicate: Callable[[Column], Column] | None = None,
     dated_only: bool = False,
 ) -> DataFrame:
-    """The 13 message columns plus ``reason`` (NULL for a good row), ``value`` and ``file``.
+    """The 13 message columns plus ``reason`` (NULL for a good row) and ``value``.
 
     A line may hold one object, several with commas between, or an array of them; anything
-    else is a bad row as a whole.  ``file`` is NULL where the lines don't name one.
+    else is a bad row as a whole.
 
     ``predicate`` maps the parsed message struct to a boolean Column, and ``keep`` is one
     over the column ``received_at``; messages that fail either are not decoded.  Lines that
     cannot be parsed or dated are kept whatever ``keep`` says; under ``dated_only`` a
     message without a date is a bad row.  ``value`` holds the landed text of bad rows only.
     """
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
-    file = F.col("file") if "file" in raw.columns else F.lit(None).cast("string")
-    lines = raw.select("value", file.alias("file")).filter(F.btrim("value", F.lit(" \t\r\n")) != "")
-    message = F.from_json("value", landed_message(depth), options)
-    parsed = _once(_objects(lines), "m", message).withColumn(
-        "received_at", F.timestamp_millis(F.col("m.internalDate").try_cast("bigint"))
-    )
+    lines = raw.select("value").filter(F.btrim("value", F.lit(" \t\r\n")) != "")
+    parsed = _parsed(_objects(lines), depth)
     malformed = F.col("broken") | F.col("m._malformed").isNotNull()
-    undated = F.col("received_at").isNull()
     wanted = F.lit(True)
     if keep is not None:
-        wanted = wanted & (keep | undated)
+        wanted = wanted & (keep | F.col("received_at").isNull())
     if predicate is not None:
         wanted = wanted & F.coalesce(predicate(F.col("m")), F.lit(False))
-    m = F.col("m")
     texts = F.expr(mime.decoded(mime.text_parts("m.payload", depth)))
     listed = _once(parsed.filter(malformed | wanted), "_texts", texts)
+    return _shaped(listed, malformed, ingested_at, max_body_chars, dated_only)
+
+
+def _parsed(objects: DataFrame, depth: int) -> DataFrame:
+    """The rows with their message struct ``m`` and ``received_at``."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
+    message = F.from_json("value", landed_message(depth), options)
+    return _once(objects, "m", message).withColumn(
+        "received_at", F.timestamp_millis(F.col("m.internalDate").try_cast("bigint"))
+    )
+
+
+def _shaped(
+    listed: DataFrame,
+    malformed: Column,
+    ingested_at: dt.datetime | Column,
+    max_body_chars: int,
+    dated_only: bool,
+) -> DataFrame:
+    """Message columns, reason and value of rows ``(m, received_at, _texts, value)``."""
+    m, undated = F.col("m"), F.col("received_at").isNull()
     has_date_text = F.length(m["internalDate"]) > 0
     reason = (
         F.when(malformed, F.lit("malformed json"))
@@ -121,12 +133,11 @@ def parse(
         *(columns[name].alias(name) for name in MESSAGES.fieldNames()),
         "reason",
         F.when(F.col("reason").isNotNull(), F.col("value")).alias("value"),
-        "file",
     )
 
 
 def _objects(lines: DataFrame) -> DataFrame:
-    """One row an object: ``value``, ``file`` and whether the line is ``broken``.
+    """One row an object: ``value`` and whether the line is ``broken``.
 
     Counting the objects of a line walks its tokens only; a line is taken apart where there is
     more than one.
@@ -139,7 +150,7 @@ def _objects(lines: DataFrame) -> DataFrame:
     )
     apart = F.when((size > 1) | (is_array & (size == 1)), several).otherwise(F.array("value"))
     return lines.select(
-        F.explode(F.coalesce(apart, F.array("value"))).alias("value"), "file",
+        F.explode(F.coalesce(apart, F.array("value"))).alias("value"),
         (size == 0).alias("broken"),
     )
 
@@ -169,38 +180,94 @@ def flatten(
     return messages_of(rows), quarantine_of(rows)
 
 
-def stage(raw: DataFrame, folder: str, *, depth: int = FIRST_DEPTH, **options) -> DataFrame:
+def stage(
+    raw: DataFrame,
+    folder: str,
+    *,
+    ingested_at: dt.datetime,
+    max_body_chars: int = MAX_BODY_CHARS,
+    depth: int = FIRST_DEPTH,
+    dated_only: bool = False,
+    **options,
+) -> DataFrame:
     """Parse landed lines once and write the rows to ``folder``, by day of receipt.
 
-    Few messages are nested deeply, so the walk is shallow at first; those it does not reach the
-    bottom of are parsed again with twice the depth, until none is left; below ``LAST_DEPTH``
-    levels they stay in quarantine with their text.  The rows carry an id
-    and a digest, so that copies are decided on without their bodies.  ``options`` are those of
-    :func:`parse`.
+    Few messages are nested deeply, so one expression walks the first levels of all; those it does not
+    reach the bottom of are taken up again and walked level by level, however deep.  The rows
+    carry an id and a digest, so that copies are decided on without their bodies.  ``options`` are
+    those of :func:`parse`.
     """
     spark = raw.sparkSession
-    lines, number = raw, 0
+    shape = {"ingested_at": ingested_at, "max_body_chars": max_body_chars, "dated_only": dated_only}
+    _write_rows(parse(raw, depth=depth, **shape, **options), folder, 0)
+    written = spark.read.schema(STAGED).parquet(folder)
+    deep = written.filter((F.col("reason") == TOO_DEEP) & (F.col("round") == 0))
+    if not deep.isEmpty():
+        rows = _walked(deep.select("value", "row_id"), f"{folder}_walk", shape)
+        _write_rows(rows, folder, 1)
+        files.drop(spark, f"{folder}_walk")
+    return staged_rows(spark, folder)
+
+
+def staged_rows(spark: SparkSession, folder: str, schema: T.StructType = STAGED) -> DataFrame:
+    """What :func:`stage` wrote; rows taken up again count once."""
+    written = spark.read.schema(schema).option("basePath", folder).parquet(folder)
+    return written.filter(F.coalesce("reason", F.lit("")) != TOO_DEEP)
+
+
+def _write_rows(rows: DataFrame, folder: str, number: int) -> None:
+    identified = rows.withColumns(
+        {
+            "digest": F.xxhash64(*(c for c in MESSAGES.fieldNames() if c != "ingested_at")),
+            "received_date": F.to_date("received_at"),
+        }
+    ).hint("rebalance", "received_date")
+    (
+        identified.withColumn("row_id", F.monotonically_increasing_id() * 2 + number)
+        .sortWithinPartitions("received_date", "sender", "thread_id")
+        .write.partitionBy("received_date")
+        .parquet(f"{folder}/round={number}")
+    )
+
+
+def _walked(deep: DataFrame, folder: str, shape: dict) -> DataFrame:
+    """Messages of any depth: their MIME parts level by level, one written table a level.
+
+    A part is a VARIANT row with its place in the tree, the positions from the root down; sorted by
+    it, the text parts come in the order of the walk.  A level holds the children of the
+    level before, and the walk ends at the first empty one.
+    """
+    spark = deep.sparkSession
+    part = "row_id bigint, place array<int>, part variant"
+    level = deep.select(
+        "row_id", F.expr("CAST(array() AS array<int>)").alias("place"),
+        F.expr("try_variant_get(try_parse_json(value), '$.payload', 'variant')").alias("part"),
+    )
+    number = 0
     while True:
-        rows = parse(lines, depth=depth, **options)
-        identified = rows.withColumns(
-            {
-                "digest": F.xxhash64(*(c for c in MESSAGES.fieldNames() if c != "ingested_at")),
-                "received_date": F.to_date("received_at"),
-            }
-        ).hint("rebalance", "received_date")
-        (
-            identified.withColumn("row_id", F.monotonically_increasing_id() * 16 + number)
-            .sortWithinPartitions("received_date", "sender", "thread_id")
-            .write.partitionBy("received_date")
-            .parquet(f"{folder}/round={number}")
+        level.write.parquet(f"{folder}/{number}")
+        level = spark.read.schema(part).parquet(f"{folder}/{number}")
+        if level.isEmpty():
+            break
+        below = level.filter(~F.expr(mime.HIDDEN_PART)).select(
+            "row_id", "place",
+            F.posexplode(F.expr("try_variant_get(part, '$.parts', 'array<variant>')")).alias("k", "part"),
         )
-        written = spark.read.schema(STAGED).parquet(folder)
-        deep = written.filter((F.col("reason") == TOO_DEEP) & (F.col("round") == number))
-        if depth >= LAST_DEPTH or deep.isEmpty():
-            return written.filter(
-                (F.coalesce("reason", F.lit("")) != TOO_DEEP) | (F.col("round") == number)
-            )
-        lines, depth, number = deep.select("value", "file"), depth * 2, number + 1
+        level = below.select("row_id", F.concat("place", F.array("k")).alias("place"), "part")
+        number += 1
+    walked = spark.read.schema(part).parquet(*(f"{folder}/{n}" for n in range(number)))
+    texts = walked.filter(~F.expr(mime.HIDDEN_PART)).selectExpr(
+        "row_id", "place",
+        "try_variant_get(part, '$.mimeType', 'string') AS mime",
+        "try_variant_get(part, '$.body.data', 'string') AS data",
+    ).filter(F.col("mime").isin(mime.PLAIN, mime.HTML) & (F.length("data") > 0))
+    in_order = texts.groupBy("row_id").agg(
+        F.sort_array(F.collect_list(F.struct("place", "mime", "data"))).alias("parts")
+    )
+    found = deep.join(in_order, "row_id", "left")
+    parsed = _parsed(found, 0)
+    listed = _once(parsed, "_texts", F.expr(f"coalesce({mime.decoded('parts')}, array())"))
+    return _shaped(listed, F.lit(False), **shape)
 
 
 def messages_of(rows: DataFrame) -> DataFrame:

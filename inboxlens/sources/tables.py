@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from inboxlens.functions.clock import from_micros, instant
 from inboxlens.schemas import APPLICATIONS, EMAIL_MART, LEDGER, MESSAGES, META, QUARANTINE
 
-_FILES = T.StructType([T.StructField("file", T.StringType())])
+_SETTLED = T.StructType([T.StructField("batch", T.LongType())])
 _START = T.StructType([T.StructField("sync_start", T.TimestampType())])
 
 
@@ -41,22 +41,6 @@ def read_messages_or_empty(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([], _with_day(MESSAGES, "received_date")) if found is None else found
 
 
-def landed_ids(
-    spark: SparkSession, path: str, first: dt.date | None = None, last: dt.date | None = None
-) -> DataFrame:
-    """Ids in the message table, one column; within a date range only those partitions are read.
-
-    A range is right only where a copy of a message keeps its received date.
-    """
-    table = read_messages(spark, path)
-    if table is None:
-        return spark.createDataFrame([], "message_id string")
-    if first is not None and last is not None:
-        day = F.col("received_date")
-        table = table.filter(day.between(F.lit(first), F.lit(last)) | day.isNull())
-    return table.select("message_id")
-
-
 def append_messages(messages: DataFrame, path: str) -> None:
     """Append staged rows to the message table: day of receipt, then sender and thread.
 
@@ -69,16 +53,6 @@ def append_messages(messages: DataFrame, path: str) -> None:
     ).partitionBy("received_date").parquet(path)
 
 
-def read_files(spark: SparkSession, ledger_path: str) -> DataFrame:
-    """Landing files that were read to their end."""
-    found = read_or_none(spark, f"{ledger_path}_files", _FILES)
-    return spark.createDataFrame([], _FILES) if found is None else found
-
-
-def append_files(files: DataFrame, ledger_path: str) -> None:
-    files.select("file").coalesce(1).write.mode("append").parquet(f"{ledger_path}_files")
-
-
 def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
     """Run ledger with its partition column ``started_date``."""
     return read_or_none(spark, path, _with_day(LEDGER, "started_date"))
@@ -105,6 +79,18 @@ def write_start(spark: SparkSession, ledger_path: str, start: dt.datetime) -> No
     note.write.mode("append").parquet(f"{ledger_path}_start")
 
 
+def read_settled(spark: SparkSession, ledger_path: str) -> int:
+    """The newest batch of staged rows that a finished run has dealt with; -1 before the first."""
+    note = read_or_none(spark, f"{ledger_path}_landing/settled", _SETTLED)
+    newest = None if note is None else note.agg(F.max("batch")).first()[0]
+    return -1 if newest is None else newest
+
+
+def write_settled(spark: SparkSession, ledger_path: str, batch: int) -> None:
+    note = spark.range(1).select(F.lit(batch).cast("bigint").alias("batch"))
+    note.write.mode("append").parquet(f"{ledger_path}_landing/settled")
+
+
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame | None:
     return read_or_none(spark, path, QUARANTINE)
 
@@ -126,17 +112,6 @@ def read_meta(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(META).parquet(path)
 
 
-def publish(spark: SparkSession, made: str, path: str) -> None:
-    """Put a checked folder in the place of the published one."""
-    jvm = spark.sparkContext._jvm
-    source, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (made, path))
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.delete(target, True)
-    files.mkdirs(target.getParent())
-    if not files.rename(source, target):
-        raise OSError(f"could not move {made} to {path}")
-
-
 def write_email_mart(mart: DataFrame, path: str) -> None:
     """Replace the email mart: day of receipt, then category and sender."""
     _day_layout(
@@ -164,13 +139,6 @@ def write_meta(meta: DataFrame, path: str) -> None:
     meta.coalesce(1).write.mode("overwrite").parquet(path)
 
 
-def drop_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder this library wrote as an intermediate result."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def _with_day(schema: T.StructType, day: str) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(day, T.DateType())])
 

@@ -19,7 +19,7 @@ from inboxlens.functions.clock import from_micros
 from inboxlens.operators import ingest
 from inboxlens.plans import sync
 from inboxlens.session import prepare, shared_folder
-from inboxlens.sources import landing, tables
+from inboxlens.sources import files, ids, landing, lease, tables
 
 _SECOND = dt.timedelta(seconds=1)
 
@@ -52,8 +52,9 @@ def start(
         started_at = dt.datetime.now(dt.timezone.utc)
         folder = f"{scratch}/{batch_id}"
         try:
+            batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
             staged = landing.stage(
-                batch,
+                batch.select("value"),
                 f"{folder}/rows",
                 ingested_at=started_at,
                 max_body_chars=max_body_chars,
@@ -62,9 +63,10 @@ def start(
                 dated_only=True,
             )
             batch_key = f"{checkpoint.rstrip('/').rsplit('/', 1)[-1]}-{batch_id}"
-            _commit(staged, targets, folder, batch_key, started_at, days)
+            with lease.held(batch.sparkSession, targets.messages, batch_key):
+                _commit(staged, targets, folder, batch_key, started_at, days)
         finally:
-            tables.drop_folder(batch.sparkSession, folder)
+            files.drop(batch.sparkSession, folder)
 
     return (
         reader.load(landing_path)
@@ -89,6 +91,7 @@ def _commit(
     """
     spark = staged.sparkSession
     sync.append_quarantine(staged, targets)
+    ids.repair(spark, targets.messages)
     ledger = tables.read_ledger(spark, targets.ledger)
     if ledger is not None and not ledger.filter(F.col("run_id") == batch_key).isEmpty():
         return
@@ -103,8 +106,11 @@ def _commit(
         .select("sync_start", "sync_end")
         .distinct()
     )
+    waiting = staged.withColumn("batch", F.lit(0).cast("bigint"))
+    decided = sync.decide(waiting, targets, lo, hi, f"{folder}/decided")
     sync.commit(
-        staged,
+        waiting,
+        decided,
         spans,
         lo,
         hi,

@@ -224,17 +224,16 @@ _DATA_LIMITS = (
 )
 _FIRST = "(SELECT date_trunc('second', min(CAST(ts AS TIMESTAMP))) FROM events)"
 _LAST = "(SELECT date_trunc('second', max(CAST(ts AS TIMESTAMP))) + INTERVAL 1 SECOND FROM events)"
-_ARRIVAL = f"(date_trunc('day', {_LAST}) - INTERVAL 9 DAY)"
+_CUT = f"date_trunc('day', {_FIRST} + 2 * (({_LAST} - {_FIRST}) / 3))"
 _ALL_LIMITS = f"SELECT {_FIRST} AS lo, {_LAST} AS hi"
-_ARRIVAL_LIMITS = f"SELECT {_ARRIVAL} AS lo, {_LAST} AS hi"
 # a sync begins at midnight of the first day and ends at midnight after the last
 _FLOOR = f"date_trunc('day', {_FIRST})"
 _END = f"(date_trunc('day', {_LAST}) + INTERVAL 1 DAY)"
 _MIDDLE = f"date_trunc('day', {_FIRST} + ({_LAST} - {_FIRST}) / 2)"
 _SYNC_LIMITS = f"SELECT {_FLOOR} AS lo, {_END} AS hi"
 SPLIT = f"""
-landed AS (SELECT * FROM mail WHERE received_at < {_ARRIVAL} + INTERVAL 2 DAY),
-arriving AS (SELECT * FROM mail WHERE received_at >= {_ARRIVAL})"""
+landed AS (SELECT * FROM mail WHERE received_at < {_CUT}),
+arriving AS (SELECT * FROM mail)"""
 
 _LANDED_COLUMNS = (
     "message_id, thread_id, 'h' || message_id AS history_id, subject, sender, snippet, "
@@ -383,10 +382,10 @@ def statements() -> dict[str, str]:
         "WHERE message_id NOT IN (SELECT message_id FROM landed)",
         "first_copies": "SELECT l_orderkey || '-' || l_linenumber AS message_id, "
         "min(CAST(l_shipdate AS DATE)) AS received_at, count(*) AS copies FROM lineitem GROUP BY 1",
-        "window_counts": f"WITH {MAIL},{SPLIT},{_windows(_ARRIVAL_LIMITS, 1)} "
+        "window_counts": f"WITH {MAIL},{SPLIT},{_windows(_ALL_LIMITS, 1)} "
         "SELECT w.sync_start, w.sync_end, count(m.message_id) AS fetched, "
         f"count(*) FILTER (WHERE m.message_id IS NOT NULL AND m.received_at >= "
-        f"{_ARRIVAL} + INTERVAL 2 DAY) AS inserted FROM windows w LEFT JOIN arriving m "
+        f"{_CUT}) AS inserted FROM windows w LEFT JOIN arriving m "
         "ON m.received_at >= w.sync_start AND m.received_at < w.sync_end GROUP BY ALL",
         "window_cap": f"WITH {MAIL},{_windows(_ALL_LIMITS, 1)} "
         "SELECT m.message_id, w.sync_start FROM mail m JOIN windows w "
@@ -422,7 +421,19 @@ def statements() -> dict[str, str]:
         "sync_late_mail": f"WITH {MAIL} SELECT {_LANDED_COLUMNS} FROM mail "
         "WHERE labels LIKE '%INBOX%'",
         "sync_capped": f"WITH {MAIL} SELECT {_LANDED_COLUMNS} FROM mail "
-        f"WHERE labels LIKE '%INBOX%' AND received_at < {_FLOOR} + INTERVAL 1 DAY",
+        "WHERE labels LIKE '%INBOX%'",
+        "sync_odd_files": f"WITH {MAIL} SELECT {_LANDED_COLUMNS} FROM mail WHERE labels LIKE '%INBOX%' "
+        "UNION ALL SELECT * REPLACE ('late ' || message_id AS message_id) FROM "
+        f"(SELECT {_LANDED_COLUMNS} FROM mail WHERE labels LIKE '%INBOX%')",
+        "sync_search": f"WITH {MAIL} SELECT {_LANDED_COLUMNS} FROM mail "
+        "WHERE (',' || labels || ',') SIMILAR TO '.*,(INBOX|STARRED),.*' "
+        "AND NOT contains(labels, 'CATEGORY_PROMOTIONS') AND received_at >= TIMESTAMP '2024-01-03' "
+        "AND NOT contains(lower(coalesce(subject, '')), 'dinner') AND ("
+        "contains(lower(sender), 'acme') OR contains(lower(coalesce(subject, '')), 'interview for') "
+        "OR contains(lower(concat_ws(chr(10), subject, sender, snippet)), 'schedule a call') "
+        "OR (contains(lower(sender), 'hire') AND contains(lower(sender), 'lever')) "
+        "OR contains(lower(concat_ws(chr(10), subject, sender, snippet)), 'snippet-free') "
+        "OR contains(lower(concat_ws(chr(10), subject, sender, snippet)), 'hello'))",
         "sync_ingested_at": f"WITH {MAIL} SELECT message_id, true AS after_receipt, true AS is_set "
         "FROM mail WHERE labels LIKE '%INBOX%'",
         "build_emails": f"WITH {CLASSIFIED} SELECT message_id, thread_id, sender, subject, snippet, "
@@ -450,6 +461,8 @@ def statements() -> dict[str, str]:
         "job_pipeline_category FROM classified",
         "landing_deep": "SELECT conv_id || '/' || turn AS message_id, "
         "role || chr(10) || text AS plain_body FROM conversations",
+        "landing_40_levels": "SELECT conv_id || '/' || turn AS message_id, "
+        "role || chr(10) || text AS plain_body FROM conversations",
         "landing_quarantine": "SELECT reason, count(*) AS lines, count(*) AS kept_whole FROM (SELECT "
         "CASE doc_id % 12 WHEN 1 THEN 'malformed json' WHEN 2 THEN 'malformed json' "
         "WHEN 4 THEN 'no message id' WHEN 5 THEN 'bad internal date' WHEN 7 THEN 'bad base64' "

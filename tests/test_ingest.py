@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from inboxlens.operators import ingest
-from inboxlens.sources import tables
+from inboxlens.sources import files, ids, lease, tables
 
 UTC = dt.timezone.utc
 LO = dt.datetime(2026, 3, 1, 7, 30, tzinfo=UTC)
@@ -161,16 +161,118 @@ def test_run_summary(spark):
     assert (row.fetched, row.inserted, row.windows_completed) == (4, 3, 2)
 
 
-def test_landed_ids_read_only_the_partitions_of_the_range(spark, plan_of, tmp_path):
+@pytest.fixture
+def landed(spark, tmp_path):
     path = str(tmp_path / "messages")
-    mails = spark.range(40).select(
-        F.concat(F.lit("m"), "id").alias("message_id"),
-        *(F.lit("x").alias(c) for c in ("thread_id", "sender")),
-        F.when(F.col("id") > 0, F.timestamp_seconds(F.col("id") * 86_400)).alias("received_at"),
+
+    def land(first, last, *, index=True):
+        mails = spark.range(first, last).select(
+            F.concat(F.lit("m"), "id").alias("message_id"),
+            *(F.lit("x").alias(c) for c in ("thread_id", "sender")),
+            F.timestamp_seconds(F.col("id") * 86_400).alias("received_at"),
+        )
+        days = (dt.date(1970, 1, 1) + dt.timedelta(days=n) for n in (first, last))
+        ids.opened(spark, path, *days)
+        tables.append_messages(mails, path)
+        if index:
+            ids.append(mails, path)
+
+    return path, land
+
+
+def indexed(spark, path):
+    return sorted(r[0] for r in ids.read(spark, path).collect())
+
+
+def test_only_the_batch_is_shuffled_against_the_landed_ids(spark, landed, plan_of):
+    path, land = landed
+    ids.repair(spark, path)
+    land(0, 40)
+    land(40, 60)
+    batch = spark.range(30, 70).selectExpr(
+        "id AS row_id", "concat('m', id) AS message_id", "timestamp_seconds(id * 86400) AS received_at", "0L AS digest"
     )
-    tables.append_messages(mails, path)
-    ids = tables.landed_ids(spark, path, dt.date(1970, 1, 3), dt.date(1970, 1, 4))
-    assert sorted(r[0] for r in ids.collect()) == ["m0", "m2", "m3"]
-    plan = plan_of(ids)
-    assert "PartitionFilters: [((" in plan
-    assert "ReadSchema: struct<message_id:string>" in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    try:
+        decided = ingest.decide(batch, ids.read(spark, path))
+        plan = plan_of(decided)
+        assert decided.filter("is_new").count() == 10
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert "Bucketed: true" in plan and "hashpartitioning(message_id" in plan
+    # the index is sorted and joined as it lies: between its scan and the join there is no exchange
+    lines = plan.splitlines()
+    at = next(i for i, text in enumerate(lines) if "Bucketed: true" in text)
+    above, depth = [], indent(lines[at])
+    for text in reversed(lines[:at]):
+        if indent(text) < depth:
+            above.append(text)
+            depth = indent(text)
+    join = next(i for i, text in enumerate(above) if "LeftAnti" in text)
+    assert not any("Exchange" in text for text in above[:join])
+
+
+def indent(text):
+    return len(text) - len(text.lstrip(" :|+-"))
+
+
+def test_index_catches_up_after_a_crash(spark, landed):
+    path, land = landed
+    land(0, 5)
+    land(5, 9, index=False)  # the run ended between messages and ids
+    assert len(indexed(spark, path)) == 5
+    ids.repair(spark, path)
+    assert indexed(spark, path) == sorted(f"m{n}" for n in range(9))
+    ids.repair(spark, path)
+    assert len(indexed(spark, path)) == 9
+
+
+def test_missing_index_is_built_and_a_half_built_one_completed(spark, landed, monkeypatch):
+    path, land = landed
+    land(0, 5, index=False)
+    files.drop(spark, f"{path}_ids")
+    real = ids._add
+    monkeypatch.setattr(ids, "_add", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError, match="gone"):
+        ids.repair(spark, path)
+    monkeypatch.setattr(ids, "_add", real)
+    ids.repair(spark, path)
+    assert len(indexed(spark, path)) == 5
+
+
+def test_lease_admits_one_writer(spark, tmp_path):
+    table = str(tmp_path / "messages")
+    with lease.held(spark, table, "one") as renew:
+        renew()
+        with pytest.raises(lease.Taken, match="one"):
+            lease.take(spark, table, "two")
+    with lease.held(spark, table, "two"):
+        pass
+    assert not files.exists(spark, f"{table}_lease")
+
+
+def test_dead_lease_is_taken_over_once(spark, tmp_path):
+    table = str(tmp_path / "messages")
+    lease.take(spark, table, "dead", minutes=-1)
+    # another heir got there first
+    files.create(spark, f"{table}_lease.after-dead", "heir")
+    with pytest.raises(lease.Taken, match="heir"):
+        lease.take(spark, table, "late")
+    files.drop(spark, f"{table}_lease.after-dead")
+    lease.take(spark, table, "new")
+    with pytest.raises(lease.Taken):
+        lease.renew(spark, table, "dead")
+    lease.release(spark, table, "dead")
+    assert files.exists(spark, f"{table}_lease")
+    lease.release(spark, table, "new")
+
+
+def test_files_are_replaced_in_one_step(spark, tmp_path):
+    path = str(tmp_path / "pointer")
+    assert files.read(spark, path) is None
+    for text in ("one", "two ünï"):
+        files.replace(spark, path, text, "t")
+        assert files.read(spark, path) == text
+    assert not files.create(spark, path, "three") and files.read(spark, path) == "two ünï"

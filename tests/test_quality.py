@@ -80,3 +80,18 @@ def test_declared_checks_are_complete():
     assert {k: kinds.count(k) for k in set(kinds)} == {
         "NotNull": 26, "Unique": 4, "Accepted": 3, "Fresh": 2, "Recent": 1,
     }
+
+
+def test_observed_checks_equal_checks(spark, table, tmp_path):
+    rules = [q.NotNull("k"), q.Accepted("v", ("x",)), q.Recent("at"), q.Fresh("at"), q.Unique("k")]
+    for n, rows in enumerate(
+        ([("a", "x", hours_ago(1)), (None, "y", None), ("b", "y", hours_ago(90)), ("b", "x", None)],
+         [("a", "x", hours_ago(100))], [(None, "y", None)], [])
+    ):
+        df = table(*rows) if rows else table(("a", "x", None)).sparkSession.createDataFrame([], "k string, v string, at timestamp")
+        watched, report = q.observed(df, rules, as_of=AS_OF, table="t")
+        path = str(tmp_path / str(n))
+        watched.write.parquet(path)
+        got = report(spark.read.schema(df.schema).parquet(path))
+        expected = q.check(df, rules, as_of=AS_OF, table="t")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))

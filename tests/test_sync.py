@@ -89,7 +89,6 @@ def test_incremental_backfill_and_rerun(box):
     backfill = box.sync(6, full_backfill=True)
     assert (backfill["fetched"], backfill["inserted"]) == (5, 0)
     assert box.ids() == ["1", "2", "3", "late"]
-    assert box.sync(6, full_backfill=True, dedup_by_date=True)["inserted"] == 0
 
 
 def test_files_with_old_times_and_copies_with_new_dates(box, tmp_path):
@@ -130,22 +129,116 @@ def test_several_objects_on_a_line(box):
     assert box.bad() == ["malformed json"] * 3
 
 
-def test_deep_messages_are_not_left_behind(box):
-    part = {"mimeType": "text/plain", "body": {"data": "ZGVlcA"}}
-    for _ in range(30):
-        part = {"mimeType": "multipart/mixed", "parts": [part]}
-    box.land("a", line("1", 1), line("2", 1, payload=part))
+@pytest.mark.parametrize("levels", [5, 40, 200])
+def test_deep_messages_are_not_left_behind(box, spark, levels):
+    def text(body):
+        return {"mimeType": "text/plain", "body": {"data": base64.urlsafe_b64encode(body.encode()).decode().rstrip("=")}}
+
+    hidden = {"mimeType": "text/plain", "filename": "a.txt", "parts": [text("hidden")]}
+    part = {"mimeType": "multipart/mixed", "parts": [text("deep"), hidden, {"mimeType": "text/html", "body": {"data": "PGI-"}}]}
+    for n in range(levels):
+        part = {"mimeType": "multipart/mixed", "parts": [text(f"before {n}"), part, text(f"after {n}")]}
+    part["headers"] = [{"name": "Subject", "value": "deep down"}]
+    broken = {"mimeType": "x", "parts": [{"parts": [{"parts": [{"parts": [{"parts": [{"parts": [{"mimeType": "text/plain", "body": {"data": "Y"}}]}]}]}]}]}]}
+    box.land("a", line("1", 1), line("2", 1, payload=part), line("3", 1, payload=broken))
     box.sync(2)
-    assert box.ids() == ["1", "2"] and box.bad() == []
+    assert box.ids() == ["1", "2"] and box.bad() == ["bad base64"]
+    deep = tables.read_messages(spark, box.targets.messages).filter("message_id = '2'").first()
+    order = [f"before {n}" for n in reversed(range(levels))] + ["deep"] + [f"after {n}" for n in range(levels)]
+    assert (deep.plain_body, deep.html_body, deep.subject) == ("\n".join(order), "<b>", "deep down")
+
+
+def test_files_of_any_name_are_read_once(box, tmp_path, monkeypatch):
+    names = ["a b", "c[1]", "50%", "d%20e", "f+g", "{h,i}", "j?k", "l*m", "ünï", "n#o", "p=q", "r&s;t", "u'v"]
+    for n, name in enumerate(names):
+        box.land(name, line(str(n), 1))
+    assert box.sync(2)["inserted"] == len(names)
+    box.land("w x[2]", line("new", 2))
+    read = []
+    real = landing.parse
+    monkeypatch.setattr(landing, "parse", lambda raw, **k: read.append(raw.count()) or real(raw, **k))
+    assert box.sync(3)["inserted"] == 1
+    assert read == [1]
+    assert box.sync(3, full_backfill=True)["inserted"] == 0
+    assert len(box.ids()) == len(names) + 1
+
+
+def test_waiting_mail_is_kept_decoded_and_dropped_when_committed(box, spark):
+    box.land("a", line("1", 1), line("2", 2), line("9", 9))
+    area = f"{box.targets.ledger}_landing/rows"
+
+    def waiting():
+        return sorted(r.message_id for r in spark.read.schema(landing.STAGED).parquet(area).collect())
+
+    box.sync(2)
+    assert waiting() == ["2", "9"]
+    box.sync(3)
+    assert waiting() == ["9"]
+    assert box.sync(10)["inserted"] == 1 and box.ids() == ["1", "2", "9"]
+
+
+def test_rows_staged_by_a_crashed_run_are_committed_by_the_next(box, monkeypatch):
+    box.land("a", line("1", 1), line("5", 5))
+    box.sync(6)
+    box.land("b", line("late", 2), line("7", 7))
+    real = sync.decide
+    monkeypatch.setattr(sync, "decide", lambda *a, **k: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError, match="gone"):
+        box.sync(8)
+    monkeypatch.setattr(sync, "decide", real)
+    again = box.sync(8)
+    assert (again["fetched"], again["inserted"]) == (2, 2)
+    assert box.ids() == ["1", "5", "7", "late"]
+
+
+def test_crash_between_messages_and_their_ids(box, monkeypatch):
+    box.land("a", line("1", 1), line("2", 2))
+    monkeypatch.setattr(sync.ids, "append", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError, match="gone"):
+        box.sync(3)
+    monkeypatch.undo()
+    assert box.ids() == ["1", "2"]
+    assert box.sync(3)["inserted"] == 0
+    box.land("b", line("1", 1), line("3", 3))
+    assert box.sync(4)["inserted"] == 1 and box.ids() == ["1", "2", "3"]
+
+
+def test_second_writer_is_refused(box, spark):
+    from inboxlens.sources import lease
+
+    box.land("a", line("1", 1))
+    with lease.held(spark, box.targets.messages, "other"):
+        with pytest.raises(lease.Taken, match="other"):
+            box.sync(2)
+    lease.take(spark, box.targets.messages, "dead", minutes=-1)
+    assert box.sync(2)["inserted"] == 1
 
 
-def test_bodies_cross_one_exchange(box, spark, plan_of):
+def test_search_string_as_predicate(box):
+    box.land("a", line("1", 1), line("2", 1, labels=["SENT"]), line("3", 2, labels=["INBOX", "SPAM"]))
+    box.sync(3, predicate="in:inbox -in:spam before:2026/03/02")
+    assert box.ids() == ["1"]
+
+
+def test_daily_commits_read_the_index_once(box, monkeypatch):
+    calls = []
+    real = sync.ids.read
+    monkeypatch.setattr(sync.ids, "read", lambda *a: calls.append(1) or real(*a))
+    box.land("a", *(line(str(d), d) for d in range(1, 6)))
+    box.sync(6, windows_per_commit=1)
+    assert len(calls) == 1 and len(box.ledger()) == 5
+
+
+def test_bodies_cross_one_exchange(box, spark, plan_of, tmp_path):
     from inboxlens.operators import ingest
+    from inboxlens.sources import ids
 
     box.land("a", line("1", 1))
-    folder = f"{box.targets.messages}-staged"
-    staged = landing.stage(landing.read(spark, *spark.read.text(f"{box.targets.messages}/../landing").inputFiles()), folder, ingested_at=dt.datetime(2026, 3, 2, tzinfo=UTC))
-    narrow = ingest.decide(staged.select("row_id", "message_id", "received_at", "digest"), tables.landed_ids(spark, box.targets.messages))
+    raw = landing.read(spark, str(tmp_path / "landing"))
+    staged = landing.stage(raw, str(tmp_path / "rows"), ingested_at=dt.datetime(2026, 3, 2, tzinfo=UTC))
+    narrow = ingest.decide(
+        staged.select("row_id", "message_id", "received_at", "digest"), ids.read(spark, box.targets.messages)
+    )
     assert "plain_body" not in plan_of(narrow)
 
 
@@ -240,7 +333,7 @@ def test_build_writes_the_marts_and_passes_its_checks(box, spark, tmp_path):
     assert (emails.count(), apps.count(), meta.first().application_count) == (2, 2, 2)
     assert "received_date" in emails.columns and "latest_status_date" in apps.columns
     build.build(spark, box.targets.messages, marts, as_of=as_of)
-    assert spark.read.parquet(marts.applications).count() == 2
+    assert build.read_marts(spark, marts)[1].count() == 2
     source = build.audit_sources(spark, box.targets.messages, box.targets.ledger, as_of=as_of)
     assert source.filter("status = 'error'").count() == 0
 
@@ -276,3 +369,66 @@ def test_predicate_is_a_parameter(box):
     box.sync(2, predicate=None)
     assert box.ids() == ["1", "2"]
     assert landing.INBOX == "INBOX"
+
+
+def test_marts_are_published_together(box, spark, tmp_path, monkeypatch):
+    """A crash after any step leaves readers with the three marts of one build."""
+    marts = build.Marts(*(str(tmp_path / n) for n in ("emails", "apps", "meta")))
+
+    def made():
+        emails, apps, meta = build.read_marts(spark, marts)
+        row = meta.first()
+        return emails.count(), apps.count(), row.application_count, row.mart_built_at.day
+
+    box.land("a", line("1", 1))
+    box.sync(2)
+    build.build(spark, box.targets.messages, marts, as_of=dt.datetime(2026, 3, 2, tzinfo=UTC))
+    before = build.read_marts(spark, marts)
+    box.land("b", line("2", 2), line("3", 2))
+    box.sync(3)
+    later = dt.datetime(2026, 3, 4, tzinfo=UTC)
+    steps = [(build.tables, n) for n in ("write_email_mart", "write_applications", "write_meta")]
+    for owner, name in [*steps, (build.quality, "gate"), (build, "_publish")]:
+        real = getattr(owner, name)
+
+        def fails(*args, real=real, name=name):
+            if name != "_publish":
+                real(*args)
+            raise OSError(f"after {name}")
+
+        monkeypatch.setattr(owner, name, fails)
+        with pytest.raises(OSError, match=name):
+            build.build(spark, box.targets.messages, marts, as_of=later)
+        monkeypatch.setattr(owner, name, real)
+        assert made() == (1, 1, 1, 2)
+    # a crash behind the rename: the new version is whole
+    monkeypatch.setattr(build.files, "matching", lambda *_: (_ for _ in ()).throw(OSError("sweep")))
+    with pytest.raises(OSError, match="sweep"):
+        build.build(spark, box.targets.messages, marts, as_of=later)
+    monkeypatch.undo()
+    assert made() == (3, 3, 3, 4)
+    # a reader that began before goes on with what it has
+    assert [t.count() for t in before] == [1, 1, 1]
+    for _ in range(2):
+        build.build(spark, box.targets.messages, marts, as_of=later)
+    assert len(list((tmp_path / "emails").iterdir())) == 2
+    with pytest.raises(FileNotFoundError):
+        build.read_marts(spark, build.Marts(*(str(tmp_path / f"no{n}") for n in range(3))))
+
+
+def test_row_checks_cost_no_scan_of_their_own(box, spark, tmp_path, monkeypatch):
+    from inboxlens.operators import quality
+
+    box.land("a", line("1", 1), line("2", 2))
+    box.sync(3)
+    marts = build.Marts(*(str(tmp_path / n) for n in ("emails", "apps", "meta")))
+    measured = []
+    real = quality._measures
+    monkeypatch.setattr(quality, "_measures", lambda checks: measured.append(len(checks)) or real(checks))
+    checked = []
+    whole = quality.check
+    monkeypatch.setattr(quality, "check", lambda df, rules, **k: checked.append(k["table"]) or whole(df, rules, **k))
+    as_of = dt.datetime(2026, 3, 4, tzinfo=UTC)
+    report = build.build(spark, box.targets.messages, marts, as_of=as_of)
+    assert checked == ["emails", "meta"]  # references, and the one row of meta
+    assert report.count() == 27 and {r.status for r in report.collect()} == {"pass"}
