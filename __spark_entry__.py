@@ -21,7 +21,7 @@ import oracle_queries  # noqa: E402
 from inboxlens.functions import mail, rules  # noqa: E402
 from inboxlens.functions.clock import from_micros, instant  # noqa: E402
 from inboxlens.operators import dashboard, ingest, models, quality  # noqa: E402
-from inboxlens.plans import build, sync  # noqa: E402
+from inboxlens.plans import build, compact, sync  # noqa: E402
 from inboxlens.session import prepare, shared_folder  # noqa: E402
 from inboxlens.sources import files, landed_fixture, landing, mailbox, tables  # noqa: E402
 from inboxlens.streaming import mailstream  # noqa: E402
@@ -343,6 +343,26 @@ def _sync_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed_mail(tables.read_messages(spark, targets.messages))
 
 
+def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mail appended in eight parts, compacted, appended to and compacted again: the same rows in fewer files."""
+    base = _folder(spark)
+    path = f"{base}/messages"
+    mails = _mail(spark, sf_dir).withColumns(
+        {c: F.lit(None).cast("string") for c in ("history_id", "recipient", "date", "html_body")}
+    )
+    part = F.pmod(F.col("message_id").cast("bigint"), F.lit(8))
+    for number in range(6):
+        tables.append_messages(mails.filter(part == number).coalesce(2), path)
+    first = compact.compact(spark, path, least_files=6)
+    for number in (6, 7):
+        tables.append_messages(mails.filter(part == number).coalesce(2), path)
+    second = compact.compact(spark, path, least_files=3)
+    fewer = all(0 < done["files_after"] < done["files_before"] for done in (first, second))
+    return tables.read_messages(spark, path).select(
+        "message_id", "thread_id", "sender", "subject", "received_at", F.lit(fewer).alias("fewer_files")
+    )
+
+
 def _ingested_at(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message carries the time of its run, not before it was received."""
     messages = tables.read_messages(spark, _synced(spark, sf_dir).messages)
@@ -528,6 +548,7 @@ def queries() -> dict[str, Query]:
         "sync_odd_files": _sync_odd_files,
         "sync_search": _sync_search,
         "sync_ingested_at": _ingested_at,
+        "compacted_messages": _compacted,
         # build
         "build_emails": _build_emails,
         "build_applications": _build_applications,

@@ -28,6 +28,13 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return [f.getPath().toString() for f in found or []]
 
 
+def usage(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Bytes and number of the data files in a folder."""
+    found = _system(spark, path).listStatus(_path(spark, path))
+    sizes = [f.getLen() for f in found if f.getPath().getName()[0] not in "._"]
+    return sum(sizes), len(sizes)
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     if not _system(spark, source).rename(_path(spark, source), _path(spark, target)):
         raise OSError(f"could not move {source} to {target}")

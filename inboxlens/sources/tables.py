@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from inboxlens.functions.clock import from_micros, instant
 from inboxlens.schemas import APPLICATIONS, EMAIL_MART, LEDGER, MESSAGES, META, QUARANTINE
+from inboxlens.sources import layout
 
 _SETTLED = T.StructType([T.StructField("batch", T.LongType())])
 _START = T.StructType([T.StructField("sync_start", T.TimestampType())])
@@ -32,8 +33,16 @@ def read_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame | None:
-    """Message table with its partition column ``received_date``."""
-    return read_or_none(spark, path, _with_day(MESSAGES, "received_date"))
+    """Message table with its partition column ``received_date``; None before the first append."""
+    found = layout.folders(spark, path)
+    return messages_in(spark, path, found) if found else None
+
+
+def messages_in(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
+    """The rows of some folders of the message table."""
+    schema = _with_day(MESSAGES, "received_date")
+    versioned = T.StructType([*schema.fields, T.StructField("version", T.StringType())])
+    return spark.read.schema(versioned).option("basePath", path).parquet(*folders).drop("version")
 
 
 def read_messages_or_empty(spark: SparkSession, path: str) -> DataFrame:
@@ -50,7 +59,7 @@ def append_messages(messages: DataFrame, path: str) -> None:
     dated = messages.select(*known, _day(F.col("received_at")).alias("received_date"))
     dated.sortWithinPartitions("received_date", "sender", "thread_id").write.mode(
         "append"
-    ).partitionBy("received_date").parquet(path)
+    ).partitionBy("received_date").parquet(layout.open_folder(messages.sparkSession, path))
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:

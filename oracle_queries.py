@@ -436,6 +436,8 @@ def statements() -> dict[str, str]:
         "OR contains(lower(concat_ws(chr(10), subject, sender, snippet)), 'hello'))",
         "sync_ingested_at": f"WITH {MAIL} SELECT message_id, true AS after_receipt, true AS is_set "
         "FROM mail WHERE labels LIKE '%INBOX%'",
+        "compacted_messages": f"WITH {MAIL} SELECT message_id, thread_id, sender, subject, received_at, "
+        "true AS fewer_files FROM mail",
         "build_emails": f"WITH {CLASSIFIED} SELECT message_id, thread_id, sender, subject, snippet, "
         "plain_body, labels, received_at, job_pipeline_category FROM classified",
         "build_applications": f"WITH {APPS} SELECT * FROM apps",
