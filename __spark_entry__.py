@@ -21,7 +21,7 @@ import oracle_queries  # noqa: E402
 from inboxlens.functions import mail, rules  # noqa: E402
 from inboxlens.functions.clock import from_micros, instant  # noqa: E402
 from inboxlens.operators import dashboard, ingest, models, quality  # noqa: E402
-from inboxlens.plans import build, compact, sync  # noqa: E402
+from inboxlens.plans import build, compact, refresh, sync  # noqa: E402
 from inboxlens.session import prepare, shared_folder  # noqa: E402
 from inboxlens.sources import files, landed_fixture, landing, mailbox, tables  # noqa: E402
 from inboxlens.streaming import mailstream  # noqa: E402
@@ -363,6 +363,20 @@ def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The application mart after three refreshes, each of which reads a third of the mail."""
+    base = _folder(spark)
+    mails = _mail(spark, sf_dir).withColumns(
+        {c: F.lit(None).cast("string") for c in ("history_id", "recipient", "date", "html_body")}
+    )
+    for number in range(3):
+        part = mails.filter(F.pmod(F.col("message_id").cast("bigint"), F.lit(3)) == number)
+        at = AS_OF + dt.timedelta(hours=number)
+        tables.append_messages(part.withColumn("ingested_at", instant(at)), f"{base}/messages")
+        states = refresh.refresh(spark, f"{base}/messages", f"{base}/threads")
+    return models.applications_of(states, as_of=AS_OF)
+
+
 def _ingested_at(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message carries the time of its run, not before it was received."""
     messages = tables.read_messages(spark, _synced(spark, sf_dir).messages)
@@ -549,6 +563,7 @@ def queries() -> dict[str, Query]:
         "sync_search": _sync_search,
         "sync_ingested_at": _ingested_at,
         "compacted_messages": _compacted,
+        "refreshed_applications": _refreshed,
         # build
         "build_emails": _build_emails,
         "build_applications": _build_applications,

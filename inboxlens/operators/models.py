@@ -252,6 +252,57 @@ def applications(
         .groupBy(F.col("thread_id").alias("application_id"))
         .agg(*_rollup_columns(), _latest_status(), *_winner_columns())
     )
+    return _judged(threads, as_of, no_response_days)
+
+
+_GUESSES = {"company": "company_guess", "role": "role_guess", "ats_source": "ats_source_guess"}
+
+
+def thread_states(classified: DataFrame) -> DataFrame:
+    """What is kept of each thread so that mail can be added to it later.
+
+    Minima, maxima, counts and flags, the best (rank, date), and the first (date, id, guess) of each
+    kind: every column merges with that of another part of the thread's mail.
+    """
+    threaded = with_guesses(classified.filter(F.col("thread_id").isNotNull()))
+    rank = mail.status_rank(F.col("job_pipeline_category"))
+    firsts = [
+        F.expr(f"min(struct(received_at, message_id, {guess} AS value)) FILTER (WHERE {guess} IS NOT NULL)").alias(name)
+        for name, guess in _GUESSES.items()
+    ]
+    best = F.max(F.struct(rank.alias("rank"), F.col("received_at").alias("at"))).alias("best")
+    return threaded.groupBy("thread_id").agg(*_rollup_columns(), best, *firsts)
+
+
+def merge_states(one: DataFrame, other: DataFrame) -> DataFrame:
+    """The states of both parts of the mail together; a message may be in one part only."""
+    merged = {
+        "applied_at": F.min, "first_email_at": F.min, "last_email_at": F.max, "email_count": F.sum,
+        **{f"has_{k}": F.bool_or for k in ("interview", "offer", "rejection", "recruiter_outreach")},
+        "best": F.max, **dict.fromkeys(_GUESSES, F.min),
+    }
+    return one.unionByName(other).groupBy("thread_id").agg(
+        *(merge(name).alias(name) for name, merge in merged.items())
+    )
+
+
+def applications_of(
+    states: DataFrame,
+    *,
+    as_of: dt.datetime | Column,
+    no_response_days: int = rules.NO_RESPONSE_DAYS,
+) -> DataFrame:
+    """The application mart from thread states: the rows of :func:`applications` over all mail."""
+    threads = states.withColumnRenamed("thread_id", "application_id").withColumns(
+        {
+            "latest_status_at": F.col("best.at"),
+            **{name: F.col(f"{name}.value") for name in _GUESSES},
+        }
+    )
+    return _judged(threads, as_of, no_response_days)
+
+
+def _judged(threads: DataFrame, as_of: dt.datetime | Column, no_response_days: int) -> DataFrame:
     return (
         threads.withColumn("is_no_response", no_response(instant(as_of), no_response_days))
         .withColumns({"outcome": outcome(), "days_in_pipeline": days_in_pipeline()})

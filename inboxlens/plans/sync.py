@@ -305,7 +305,9 @@ def commit(
         full = counts.filter(F.col("sync_start") == instant(stop)).first()
         extra = (full["fetched"], cap)
     ids.opened(spark, targets.messages, lo.date(), hi.date(), id_buckets)
-    tables.append_messages(of_group.join(refused, [*_KEY], "left_anti"), targets.messages)
+    # mail may have waited since it was staged: it is ingested now, later than all mail before it
+    arriving = of_group.join(refused, [*_KEY], "left_anti")
+    tables.append_messages(arriving.withColumn("ingested_at", instant(started_at)), targets.messages)
     ids.append(taken, targets.messages, id_buckets)
 
     tables.append_ledger(_ok_rows(done, run_id, started_at), targets.ledger)

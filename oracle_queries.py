@@ -441,6 +441,7 @@ def statements() -> dict[str, str]:
         "build_emails": f"WITH {CLASSIFIED} SELECT message_id, thread_id, sender, subject, snippet, "
         "plain_body, labels, received_at, job_pipeline_category FROM classified",
         "build_applications": f"WITH {APPS} SELECT * FROM apps",
+        "refreshed_applications": f"WITH {APPS} SELECT * FROM apps",
         "build_meta": f"WITH {APPS} SELECT {_AS_OF} AS mart_built_at, "
         "(SELECT max(received_at) FROM staged) AS data_through, "
         "(SELECT count(*) FROM apps) AS application_count",

@@ -432,3 +432,34 @@ def test_row_checks_cost_no_scan_of_their_own(box, spark, tmp_path, monkeypatch)
     report = build.build(spark, box.targets.messages, marts, as_of=as_of)
     assert checked == ["emails", "meta"]  # references, and the one row of meta
     assert report.count() == 27 and {r.status for r in report.collect()} == {"pass"}
+
+
+def test_refresh_reads_new_mail_only(box, spark, tmp_path, monkeypatch):
+    from inboxlens.operators import models
+    from inboxlens.plans import refresh
+
+    state = str(tmp_path / "threads")
+    read = []
+    real = models.staging
+    monkeypatch.setattr(models, "staging", lambda df: read.append(sorted(r[0] for r in df.select("message_id").collect())) or real(df))
+
+    def threads():
+        done = refresh.refresh(spark, box.targets.messages, state)
+        return sorted((r.thread_id, r.email_count) for r in done.collect())
+
+    assert threads() == []
+    box.land("a", line("1", 1), line("2", 2, threadId="t1"), line("5", 5, threadId="t1"))
+    box.sync(3)
+    assert threads() == [("t1", 2)]
+    # mail that waited since the first sync is new when it is committed, and so is late mail
+    box.land("b", line("3", 3), line("late", 1, threadId="t3"))
+    box.sync(6)
+    monkeypatch.setattr(refresh.files, "replace", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError, match="gone"):
+        threads()
+    monkeypatch.setattr(refresh.files, "replace", sync.files.replace)
+    monkeypatch.undo()
+    monkeypatch.setattr(models, "staging", lambda df: read.append(sorted(r[0] for r in df.select("message_id").collect())) or real(df))
+    assert threads() == [("t1", 3), ("t3", 2)]
+    assert threads() == [("t1", 3), ("t3", 2)]
+    assert read == [[], ["1", "2"], ["3", "5", "late"], ["3", "5", "late"]]
