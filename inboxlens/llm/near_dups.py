@@ -118,7 +118,7 @@ def _sign(trees: int, length: int, n: int):
             digests, sizes, hashes, rows = [], [], [], []
             for at, text in enumerate(texts):
                 words = tokens(text)
-                digests.append(xxhash.xxh3_128_digest("\n".join(words)))
+                digests.append(digest_of(words))
                 if words:
                     own = np.unique(_shingle_hashes(signer.word_codes(words), n))
                     hashes.append(own)
@@ -152,6 +152,20 @@ def _sign(trees: int, length: int, n: int):
     return run
 
 
+def digest_of(words: list[str]) -> bytes:
+    """What texts of the same words share."""
+    return xxhash.xxh3_128_digest("\n".join(words))
+
+
+def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [digest_of(tokens(t)) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(found, pa.binary()), batch.column(1)],
+            names=["id", "digest", "text"],
+        )
+
+
 def _candidates(
     nodes: np.ndarray, sizes: np.ndarray, block: np.ndarray, first: int, second: int, node: int,
     similarity: float,
@@ -329,7 +343,8 @@ def join(
     directly, ``class_id`` is the smallest id reachable by links, ``copies`` counts the documents
     of the same words, and the document with the class's id is kept.  A text shorter than ``words`` is one
     n-gram; null texts and texts without words link with nothing.  Rows that repeat an id are one
-    document; ids are integers, and null ids are left out, having no name to link.  An empty
+    document, which links by any of its texts (``n_links`` and ``copies`` are those of the text that
+    has most); ids are integers, and null ids are left out, having no name to link.  An empty
     table gives an empty result; other columns are not read.
     """
     length = prefix_length(similarity, trees, depth, recall)
@@ -347,11 +362,13 @@ def join(
         signed.filter("size > 0")
         .groupBy("digest")
         .agg(
-            F.min("id").alias("rep"),
+            F.min("id").alias("least"),
             F.countDistinct("id").alias("copies"),
             F.first("size").alias("size"),
             F.first("nodes").alias("nodes"),
         )
+        # one id may have several texts, so representatives have numbers of their own
+        .withColumn("rep", F.monotonically_increasing_id())
     )
     nodes = reps.select("rep", F.explode("nodes").alias("node"))
     shared = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -375,26 +392,39 @@ def join(
         .sortWithinPartitions(*cell)
         .mapInPandas(_involved(similarity), placed.schema)
     )
-    texts = rows.join(
-        candidates.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"
-    ).groupBy("id").agg(F.max("text").alias("text"))
-    with_text = candidates.join(texts.withColumnRenamed("id", "rep"), "rep").select(
-        *candidates.columns, "text"
+    wanted = candidates.select("rep").distinct().join(
+        reps.select("rep", "digest", F.col("least").alias("id")), "rep"
+    )
+    texts = (
+        rows.join(wanted.select("id").distinct(), "id", "left_semi")
+        .mapInArrow(_digested, "id bigint, digest binary, text string")
+        .groupBy("id", "digest")
+        .agg(F.max("text").alias("text"))
     )
+    with_text = candidates.join(
+        wanted.join(texts, ["id", "digest"]).select("rep", "text"), "rep"
+    ).select(*candidates.columns, "text")
     found = settle(
         with_text.repartition(*cell)
         .sortWithinPartitions(*cell)
         .mapInPandas(_verify(similarity, words), "rep bigint, links bigint, root bigint")
     )
-    classes = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
+    links = found.select(F.col("rep").alias("a"), F.col("root").alias("b"))
+    classes = components(links.unionByName(_same_id(signed, reps)))
     linked = found.groupBy("rep").agg(F.sum("links").alias("links"))
+    # the smallest id of a component; texts that link with nothing are their own
+    named = (
+        classes.join(reps.select("rep", "least"), F.col("node") == F.col("rep"))
+        .groupBy("component")
+        .agg(F.min("least").alias("class_id"))
+    )
     known = (
-        reps.select("digest", "rep", "copies")
+        reps.select("digest", "rep", "copies", "least")
         .join(linked, "rep", "left")
-        .join(classes, F.col("rep") == F.col("node"), "left")
+        .join(classes.join(named, "component").select("node", "class_id"), F.col("rep") == F.col("node"), "left")
         .select(
             "digest", "copies",
-            F.coalesce("component", "rep").alias("class_id"),
+            F.coalesce("class_id", "least").alias("class_id"),
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         )
     )
@@ -414,6 +444,26 @@ def join(
     )
 
 
+def _same_id(signed: DataFrame, reps: DataFrame) -> DataFrame:
+    """Edges between the representatives of one id's texts; few ids have more than one."""
+    several = (
+        signed.filter("size > 0")
+        .groupBy("id")
+        .agg(F.min("digest").alias("one"), F.max("digest").alias("other"))
+        .filter("one <> other")
+        .select("id")
+    )
+    of_id = (
+        signed.filter("size > 0")
+        .join(several, "id", "left_semi")
+        .select("id", "digest")
+        .distinct()
+        .join(reps.select("digest", "rep"), "digest")
+    )
+    first = of_id.groupBy("id").agg(F.min("rep").alias("a"))
+    return of_id.join(first, "id").select("a", F.col("rep").alias("b"))
+
+
 def keep_one(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options
 ) -> DataFrame:

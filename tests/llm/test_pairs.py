@@ -75,6 +75,18 @@ def test_near_copies_in_blocks(spark, block):
     assert got == all_pairs(texts)
 
 
+def test_one_id_with_several_texts_links_by_each(spark):
+    a = " ".join(f"a{k}" for k in range(30))
+    b = " ".join(f"b{k}" for k in range(30))
+    near = a.replace("a29", "changed")
+    rows = [(1, a), (1, b), (2, near), (3, b), (4, "else"), (5, None), (5, b.upper() + "  ")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["class_id"], r["n_links"], r["kept"]) for r in near_dups.join(docs).collect()}
+    assert got == {
+        1: (1, 2, True), 2: (1, 1, False), 3: (1, 2, False), 4: (4, 0, True), 5: (1, 2, False),
+    }
+
+
 def test_many_pairs_go_through_the_matrix(spark, monkeypatch):
     texts = varied(300, seed=9)
     a, b = np.triu_indices(len(texts), 1)
