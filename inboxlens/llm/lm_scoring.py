@@ -5,6 +5,7 @@
 A member is a frequent word, or all words of one shape (a hash of the last bytes) among the other
 head words, or among the rest.  Both softmaxes are log-linear in the history's features: the word
 before, the words two and three before (skips), and for classes a hashed pair of the two words before.
+How many words are told apart as history, and how many buckets hold their pairs, grows with the corpus.
 Words inside a member share it by their counts; a rare member keeps an absolute discount of
 its mass for unknown words, so that the model sums to one over known words and one unknown word
 a shape.
@@ -39,11 +40,13 @@ HEAD_COUNT = 4
 CLASSES, MEMBERS = 16, 32
 #: The most frequent words are members of their own, then come the shapes of head and rest.
 SINGLES, SHAPES = 256, 128
-#: Words that are told apart as history; all others stand for their member.
-CONTEXTS = 512
-PAIRS = 1 << 14
+#: Words that are told apart as history (all others stand for their member) and buckets of word
+#: pairs for each of them, at least; both grow with the square root of the training tokens.
+CONTEXTS, PAIRS_EACH = 512, 32
 REACH = 3
 ROUNDS = 2
+#: Training tokens that one worker follows in a round.
+SHARD = 8_000_000
 #: Tokens to a gradient step, and to a slice when scoring.
 STEP, SLICE = 16_384, 65_536
 RATE = 0.25
@@ -52,7 +55,11 @@ FLUSH = 400_000
 END = b"\n"
 FOLDS, HELD_OUT = 7, 2
 LEAVES = CLASSES * MEMBERS
-START = CONTEXTS + LEAVES
+
+
+def contexts_for(tokens: int) -> int:
+    """Words told apart as history: a power of two near an eighth of the root of the tokens."""
+    return max(CONTEXTS, 1 << max(0, round(math.log2(max(1.0, math.sqrt(tokens) / 8)))))
 
 
 def held_out(ident: Column) -> Column:
@@ -122,6 +129,10 @@ class Vocabulary:
     rest_words: np.ndarray
     discount: float
 
+    @property
+    def contexts(self) -> int:
+        return contexts_for(self.total)
+
     def ranks(self) -> _Ranks:
         return _Ranks((w, k) for k, w in enumerate(self.words))
 
@@ -190,36 +201,45 @@ class History:
     pair: np.ndarray
 
 
-def _history(ranks: np.ndarray, starts: np.ndarray, leaf_of_rank: np.ndarray) -> History:
+def _history(
+    ranks: np.ndarray, starts: np.ndarray, leaf_of_rank: np.ndarray, contexts: int = CONTEXTS
+) -> History:
+    begin = contexts + LEAVES  # stands for what lies before a text
     head = ranks >= 0
     leaf = np.where(head, 0, SINGLES + SHAPES + ~ranks)
     leaf[head] = leaf_of_rank[ranks[head]]
-    context = np.where(head & (ranks < CONTEXTS), ranks, CONTEXTS + leaf)
+    context = np.where(head & (ranks < contexts), ranks, contexts + leaf)
     place = np.arange(len(ranks)) - np.repeat(starts, np.diff([*starts, len(ranks)]))
     before = []
     for back in range(1, REACH + 1):
-        moved = np.full(len(ranks), START)
+        moved = np.full(len(ranks), begin)
         moved[back:] = context[:-back] if back < len(ranks) else context[:0]
-        moved[place < back] = START
+        moved[place < back] = begin
         before.append(moved)
-    pair = (before[0] * 40_503 + before[1] * 2_654_435) % 1_000_003 % PAIRS
+    mixed = (before[0] * begin + before[1]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    pair = ((mixed >> np.uint64(20)) % np.uint64(contexts * PAIRS_EACH)).astype(np.int64)
     return History(leaf, before, pair)
 
 
 class Model:
     """Weights by member, so that a feature is looked up member by member in a short array."""
 
-    SHAPES = (
-        *(((CLASSES, START + 1),) * REACH),
-        (CLASSES, PAIRS),
-        *(((MEMBERS, (START + 1) * CLASSES),) * REACH),
-    )
-
-    def __init__(self, priors: np.ndarray, weights: list[np.ndarray] | None = None) -> None:
+    def __init__(
+        self, priors: np.ndarray, weights: list[np.ndarray] | None = None, contexts: int = CONTEXTS
+    ) -> None:
         share = (priors + 0.1).reshape(CLASSES, MEMBERS)
         self.class_bias = np.log(share.sum(1) / share.sum()).astype(np.float32)
         self.member_bias = np.log(share / share.sum(1, keepdims=True)).T.astype(np.float32)
-        self.weights = weights or [np.zeros(s, np.float32) for s in self.SHAPES]
+        self.weights = weights or [np.zeros(s, np.float32) for s in self.shapes(contexts)]
+
+    @staticmethod
+    def shapes(contexts: int) -> list[tuple[int, int]]:
+        places = contexts + LEAVES + 1
+        return [
+            *[(CLASSES, places)] * REACH,
+            (CLASSES, contexts * PAIRS_EACH),
+            *[(MEMBERS, places * CLASSES)] * REACH,
+        ]
 
     def features(self, h: History, some: slice) -> tuple[np.ndarray, list[np.ndarray]]:
         owner = h.leaf[some] // MEMBERS
@@ -261,11 +281,18 @@ class Model:
                 error[right, here] -= 1
                 errors.append(error)
             for k, (w, i, seen) in enumerate(zip(self.weights, at, squares, strict=True)):
-                error = errors[k > REACH]
-                for row in range(len(w)):
-                    g = np.bincount(i, error[row], minlength=w.shape[1])
-                    seen[row] += g * g
-                    w[row] -= RATE * g / np.sqrt(seen[row])
+                # only the features of the run have a gradient
+                used = np.zeros(w.shape[1], bool)
+                used[i] = True
+                columns = np.flatnonzero(used)
+                place = np.empty(w.shape[1], np.int32)
+                place[columns] = np.arange(len(columns), dtype=np.int32)
+                at_column = place[i]
+                for row, error in enumerate(errors[k > REACH]):
+                    g = np.bincount(at_column, error, minlength=len(columns))
+                    total = seen[row, columns] + g * g
+                    seen[row, columns] = total
+                    w[row, columns] -= RATE * g / np.sqrt(total)
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -296,17 +323,20 @@ def _parts(texts: list, size: int = 400_000) -> Iterator[tuple[int, int]]:
 
 
 def train(
-    texts: DataFrame, known: Vocabulary, *, part: Column, rounds: int = ROUNDS,
-    workers: int | None = None,
+    texts: DataFrame, known: Vocabulary, *, part: Column, rounds: int = ROUNDS, shard: int = SHARD
 ) -> Model:
     """Weights after one pass over all texts, a part of them in each round.
 
-    ``part`` is a hash that says which round a text belongs to.  Workers' changes are averaged by
-    the tokens they have seen; what reaches the driver is the sum, of a fixed size.
+    ``part`` is a hash that says which round and which worker a text belongs to, and in which place;
+    the number of workers follows from the tokens, so the weights don't depend on the cluster.
+    Workers' changes are averaged by the tokens they have seen; what reaches the driver is the sum,
+    of the size of the weights.
     """
     spark = texts.sparkSession
-    model = Model(known.priors())
-    workers = workers or spark.sparkContext.defaultParallelism
+    contexts = known.contexts
+    model = Model(known.priors(), contexts=contexts)
+    workers = max(1, -(-known.total // (rounds * shard)))
+    dealt = texts.select("text", part.alias("place"))
     shared = spark.sparkContext.broadcast(known)
     for k in range(rounds):
         now = spark.sparkContext.broadcast(model.weights)
@@ -315,13 +345,13 @@ def train(
             known = shared.value
             ranks, leaf_of_rank = known.ranks(), known.leaf_of_rank()
             own = Model(known.priors(), [w.copy() for w in now.value])
-            squares = [np.ones(s, np.float32) for s in Model.SHAPES]
+            squares = [np.ones(s, np.float32) for s in Model.shapes(contexts)]
             seen = 0
             for batch in batches:
                 texts = batch.column(0).to_pylist()
                 for start, end in _parts(texts):
                     flat, starts, _ = _runs(texts[start:end], ranks)
-                    own.learn(_history(flat, starts, leaf_of_rank), squares)
+                    own.learn(_history(flat, starts, leaf_of_rank, contexts), squares)
                     seen += len(flat)
             if not seen:
                 return
@@ -351,9 +381,11 @@ def train(
                 yield pd.DataFrame({"block": [block], "change": [mean.tobytes()]})
 
         changes = (
-            texts.filter(F.pmod(part, F.lit(rounds)) == k)
+            dealt.filter(F.pmod("place", F.lit(rounds)) == k)
+            .withColumn("worker", F.pmod(F.shiftright("place", 8), F.lit(workers)).cast("int"))
+            .repartitionById(workers, "worker")
+            .sortWithinPartitions("worker", "place", "text")
             .select("text")
-            .coalesce(workers)
             .mapInArrow(run, "block int, seen bigint, change binary")
             .repartition("block")
             .mapInPandas(add, "block int, change binary")
@@ -384,7 +416,7 @@ def _score(shared, weights):
             for start, end in _parts(all_texts):
                 ids, texts = all_ids[start:end], all_texts[start:end]
                 flat, starts, words = _runs(texts, ranks)
-                scores = model.score(_history(flat, starts, leaf_of_rank))
+                scores = model.score(_history(flat, starts, leaf_of_rank, known.contexts))
                 head = flat >= 0
                 scores[head] += inside[flat[head]]
                 bases = np.zeros(len(flat))
@@ -447,7 +479,7 @@ def score(
     texts = docs.filter(learned).select(text, F.col(id_col).alias("id"))
     counts = settle(count_words(texts.select("text")))
     known, least = vocabulary(counts, head)
-    model = train(texts, known, part=F.xxhash64("id", F.lit(1)), rounds=rounds)
+    model = train(texts, known, part=F.xxhash64("id", "text"), rounds=rounds)
     sent = spark.sparkContext.broadcast(known), spark.sparkContext.broadcast(model.weights)
     found = settle(
         docs.select(F.col(id_col).cast("bigint").alias("id"), text).mapInArrow(_score(*sent), _FOUND)
