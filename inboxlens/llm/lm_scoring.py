@@ -46,7 +46,7 @@ CONTEXTS, PAIRS_EACH = 512, 32
 REACH = 3
 ROUNDS = 2
 #: Training tokens that one worker follows in a round.
-SHARD = 2_000_000
+SHARD = 8_000_000
 #: Tokens to a gradient step, and to a slice when scoring.
 STEP, SLICE = 16_384, 65_536
 RATE = 0.25
