@@ -238,56 +238,6 @@ def test_model_sums_to_one():
     assert np.exp(model.score(h) * math.log(10)).sum() == pytest.approx(1, abs=1e-4)
 
 
-def test_the_model_grows_with_the_corpus():
-    sizes = [lm_scoring.contexts_for(n) for n in (0, 10**6, 10**7, 10**8, 10**9, 10**10)]
-    assert sizes[0] == lm_scoring.CONTEXTS and sizes == sorted(sizes) and sizes[-1] >= 16 * sizes[0]
-    columns = [sum(r * c for r, c in lm_scoring.Model.shapes(n)) for n in sizes]
-    assert columns[-1] > 8 * columns[0]
-
-
-def test_steps_equal_dense_ones():
-    """Gradient steps over the features of a run only, against steps over all weights."""
-    rng = np.random.default_rng(2)
-    n = 500
-    history = lm_scoring._history(
-        rng.integers(-5, 900, n), np.array([0, 100, 101, 350]), np.arange(900) % lm_scoring.LEAVES
-    )
-    priors = rng.random(lm_scoring.LEAVES) * 9
-    model, dense = lm_scoring.Model(priors), lm_scoring.Model(priors)
-    squares = [np.ones(s, np.float32) for s in model.shapes(lm_scoring.CONTEXTS)]
-    for _ in range(2):
-        model.learn(history, squares)
-    total = [np.ones(w.shape) for w in dense.weights]
-    for _ in range(2):
-        owner, at = dense.features(history, slice(0, n))
-        logs = dense.chances(owner, at)
-        errors = []
-        for chance, right in zip(logs, (owner, history.leaf % lm_scoring.MEMBERS), strict=True):
-            error = np.exp(chance)
-            error[right, np.arange(n)] -= 1
-            errors.append(error)
-        for k, w in enumerate(dense.weights):
-            g = np.zeros(w.shape)
-            for token in range(n):
-                g[:, at[k][token]] += errors[k > lm_scoring.REACH][:, token]
-            total[k] += g * g
-            w -= (lm_scoring.RATE * g / np.sqrt(total[k])).astype(np.float32)
-    for a, b in zip(model.weights, dense.weights, strict=True):
-        np.testing.assert_allclose(a, b, atol=2e-4)
-
-
-def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
-    monkeypatch.setattr(lm_scoring, "SHARD", 20_000)
-    monkeypatch.setitem(lm_scoring.train.__kwdefaults__, "shard", 20_000)
-    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(300).cache()
-    one, two = (
-        {r["doc_id"]: r["score"] for r in lm_scoring.score(docs.repartition(n)).collect()} for n in (2, 7)
-    )
-    docs.unpersist()
-    assert one.keys() == two.keys()
-    assert all(one[k] == pytest.approx(two[k], rel=1e-4) for k in one)
-
-
 def test_inside_a_member_sums_to_one():
     known = lm_scoring.Vocabulary([b"a", b"bb", b"\n"], np.array([5.0, 4.0, 9.0]), 30, 8,
                                   np.zeros(lm_scoring.SHAPES), np.zeros(lm_scoring.SHAPES), 0.4)
