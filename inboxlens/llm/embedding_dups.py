@@ -2,10 +2,11 @@
 
 For unit vectors the cosine is a distance: ``d**2 = 2 - 2 cos``, so pairs of cosine ``c`` are
 pairs within ``sqrt(2 - 2c)``.  A cover tree is a set of nested levels, the radius halved from one
-to the next.  Its upper levels are built on a bounded sample of centres and shared by all tasks;
-every vector goes to the cell of its nearest centre, and the covering radius of a cell is
-measured over all its vectors.  Pairs of upper nodes that are further apart than their covering radii
-and the threshold together are pruned; each pair of cells left is one task, where the lower
+to the next.  Its upper levels, nodes with parents, are built on a bounded sample of centres; every
+vector goes to the cell of its nearest centre, and the covering radius of a cell is measured
+over all its vectors, that of an upper node over all cells below it.  The upper levels are
+traversed in pairs of nodes, level by level: pairs that are further apart than their covering radii
+and the threshold together are pruned.  Each pair of cells left is one task, where the lower
 levels of both cells are built and traversed in the same way.  Leaf pairs are compared by a matrix
 product in double precision, so the pairs found are exact.
 
@@ -19,6 +20,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -172,17 +174,72 @@ def _valid(vector: Column) -> Column:
     return vector.isNotNull() & ~bad & F.exists(vector, lambda x: x != 0)
 
 
-def _upper(sample: np.ndarray, cells: int) -> np.ndarray:
-    """Centres by halving radii, level by level, until ``cells`` of them or every sample point."""
-    rows = np.arange(len(sample))
+def _upper(sample: np.ndarray, cells: int) -> tuple[np.ndarray, list[int]]:
+    """Centres of nested levels, coarsest first, and how many of them each level holds.
+
+    The radius is halved from level to level.  A level keeps the centres of the one above and adds
+    sample points further than its radius from all centres, the farthest first, until none is left
+    or there are ``cells`` centres.  Levels that add nothing are left out.
+    """
     centres, best, radius = [sample[0]], _distance(sample, sample[0]), 2.0
+    counts = [1]
     while len(centres) < cells and best.max() > 1e-6:
         radius /= 2
         while best.max() > radius and len(centres) < cells:
-            centre = sample[rows[int(np.argmax(best))]]
+            centre = sample[int(np.argmax(best))]
             centres.append(centre)
             best = np.minimum(best, _distance(sample, centre))
-    return np.array(centres)
+        if len(centres) > counts[-1]:
+            counts.append(len(centres))
+    return np.array(centres), counts
+
+
+def _apart(centres: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances of pairs of centres, a bounded number at a time."""
+    found = np.empty(len(a))
+    for at in range(0, len(a), 1 << 15):
+        some = slice(at, at + (1 << 15))
+        found[some] = np.sqrt(((centres[a[some]] - centres[b[some]]) ** 2).sum(axis=1))
+    return found
+
+
+def cell_pairs(
+    centres: np.ndarray, counts: list[int], radii: np.ndarray, limit: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of cells (each with itself too) that may hold vectors within ``limit``.
+
+    ``radii`` are the cells' measured covering radii, -inf for a cell without vectors.  The node of
+    a centre on an upper level is the parent of the centres of the next level that it is nearest
+    to, and its covering radius reaches all vectors of all cells below.  Both sides go down
+    together, level by level; pairs further apart than both covering radii and the limit are pruned.
+    """
+    parents: list[np.ndarray] = []
+    covers = [radii]
+    above = np.arange(len(centres))
+    for few, many in zip(counts[-2::-1], counts[:0:-1], strict=True):
+        parent = np.argmax(centres[:many] @ centres[:few].T, axis=1)
+        parent[:few] = np.arange(few)
+        above = parent[above]
+        cover = np.full(few, -np.inf)
+        np.maximum.at(cover, above, _apart(centres, np.arange(len(centres)), above) + radii)
+        parents.append(parent)
+        covers.append(cover)
+    one = two = np.zeros(1, int)
+    for parent, cover in zip(parents[::-1], covers[-2::-1], strict=True):
+        order = np.argsort(parent, kind="stable")
+        begin = np.searchsorted(parent[order], np.arange(parent.max() + 2))
+        wide, deep = (begin[side + 1] - begin[side] for side in (one, two))
+        size = wide * deep
+        of = np.repeat(np.arange(len(one)), size)
+        nth = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        a = order[begin[one[of]] + nth // deep[of]]
+        b = order[begin[two[of]] + nth % deep[of]]
+        once = (one[of] != two[of]) | (a <= b)
+        a, b = a[once], b[once]
+        near = (a == b) | (_apart(centres, a, b) <= cover[a] + cover[b] + limit + SLACK)
+        one, two = a[near], b[near]
+    filled = (radii[one] >= 0) & (radii[two] >= 0)
+    return np.minimum(one, two)[filled], np.maximum(one, two)[filled]
 
 
 def _assign(centres: np.ndarray):
@@ -214,29 +271,23 @@ def _one_dimension(vectors: DataFrame, cosine: float, block: int) -> DataFrame:
     sample = np.array([r["vector"] for r in picked], np.float64)
     sample /= np.abs(sample).max(axis=1, keepdims=True)
     sample /= np.sqrt((sample**2).sum(axis=1, keepdims=True))
-    centres = _upper(sample, max(1, min(SAMPLE, -(-total // block))))
+    centres, counts = _upper(sample, max(1, min(SAMPLE, -(-total // block))))
     schema = "rep bigint, copies bigint, cell bigint, reach double, unit array<double>"
     placed = settle(vectors.mapInPandas(_assign(centres), schema))
-    cells = {
-        r["cell"]: (r["radius"], -(-r["n"] // block))
-        for r in placed.groupBy("cell")
-        .agg(F.max("reach").alias("radius"), F.count(F.lit(1)).alias("n"))
+    cells = (
+        placed.groupBy("cell")
+        .agg(F.max("reach").alias("radius"), F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
         .collect()
-    }
+    )
     limit = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
-    near = []
-    order = sorted(cells)
-    for i in order:
-        apart = np.sqrt(((centres - centres[i]) ** 2).sum(axis=1))
-        near += [
-            (i, j)
-            for j in order
-            if j >= i and (i == j or apart[j] <= cells[i][0] + cells[j][0] + limit + SLACK)
-        ]
+    radii = np.full(len(centres), -np.inf)
+    for r in cells:
+        radii[r["cell"]] = r["radius"]
+    one, two = cell_pairs(centres, counts, radii, limit)
     blocks = spark.createDataFrame(
-        [(int(c), int(n)) for c, (_, n) in cells.items()], "cell bigint, blocks bigint"
+        [(r["cell"], r["blocks"]) for r in cells], "cell bigint, blocks bigint"
     )
-    meeting = spark.createDataFrame([(int(i), int(j)) for i, j in near], "one bigint, two bigint")
+    meeting = spark.createDataFrame(pa.table({"one": one, "two": two}))
     sized = meeting.join(
         blocks.select(F.col("cell").alias("one"), F.col("blocks").alias("m")), "one"
     ).join(blocks.select(F.col("cell").alias("two"), F.col("blocks").alias("n")), "two")

@@ -187,6 +187,31 @@ def test_dual_traversal_prunes_and_is_whole(monkeypatch):
     assert not (close & ~seen).any()
 
 
+@pytest.mark.parametrize(("size", "width", "cells", "limit"), [(1, 3, 5, 0.4), (300, 2, 40, 0.1), (500, 8, 200, 0.447)])
+def test_upper_levels_against_all_cells(size, width, cells, limit):
+    def unit(n):
+        p = rng.normal(size=(n, width))
+        return p / np.linalg.norm(p, axis=1, keepdims=True)
+
+    rng = np.random.default_rng(1)
+    centres, counts = embedding_dups._upper(unit(size), cells)
+    assert counts[0] == 1 and counts[-1] == len(centres) <= cells and counts == sorted(set(counts))
+    points = unit(3 * size)
+    cell = np.argmax(points @ centres.T, axis=1)
+    radii = np.full(len(centres), -np.inf)
+    np.maximum.at(radii, cell, np.linalg.norm(points - centres[cell], axis=1))
+    got = list(zip(*(x.tolist() for x in embedding_dups.cell_pairs(centres, counts, radii, limit)), strict=True))
+    apart = np.linalg.norm(centres[:, None] - centres[None], axis=2)
+    want = {
+        (i, j)
+        for i in range(len(centres))
+        for j in range(i, len(centres))
+        if min(radii[i], radii[j]) >= 0
+        and (i == j or apart[i, j] <= radii[i] + radii[j] + limit + embedding_dups.SLACK)
+    }
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_components_of_a_chain_and_a_star(spark):
     chain = [(k, k + 1) for k in range(40)]
     star = [(1000, 1000 + k) for k in range(1, 300)]
