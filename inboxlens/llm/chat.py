@@ -1,8 +1,9 @@
 """Chat formatting of reply trees.
 
 Root-to-leaf paths come from iterative self-joins with doubling steps: round ``k`` knows the
-ancestor ``2**k`` levels up, so a path of any depth takes as many rounds as its depth has bits,
-and no row ever holds a whole path before the conversation is written.
+ancestor ``2**k`` levels up and the sum of scores on the way, so a path of any depth takes as many
+rounds as its depth has bits.  Leaves are ranked by these sums; only the chosen ones' paths are
+written out, and no row ever holds a whole path before the conversation is written.
 
 The template writes a message as ``<turn:ROLE>TEXT</turn>`` and a line feed.  Inside roles and texts
 the backslash and both angle brackets are written as backslash and a letter, so that no text can
@@ -39,75 +40,112 @@ def _same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
-def paths(nodes: DataFrame) -> DataFrame:
-    """Every root-to-leaf path of ``nodes(tree, node, parent)``, a row a message on it.
+def _climbs(known: DataFrame) -> list[DataFrame]:
+    """Steps ``(tree, node, above, total)`` to the ancestor ``2**k`` levels up, ``k`` from 0.
 
-    Returns ``(tree, leaf, node, up)``, ``up`` counting levels above the leaf.  A parent that does not
-    exist makes its child a root.  Parents in a circle raise ValueError.
+    ``total`` sums the scores from the node up to just below that ancestor.
     """
-    known = settle(nodes.select("tree", "node", "parent").filter("node IS NOT NULL").distinct())
     size = known.count()
     parents = known.select(F.col("tree").alias("t"), F.col("node").alias("n"))
     step = settle(
         known.filter("parent <> node")
         .join(parents, _same(F.col("tree"), F.col("t")) & (F.col("parent") == F.col("n")))
-        .select("tree", "node", F.col("parent").alias("above"))
+        .select("tree", "node", F.col("parent").alias("above"), F.col("score").alias("total"))
     )
     steps = []
     while not step.isEmpty():
         if len(steps) > size.bit_length():
             raise ValueError("messages reply to each other in a circle")
         steps.append(step)
-        on = step.select(
-            F.col("tree").alias("t"), F.col("node").alias("n"), F.col("above").alias("further")
-        )
+        on = _step(step)
         step = settle(
             step.join(on, _same(F.col("tree"), F.col("t")) & (F.col("above") == F.col("n"))).select(
-                "tree", "node", F.col("further").alias("above")
+                "tree", "node", F.col("further").alias("above"),
+                (F.col("total") + F.col("more")).alias("total"),
             )
         )
-    inner = (steps[0] if steps else step).select(
-        F.col("tree").alias("t"), F.col("above").alias("n")
+    return steps
+
+
+def _step(step: DataFrame) -> DataFrame:
+    """A step under names of its own, to be joined."""
+    return step.select(
+        F.col("tree").alias("t"), F.col("node").alias("n"),
+        F.col("above").alias("further"), F.col("total").alias("more"),
     )
-    leaves = known.join(
-        inner, _same(F.col("tree"), F.col("t")) & (F.col("node") == F.col("n")), "left_anti"
+
+
+def _leaves(known: DataFrame, steps: list[DataFrame]) -> DataFrame:
+    every = known.select("tree", F.col("node").alias("leaf"))
+    if not steps:
+        return every
+    inner = steps[0].select(F.col("tree").alias("t"), F.col("above").alias("n"))
+    return every.join(
+        inner, _same(F.col("tree"), F.col("t")) & (F.col("leaf") == F.col("n")), "left_anti"
     )
-    found = leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).alias("up"))
+
+
+def _walk(leaves: DataFrame, steps: list[DataFrame]) -> DataFrame:
+    """The given leaves' rows, one for each message on the way to the root: ``node`` and ``up``."""
+    names = leaves.columns
+    found = leaves.withColumns({"node": F.col("leaf"), "up": F.lit(0)})
     for k, step in enumerate(steps):
-        on = step.select(F.col("tree").alias("t"), F.col("node").alias("n"), "above")
-        higher = found.join(on, _same(F.col("tree"), F.col("t")) & (F.col("node") == F.col("n")))
+        higher = found.join(
+            _step(step), _same(F.col("tree"), F.col("t")) & (F.col("node") == F.col("n"))
+        )
         found = settle(
             found.unionByName(
                 higher.select(
-                    "tree", "leaf", F.col("above").alias("node"), (F.col("up") + 2**k).alias("up")
+                    *names, F.col("further").alias("node"), (F.col("up") + 2**k).alias("up")
                 )
             )
         )
     return found
 
 
-def best(found: DataFrame, scores: DataFrame, branches: int) -> DataFrame:
-    """The paths of the ``branches`` best leaves of each tree, with ``branch`` from 1.
+def paths(nodes: DataFrame) -> DataFrame:
+    """Every root-to-leaf path of ``nodes(tree, node, parent)``, a row a message on it.
 
-    A path's score is the mean of its messages' scores (null counts as 0); ties go to the
-    smaller leaf.
+    Returns ``(tree, leaf, node, up)``, ``up`` counting levels above the leaf.  A parent that does not
+    exist makes its child a root.  Parents in a circle raise ValueError.
     """
-    valued = found.join(
-        scores.select(F.col("tree").alias("t"), F.col("node").alias("n"), "score"),
-        _same(F.col("tree"), F.col("t")) & (F.col("node") == F.col("n")),
+    known = settle(
+        nodes.select("tree", "node", "parent", F.lit(0.0).alias("score"))
+        .filter("node IS NOT NULL")
+        .distinct()
     )
-    ranked = (
-        valued.groupBy("tree", "leaf")
-        .agg(F.avg(F.coalesce(F.col("score").cast("double"), F.lit(0.0))).alias("value"))
-        .withColumn(
-            "branch",
-            F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("value"), "leaf")),
+    steps = _climbs(known)
+    return _walk(_leaves(known, steps), steps)
+
+
+def best(known: DataFrame, steps: list[DataFrame], branches: int) -> DataFrame:
+    """The ``branches`` best leaves of each tree: ``(tree, leaf, branch)``, ``branch`` from 1.
+
+    A leaf's score is the mean score of the messages on its path, ties go to the smaller leaf.  A
+    leaf climbs by its depth's powers of two, the largest first, one row all the way: no path is
+    written before the leaves are ranked.
+    """
+    at = _leaves(known, steps).select(
+        "tree", "leaf", F.col("leaf").alias("node"), F.lit(0.0).alias("sum"), F.lit(1).alias("length")
+    )
+    for k in reversed(range(len(steps))):
+        up = _step(steps[k])
+        at = at.join(
+            up, _same(F.col("tree"), F.col("t")) & (F.col("node") == F.col("n")), "left"
+        ).select(
+            "tree", "leaf",
+            F.coalesce("further", "node").alias("node"),
+            (F.col("sum") + F.coalesce("more", F.lit(0.0))).alias("sum"),
+            (F.col("length") + F.when(F.col("n").isNull(), 0).otherwise(2**k)).alias("length"),
         )
+    roots = known.select(F.col("tree").alias("t"), F.col("node").alias("n"), "score")
+    order = Window.partitionBy("tree").orderBy(F.desc("value"), "leaf")
+    return (
+        at.join(roots, _same(F.col("tree"), F.col("t")) & (F.col("node") == F.col("n")))
+        .select("tree", "leaf", ((F.col("sum") + F.col("score")) / F.col("length")).alias("value"))
+        .withColumn("branch", F.row_number().over(order))
         .filter(F.col("branch") <= branches)
-        .select(F.col("tree").alias("t"), F.col("leaf").alias("l"), "branch")
-    )
-    return found.join(ranked, _same(F.col("tree"), F.col("t")) & (F.col("leaf") == F.col("l"))).select(
-        "tree", "leaf", "branch", "node", "up"
+        .select("tree", "leaf", "branch")
     )
 
 
@@ -115,7 +153,7 @@ def conversations(messages: DataFrame, *, branches: int = 1) -> DataFrame:
     """One formatted conversation for each of the best branches of every tree.
 
     ``messages(tree, node, parent, role, text, score)``; other columns are not read.  Null roles and
-    texts are empty.  Rows that repeat a node of a tree are one message, the smallest by parent,
+    texts are empty, null scores 0.  Rows that repeat a node of a tree are one message, the smallest by parent,
     role and text; rows without a node are left out; a null tree is a tree of its own.  An empty
     table gives no conversation.
 
@@ -136,8 +174,10 @@ def conversations(messages: DataFrame, *, branches: int = 1) -> DataFrame:
         .groupBy("tree", "node")
         .agg(F.min("message").alias("message"))
         .select("tree", "node", "message.*")
+        .withColumn("score", F.coalesce(F.col("score").cast("double"), F.lit(0.0)))
     )
-    chosen = best(paths(one), one, branches)
+    steps = _climbs(one)
+    chosen = _walk(settle(best(one, steps, branches)), steps)
     said = one.select(
         F.col("tree").alias("t"), F.col("node").alias("n"), "role",
         F.concat(F.lit(OPEN), escape(F.col("role")), F.lit(">")).alias("head"),

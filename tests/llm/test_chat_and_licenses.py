@@ -81,6 +81,28 @@ def test_paths_against_a_walk(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("branches", [1, 3, 1000])
+def test_best_branches_against_a_walk(spark, branches):
+    import random
+
+    rng = random.Random(9)
+    rows, want = [], {}
+    for tree, size, near in ((1, 90, 0.9), (2, 60, 0.2), (3, 1, 0.0)):
+        parent = {k: (k - 1 if rng.random() < near else rng.randrange(k)) if k else None for k in range(size)}
+        score = {k: rng.choice([None, float(rng.randrange(8))]) for k in parent}
+        rows += [(tree, k, p, "user", str(k), score[k]) for k, p in parent.items()]
+        leaves = []
+        for leaf in set(parent) - set(parent.values()):
+            line = [leaf]
+            while parent[line[-1]] is not None:
+                line.append(parent[line[-1]])
+            leaves.append((-sum(score[k] or 0 for k in line) / len(line), leaf, line[::-1]))
+        for nth, (_, leaf, line) in enumerate(sorted(leaves)[:branches], 1):
+            want[tree, nth] = (leaf, formatted([("user", str(k)) for k in line]))
+    df = chat.conversations(spark.createDataFrame(rows, TREE), branches=branches)
+    assert {(r["tree"], r["branch"]): (r["leaf"], r["formatted"]) for r in df.collect()} == want
+
+
 def test_circles_are_refused(spark):
     rows = [(1, 1, 2, "user", "a", 0.0), (1, 2, 1, "user", "b", 0.0)]
     with pytest.raises(ValueError):
