@@ -7,6 +7,9 @@ they were compared and not because their digests are:
 2. the rest meets by (digest, salt), the salt drawn from the id, so that a group with a third of
    all rows is spread over ``salts`` tasks,
 3. the winners of the salts, at most ``salts`` rows a text, are combined globally.
+
+Rows then meet their group's winner at the salt they had, to which the winner is sent once for each
+salt its group uses.
 """
 
 from __future__ import annotations
@@ -33,23 +36,43 @@ def decide(
     a row and count in ``group_size``.  An empty table gives an empty result; other columns of
     the input, whatever their names, are not read.
 
-    Rows find their group again by SHA-256 and a second 64-bit hash of the text, so that texts
-    do not travel a third time.
+    Rows find their group again by salt, SHA-256 and a second 64-bit hash of the text, so that
+    texts do not travel a third time and a group with a third of all rows is spread over its
+    salts there too.  ``salts`` is at most 63.
     """
-    rows = docs.select(F.col(id_col).alias("id"), _body(text_col).alias("body")).withColumn(
-        "sha", F.sha2("body", 256)
-    )
-    salt = F.pmod(F.xxhash64("id"), F.lit(salts))
-    salted = rows.groupBy("sha", salt.alias("salt"), "body").agg(
+    if not 1 <= salts <= 63:
+        raise ValueError("salts: 1 to 63")
+    rows = docs.select(
+        F.col(id_col).alias("id"),
+        F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int").alias("salt"),
+        _body(text_col).alias("body"),
+    ).withColumn("sha", F.sha2("body", 256))
+    salted = rows.groupBy("sha", "salt", "body").agg(
         F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("n")
     )
+    used = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("salt"))
     groups = (
         salted.groupBy("sha", "body")
-        .agg(F.max("keep_id").alias("keep_id"), F.sum("n").alias("group_size"))
-        .select("sha", F.xxhash64("body").alias("check"), "keep_id", "group_size")
+        .agg(
+            F.max("keep_id").alias("keep_id"),
+            F.sum("n").alias("group_size"),
+            F.bit_or(used).alias("used"),
+        )
+        .select(
+            "sha",
+            F.xxhash64("body").alias("check"),
+            "keep_id",
+            "group_size",
+            F.explode(
+                F.filter(
+                    F.sequence(F.lit(0), F.lit(salts - 1)),
+                    lambda k: F.call_function("getbit", F.col("used"), k) == 1,
+                )
+            ).alias("salt"),
+        )
     )
-    narrow = rows.select("id", "sha", F.xxhash64("body").alias("check"))
-    return narrow.join(groups, ["sha", "check"]).select(
+    narrow = rows.select("id", "salt", "sha", F.xxhash64("body").alias("check"))
+    return narrow.join(groups, ["sha", "check", "salt"]).select(
         F.col("id").alias(id_col),
         "keep_id",
         "group_size",
@@ -63,7 +86,7 @@ def keep_one(
 ) -> DataFrame:
     """The input's rows and columns, one row of every group of equal texts.
 
-    Rows that repeat both the id and the text are reduced to one, whichever Spark meets first.
+    Rows that repeat both the id and the text are reduced to one, the first by its JSON form.
     """
     winner, times = fresh(docs, "winner"), fresh(docs, "times")
     winners = (
@@ -79,7 +102,13 @@ def keep_one(
         F.col(id_col).eqNullSafe(F.col(winner)) & (F.col(fresh(docs, "own_sha")) == F.col(sha)),
     )
     once = found.filter(F.col(times) == 1).select(*docs.columns)
-    again = found.filter(F.col(times) > 1).dropDuplicates([id_col, sha]).select(*docs.columns)
+    row = F.struct(*docs.columns)
+    again = (
+        found.filter(F.col(times) > 1)
+        .groupBy(F.col(winner).alias("of"), F.col(sha).alias("sha"))
+        .agg(F.min_by(row, F.to_json(row)).alias("row"))
+        .select("row.*")
+    )
     return once.unionByName(again)
 
 

@@ -54,6 +54,23 @@ def test_hot_group(spark):
     assert kept.filter("group_size > 1").collect()[0]["group_size"] == 1000
 
 
+@pytest.mark.parametrize("salts", [1, 32, 63])
+def test_any_number_of_salts(spark, salts):
+    docs = spark.range(700).selectExpr("id AS doc_id", "CAST(id % 5 AS string) AS text", "'x' AS salt", "'y' AS used")
+    got = {(r["keep_id"], r["group_size"]) for r in exact_dedup.decide(docs, salts=salts).collect()}
+    assert got == {(695 + k, 140) for k in range(5)}
+    assert exact_dedup.decide(docs, salts=salts).count() == 700
+    with pytest.raises(ValueError):
+        exact_dedup.decide(docs, salts=64)
+
+
+def test_a_repeated_row_is_the_first_by_its_content(spark):
+    rows = [(1, "Same", "en", "b", 1), (1, "same", "en", "a", 2), (1, "same", "en", "a", 2), (0, "SAME", "en", "c", 3)]
+    for order in (rows, rows[::-1]):
+        kept = exact_dedup.keep_one(spark.createDataFrame(order, DOCS).repartition(3))
+        assert [tuple(r) for r in kept.collect()] == [(1, "Same", "en", "b", 1)]
+
+
 def test_empty_tables(spark):
     none = no_documents(spark)
     assert exact_dedup.decide(none).count() == 0
