@@ -285,7 +285,8 @@ def _lay_out(rest: DataFrame, capacity: int) -> DataFrame:
     )
     names = [f.split()[0] for f in schema.split(", ")]
     narrow = rest.select("id", "start", "length", "ids_crc32", "doc_tokens", "task", "ids")
-    return narrow.coalesce(1).mapInPandas(run, schema)
+    # an exchange, so that the windows before it keep their own tasks
+    return narrow.repartition(1).mapInPandas(run, schema)
 
 
 def sequences(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
