@@ -181,12 +181,13 @@ def _caught_up(
         batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
         folder = f"{area}/rows/batch={number}"
         files.drop(batch.sparkSession, folder)
-        append_quarantine(landing.stage(batch, folder, **options), targets)
+        append_quarantine(landing.stage(landing.lines_of(batch), folder, **options), targets)
 
     (
         # files count as new whatever their time is
-        spark.readStream.format("text").option("maxFileAge", "36500d").load(landing_path)
-        .select("value")
+        landing.arriving(
+            spark, landing_path, maxFileAge="36500d", maxFilesPerTrigger=landing.FILES_A_BATCH
+        )
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", f"{area}/log")
         .trigger(availableNow=True)

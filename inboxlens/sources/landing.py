@@ -7,6 +7,7 @@ is not one.  ``flatten`` splits the two.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,10 @@ FIRST_DEPTH = 4
 INBOX = "INBOX"
 TOO_DEEP = "mime too deep"
 
+#: Files whose names a batch of the stream hands over at once.
+FILES_A_BATCH = 500
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
 STAGED = T.StructType(
     [
         *MESSAGES.fields,
@@ -43,6 +48,23 @@ def read(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.text(list(paths)).select("value")
 
 
+def arriving(spark: SparkSession, path: str, **options) -> DataFrame:
+    """A stream of the files that land in a folder, each once, as a ``path`` column; no content is read.
+
+    Spark's text stream reads a batch's files again for every one of them whose name is a glob pattern, so
+    only the names are streamed, where that costs nothing but repeated names; see :func:`lines_of`.
+    ``options`` are those of a file stream.
+    """
+    names = spark.readStream.format("binaryFile").schema(_FILES).options(**options)
+    return names.load(path).select("path")
+
+
+def lines_of(batch: DataFrame) -> DataFrame:
+    """The landed lines of a batch of :func:`arriving`, every file read once whatever it is called."""
+    paths = sorted(r["path"] for r in batch.distinct().collect())
+    return read(batch.sparkSession, *(re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in paths))
+
+
 def in_inbox(message: Column) -> Column:
     """The default search predicate, on the parsed message struct."""
     return F.array_contains(message["labelIds"], INBOX)

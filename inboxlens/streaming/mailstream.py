@@ -44,9 +44,7 @@ def start(
     prepare(spark)
     run_id = uuid.uuid4().hex
     scratch = f"{shared_folder(spark)}/stream-{run_id}"
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    options = {} if max_files_per_trigger is None else {"maxFilesPerTrigger": max_files_per_trigger}
 
     def write(batch: DataFrame, batch_id: int) -> None:
         started_at = dt.datetime.now(dt.timezone.utc)
@@ -54,7 +52,7 @@ def start(
         try:
             batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
             staged = landing.stage(
-                batch.select("value"),
+                landing.lines_of(batch),
                 f"{folder}/rows",
                 ingested_at=started_at,
                 max_body_chars=max_body_chars,
@@ -69,7 +67,7 @@ def start(
             files.drop(batch.sparkSession, folder)
 
     return (
-        reader.load(landing_path)
+        landing.arriving(spark, landing_path, **options)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

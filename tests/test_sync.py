@@ -164,6 +164,18 @@ def test_files_of_any_name_are_read_once(box, tmp_path, monkeypatch):
     assert len(box.ids()) == len(names) + 1
 
 
+@pytest.mark.parametrize("streamed", [False, True])
+def test_patterns_in_names_read_no_file_twice(box, monkeypatch, streamed):
+    for n, name in enumerate(["plain", "c[1]", "{h,i}", "j?k", "l*m", "c1", "back\\slash", "50%20"]):
+        box.land(name, line(str(n), 1))
+    read = []
+    real = landing.parse
+    monkeypatch.setattr(landing, "parse", lambda raw, **k: read.append(raw.count()) or real(raw, **k))
+    box.stream() if streamed else box.sync(2)
+    assert read == [8] and len(box.ids()) == 8
+    assert sum(r[3] for r in box.ledger()) == 8
+
+
 def test_waiting_mail_is_kept_decoded_and_dropped_when_committed(box, spark):
     box.land("a", line("1", 1), line("2", 2), line("9", 9))
     area = f"{box.targets.ledger}_landing/rows"
