@@ -11,13 +11,12 @@ from pyspark.sql import functions as F
 
 PLAIN, HTML = "text/plain", "text/html"
 _TOO_DEEP = "too deep"
-#: A part whose subtree is not read, over a VARIANT column ``part``.
-HIDDEN_PART = (
-    "coalesce(length(try_variant_get(part, '$.filename', 'string')) > 0, false) "
-    "OR coalesce(length(try_variant_get(part, '$.body.attachmentId', 'string')) > 0, false)"
-)
 _NOTHING = "CAST(array() AS ARRAY<STRUCT<mime: STRING, data: STRING>>)"
 
+_NO_NODES = (
+    "CAST(array() AS ARRAY<STRUCT<place: ARRAY<INT>, mime: STRING, data: STRING, part: VARIANT>>)"
+)
+
 
 def header(headers: str, name: str) -> Column:
     """Value of a header, any case; the last duplicate wins, NULL where missing."""
@@ -45,6 +44,33 @@ def text_parts(part: str, depth: int) -> str:
     return f"if({hidden}, {_NOTHING}, concat({own}, {below}))"
 
 
+def nodes(part: str, place: str, levels: int) -> str:
+    """SQL for the text parts in the first ``levels`` levels of a VARIANT part, each with its place in the tree.
+
+    Parts below them come with no type and as they are.  A part with a file name or an attachment
+    id hides its whole subtree.
+    """
+    if levels == 0:
+        return (
+            f"array(named_struct('place', {place}, 'mime', CAST(NULL AS STRING), "
+            f"'data', CAST(NULL AS STRING), 'part', {part}))"
+        )
+    mime, data, filename, attachment = (
+        f"try_variant_get({part}, '$.{name}', 'string')"
+        for name in ("mimeType", "body.data", "filename", "body.attachmentId")
+    )
+    own = (
+        f"if({mime} IN ('{PLAIN}', '{HTML}') AND length({data}) > 0, array(named_struct('place', {place}, "
+        f"'mime', {mime}, 'data', {data}, 'part', CAST(NULL AS VARIANT))), {_NO_NODES})"
+    )
+    child, k = f"part{levels}", f"k{levels}"
+    inner = nodes(child, f"concat({place}, array({k}))", levels - 1)
+    listed = f"try_variant_get({part}, '$.parts', 'array<variant>')"
+    below = f"coalesce(flatten(transform({listed}, ({child}, {k}) -> {inner})), {_NO_NODES})"
+    hidden = f"length({filename}) > 0 OR length({attachment}) > 0"
+    return f"if({hidden}, {_NO_NODES}, concat({own}, {below}))"
+
+
 def decoded(parts: str) -> str:
     """SQL for the same list with its base64url data decoded to text.
 

@@ -23,6 +23,8 @@ from inboxlens.sources import files
 MAX_BODY_CHARS = 0
 #: MIME levels that one expression walks; deeper messages are walked level by level.
 FIRST_DEPTH = 4
+#: MIME levels that one step of the walk of a deeper message covers.
+WALKED = 8
 INBOX = "INBOX"
 TOO_DEEP = "mime too deep"
 
@@ -253,36 +255,28 @@ def _write_rows(rows: DataFrame, folder: str, number: int) -> None:
 
 
 def _walked(deep: DataFrame, folder: str, shape: dict) -> DataFrame:
-    """Messages of any depth: their MIME parts level by level, one written table a level.
+    """Messages of any depth: their MIME parts some levels at a time, one written table a step.
 
     A part is a VARIANT row with its place in the tree, the positions from the root down; sorted by
-    it, the text parts come in the order of the walk.  A level holds the children of the
-    level before, and the walk ends at the first empty one.
+    it, the text parts come in the order of the walk.  A step walks ``WALKED`` levels and writes their
+    texts and the parts below; the walk ends where there is none.
     """
     spark = deep.sparkSession
-    part = "row_id bigint, place array<int>, part variant"
-    level = deep.select(
+    node = "row_id bigint, place array<int>, mime string, data string, part variant"
+    step = f"inline({mime.nodes('part', 'place', WALKED)})"
+    # few files hold the deep messages, so they are dealt out to all tasks first
+    level = deep.repartition("row_id").select(
         "row_id", F.expr("CAST(array() AS array<int>)").alias("place"),
         F.expr("try_variant_get(try_parse_json(value), '$.payload', 'variant')").alias("part"),
     )
     number = 0
-    while True:
-        level.write.parquet(f"{folder}/{number}")
-        level = spark.read.schema(part).parquet(f"{folder}/{number}")
-        if level.isEmpty():
-            break
-        below = level.filter(~F.expr(mime.HIDDEN_PART)).select(
-            "row_id", "place",
-            F.posexplode(F.expr("try_variant_get(part, '$.parts', 'array<variant>')")).alias("k", "part"),
-        )
-        level = below.select("row_id", F.concat("place", F.array("k")).alias("place"), "part")
+    while number == 0 or not level.isEmpty():
+        level.selectExpr("row_id", step).write.parquet(f"{folder}/{number}")
+        # parts that a step does not walk have no type yet
+        level = spark.read.schema(node).parquet(f"{folder}/{number}").filter("mime IS NULL")
         number += 1
-    walked = spark.read.schema(part).parquet(*(f"{folder}/{n}" for n in range(number)))
-    texts = walked.filter(~F.expr(mime.HIDDEN_PART)).selectExpr(
-        "row_id", "place",
-        "try_variant_get(part, '$.mimeType', 'string') AS mime",
-        "try_variant_get(part, '$.body.data', 'string') AS data",
-    ).filter(F.col("mime").isin(mime.PLAIN, mime.HTML) & (F.length("data") > 0))
+    walked = spark.read.schema(node).parquet(*(f"{folder}/{n}" for n in range(number)))
+    texts = walked.filter("mime IS NOT NULL")
     in_order = texts.groupBy("row_id").agg(
         F.sort_array(F.collect_list(F.struct("place", "mime", "data"))).alias("parts")
     )

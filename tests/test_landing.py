@@ -168,3 +168,15 @@ def test_deep_messages_flatten_with_more_depth(flat):
 def test_blank_lines_are_skipped(flat):
     good, bad = flat("", "   ", json.dumps(message()))
     assert (len(good), len(bad)) == (1, 0)
+
+
+def test_a_deep_walk_writes_a_table_for_many_levels(spark, tmp_path, monkeypatch):
+    lines = [(json.dumps(message({"mimeType": "x", "parts": [nested(40, plain("deep")), plain("last")]})),)]
+    steps = []
+    drop = landing.files.drop
+    monkeypatch.setattr(
+        landing.files, "drop", lambda s, path: steps.extend(landing.files.matching(s, f"{path}/*")) or drop(s, path)
+    )
+    staged = landing.stage(spark.createDataFrame(lines, "value string"), str(tmp_path / "rows"), ingested_at=NOW)
+    assert [r.plain_body for r in landing.messages_of(staged).collect()] == ["deep\nlast"]
+    assert 1 < len(steps) <= 6
