@@ -13,9 +13,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from inboxlens.llm.common import fresh, settle
+from inboxlens.llm.common import fresh, settle, work_folder
 
 OVERHEAD = 16
 BLOCKS = 256
@@ -105,6 +106,11 @@ def size_of(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + OVERHEAD).cast("bigint")
 
 
+def crc_of(text: Column) -> Column:
+    """CRC-32 of the text's UTF-8 bytes; a null counts as empty."""
+    return F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8"))
+
+
 def reshard(
     docs: DataFrame,
     *,
@@ -136,7 +142,7 @@ def reshard(
         docs.select(
             F.col(id_col).alias("id"),
             size_of(text).alias("size"),
-            F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8")).alias("crc"),
+            crc_of(text).alias("crc"),
             F.coalesce(old.cast("int"), F.lit(0)).alias("old"),
         )
     )
@@ -248,12 +254,15 @@ def rewrite(docs: DataFrame, placed: DataFrame, path: str, *, id_col: str = "doc
     )
     text = F.col(text_col).cast("string")
     keys = ["row_id", "row_size", "row_crc", "row_old"]
-    given = docs.withColumns({
-        "row_id": F.col(id_col),
-        "row_size": size_of(text),
-        "row_crc": F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8")),
-        "row_old": F.lit(0) if old is None else F.coalesce(old.cast("int"), F.lit(0)),
-    }).drop("shard", "slot")
+    copied = settle(
+        docs.withColumns({
+            "row_id": F.col(id_col),
+            "row_size": size_of(text),
+            "row_crc": crc_of(text),
+            "row_old": F.lit(0) if old is None else F.coalesce(old.cast("int"), F.lit(0)),
+            "row_at": F.monotonically_increasing_id(),
+        }).drop("shard", "slot")
+    )
     places = placed.select(
         F.col(id_col).alias("row_id"), F.col("size").alias("row_size"),
         F.col("text_crc32").alias("row_crc"),
@@ -263,16 +272,20 @@ def rewrite(docs: DataFrame, placed: DataFrame, path: str, *, id_col: str = "doc
         F.struct(*keys, "row_number").alias("at"), "shard", "slot"
     )
     same = F.struct(*(F.col(c) for c in (*keys, "row_number"))).eqNullSafe(F.col("at"))
-    rows = settle(
-        _numbered(given, keys, "row_number").join(numbered, same).drop(*keys, "row_number", "at")
+    # texts stay in the copy until every row's place is known
+    ways = settle(
+        _numbered(copied.select("row_at", *keys), keys, "row_number")
+        .join(numbered, same)
+        .select("row_at", "shard", "slot")
     )
+    rows = copied.drop(*keys).join(ways, "row_at").drop("row_at")
     rows.repartition("shard", F.floor(F.col("slot") / 100_000)).sortWithinPartitions(
         "shard", "slot"
     ).write.partitionBy("shard").mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).parquet(path)
     # a dynamic overwrite leaves the folders that get no row
-    filled = {r["shard"] for r in rows.select("shard").distinct().collect()}
+    filled = {r["shard"] for r in ways.select("shard").distinct().collect()}
     for k in touched:
         if k not in filled:
             folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/shard={k}")
@@ -286,10 +299,26 @@ OLD_SHARDS, SHARDS = 32, 40
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op9: ``documents``, laid out by id over 32 shards, to 40 shards of equal bytes."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    old = F.pmod(F.xxhash64("doc_id"), F.lit(OLD_SHARDS))
-    return reshard(docs, old=old, shards=SHARDS).select(
+    """op9: ``documents``, laid out by id over the files of 32 shards, to 40 shards of equal bytes.
+
+    The rows are read back from the shards that were rewritten.  A shard without a move keeps its files, and
+    its rows their places.
+    """
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    shard = F.pmod(F.xxhash64("doc_id"), F.lit(OLD_SHARDS)).cast("int")
+    laid_out = docs.withColumns({"old_shard": shard, "shard": shard})
+    path = work_folder(spark)
+    laid_out.write.partitionBy("shard").parquet(path)
+    laid = spark.read.schema(laid_out.schema).parquet(path)
+    placed = reshard(laid, old=F.col("shard"), shards=SHARDS)
+    touched = rewrite(laid, placed, path, old=F.col("shard"))
+    text = F.col("text").cast("string")
+    written = spark.read.schema(T.StructType([*laid_out.schema.fields, T.StructField("slot", T.LongType())])).parquet(path)
+    moved = written.filter(F.col("shard").isin(touched)).select(
+        "doc_id", size_of(text).alias("size"), crc_of(text).alias("text_crc32"), "old_shard", "shard", "slot"
+    )
+    rows = moved.unionByName(placed.filter(~F.col("shard").isin(touched)))
+    return rows.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "old_shard",
     )

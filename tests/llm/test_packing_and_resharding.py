@@ -184,3 +184,30 @@ def test_rewriting_leaves_untouched_shards(spark, tmp_path):
     docs.withColumn("shard", old).write.partitionBy("shard").parquet(path)
     assert resharding.rewrite(docs, resharding.reshard(docs, old=old, shards=4), path) == [2, 3]
     assert sorted(r["doc_id"] for r in spark.read.parquet(path).collect()) == list(range(40))
+
+
+def test_the_query_returns_what_the_rewritten_files_hold(spark, tmp_path, monkeypatch):
+    docs = [(k, None if k == 3 else f"text {k} " * (k % 9)) for k in range(300)] + [(None, "no id"), (7, "twice"), (7, "twice")]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    paths = []
+    real = resharding.rewrite
+    monkeypatch.setattr(resharding, "rewrite", lambda *a, **k: paths.append(a[2]) or real(*a, **k))
+    found = resharding.query(spark, str(tmp_path)).collect()
+    files = spark.read.parquet(paths[0]).collect()
+    key = lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["shard"])
+    assert sorted(map(key, found)) == sorted(map(key, files)) and len(found) == len(docs)
+    # files of a shard without a move have no slots
+    written = {(*key(r), r["slot"]) for r in files if r["slot"] is not None}
+    assert written and written <= {(*key(r), r["slot"]) for r in found}
+    slots = {}
+    for r in found:
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_the_query_keeps_shards_without_a_move(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(k, "x" * k) for k in range(90)], "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(resharding, "OLD_SHARDS", 1)
+    monkeypatch.setattr(resharding, "SHARDS", 1)
+    found = resharding.query(spark, str(tmp_path)).collect()
+    assert sorted(r["doc_id"] for r in found) == sorted(r["slot"] for r in found) == list(range(90))
