@@ -279,7 +279,7 @@ def commit(
     """Append the new rows of the waiting days in ``[lo, hi)``, then their ids and their ledger rows.
 
     The decision on ids serves the counts and the append; bodies only meet the keys of the rows
-    that are turned away.
+    that are turned away, or of those taken where they are fewer.
     """
     spark = waiting.sparkSession
     of_group = waiting.filter(
@@ -305,18 +305,22 @@ def commit(
         refused = decided.join(taken.select(*_KEY), [*_KEY], "left_anti").select(*_KEY)
         full = counts.filter(F.col("sync_start") == instant(stop)).first()
         extra = (full["fetched"], cap)
+    total = done.agg(
+        F.coalesce(F.sum("fetched"), F.lit(0)),
+        F.coalesce(F.sum("inserted"), F.lit(0)),
+        F.count(F.lit(1)),
+    ).first()
+    # bodies meet the shorter list of keys: every row in range is on one of the two
+    in_range = counts.agg(F.coalesce(F.sum("fetched"), F.lit(0))).first()[0]
+    mostly_new = 2 * (total[1] + extra[1]) > in_range
+    keys, how = (refused, "left_anti") if mostly_new else (taken.select(*_KEY), "left_semi")
     ids.opened(spark, targets.messages, lo.date(), hi.date(), id_buckets)
     # mail may have waited since it was staged: it is ingested now, later than all mail before it
-    arriving = of_group.join(refused, [*_KEY], "left_anti")
+    arriving = of_group.join(keys, [*_KEY], how)
     tables.append_messages(arriving.withColumn("ingested_at", instant(started_at)), targets.messages)
     ids.append(taken, targets.messages, id_buckets)
 
     tables.append_ledger(_ok_rows(done, run_id, started_at), targets.ledger)
-    total = done.agg(
-        F.coalesce(F.sum("fetched"), F.lit(0)),
-        F.coalesce(F.sum("inserted"), F.lit(0)),
-        F.count(F.lit(1)),
-    ).first()
     return Outcome(total[0] + extra[0], total[1] + extra[1], total[2], stop)
 
 

@@ -27,6 +27,7 @@ FIRST_DEPTH = 4
 WALKED = 8
 INBOX = "INBOX"
 TOO_DEEP = "mime too deep"
+_PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
 
 #: Files whose names a batch of the stream hands over at once.
 FILES_A_BATCH = 500
@@ -93,7 +94,7 @@ def parse(
     message without a date is a bad row.  ``value`` holds the landed text of bad rows only.
     """
     lines = raw.select("value").filter(F.btrim("value", F.lit(" \t\r\n")) != "")
-    parsed = _parsed(_objects(lines), depth)
+    parsed = _dated(_objects(lines, depth))
     malformed = F.col("broken") | F.col("m._malformed").isNotNull()
     wanted = F.lit(True)
     if keep is not None:
@@ -105,11 +106,13 @@ def parse(
     return _shaped(listed, malformed, ingested_at, max_body_chars, dated_only)
 
 
-def _parsed(objects: DataFrame, depth: int) -> DataFrame:
-    """The rows with their message struct ``m`` and ``received_at``."""
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
-    message = F.from_json("value", landed_message(depth), options)
-    return _once(objects, "m", message).withColumn(
+def _message(text: Column | str, depth: int) -> Column:
+    return F.from_json(text, landed_message(depth), _PERMISSIVE)
+
+
+def _dated(parsed: DataFrame) -> DataFrame:
+    """The rows with the time of receipt of their message struct ``m``."""
+    return parsed.withColumn(
         "received_at", F.timestamp_millis(F.col("m.internalDate").try_cast("bigint"))
     )
 
@@ -160,12 +163,30 @@ def _shaped(
     )
 
 
-def _objects(lines: DataFrame) -> DataFrame:
-    """One row an object: ``value`` and whether the line is ``broken``.
+def _objects(lines: DataFrame, depth: int) -> DataFrame:
+    """One row an object: ``value``, its message struct ``m`` and whether the line is ``broken``.
 
-    Counting the objects of a line walks its tokens only; a line is taken apart where there is
-    more than one.
+    A line is read as the elements of an array, so one walk parses it and shows whether it is one sound
+    object.  Only other lines are counted, taken apart and parsed once more.
     """
+    listed = T.StructType(
+        [
+            T.StructField("_landed", T.ArrayType(landed_message(depth))),
+            T.StructField("_malformed", T.StringType()),
+        ]
+    )
+    wrapped = F.concat(F.lit('{"_landed":['), "value", F.lit("]}"))
+    # counting takes no NaN for a number either
+    strict = {**_PERMISSIVE, "allowNonNumericNumbers": "false"}
+    read = _once(lines, "_line", F.from_json(wrapped, listed, strict))
+    only = F.try_element_at("_line._landed", F.lit(1))
+    sound = (
+        (F.size("_line._landed") == 1)
+        & ~F.contains("value", F.lit("_landed"))
+        & F.col("_line._malformed").isNull()
+        & only.isNotNull()
+        & only["_malformed"].isNull()
+    )
     is_array = F.btrim("value", F.lit(" \t\r\n")).startswith("[")
     array = F.when(is_array, F.col("value")).otherwise(F.concat(F.lit("["), "value", F.lit("]")))
     size = F.coalesce(F.json_array_length(array), F.lit(0))
@@ -173,9 +194,13 @@ def _objects(lines: DataFrame) -> DataFrame:
         F.from_json(array, "array<string>"), lambda v: F.coalesce(v, F.lit("null"))
     )
     apart = F.when((size > 1) | (is_array & (size == 1)), several).otherwise(F.array("value"))
-    return lines.select(
-        F.explode(F.coalesce(apart, F.array("value"))).alias("value"),
-        (size == 0).alias("broken"),
+    parsed = F.transform(
+        F.coalesce(apart, F.array("value")),
+        lambda v: F.struct(v.alias("value"), _message(v, depth).alias("m"), (size == 0).alias("broken")),
+    )
+    whole = F.array(F.struct("value", only.alias("m"), F.lit(False).alias("broken")))
+    return read.select(F.explode(F.when(sound, whole).otherwise(parsed)).alias("_object")).select(
+        "_object.*"
     )
 
 
@@ -281,7 +306,7 @@ def _walked(deep: DataFrame, folder: str, shape: dict) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("place", "mime", "data"))).alias("parts")
     )
     found = deep.join(in_order, "row_id", "left")
-    parsed = _parsed(found, 0)
+    parsed = _dated(_once(found, "m", _message("value", 0)))
     listed = _once(parsed, "_texts", F.expr(f"coalesce({mime.decoded('parts')}, array())"))
     return _shaped(listed, F.lit(False), **shape)
 

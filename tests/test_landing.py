@@ -180,3 +180,18 @@ def test_a_deep_walk_writes_a_table_for_many_levels(spark, tmp_path, monkeypatch
     staged = landing.stage(spark.createDataFrame(lines, "value string"), str(tmp_path / "rows"), ingested_at=NOW)
     assert [r.plain_body for r in landing.messages_of(staged).collect()] == ["deep\nlast"]
     assert 1 < len(steps) <= 6
+
+
+def test_sound_lines_are_walked_once(flat, monkeypatch):
+    failing = lambda c: F.raise_error(F.lit("walked twice")).cast("int")
+    monkeypatch.setattr(landing.F, "json_array_length", failing)
+    good, bad = flat(message(plain("a, {b} [c]")), json.dumps(message(plain("d"), id="n")) + " ")
+    assert [r.message_id for r in good] == ["m", "n"] and bad == []
+
+
+def test_lines_that_look_like_one_object(flat):
+    whole = json.dumps(message(plain("x")))
+    good, bad = flat('{"id": "a"}],"_landed":[{"id": "b"}', f"[{whole}]", f"{whole}, {whole}")
+    assert [r.message_id for r in good] == ["a", "m", "m", "m"] and bad == []
+    good, bad = flat('{"id": NaN}', '{"labelIds": 7, "id": "m"}', "null", f"{whole} {whole}", whole[:30])
+    assert good == [] and len(bad) == 5

@@ -176,6 +176,17 @@ def test_patterns_in_names_read_no_file_twice(box, monkeypatch, streamed):
     assert sum(r[3] for r in box.ledger()) == 8
 
 
+def test_bodies_meet_the_shorter_list_of_keys(box, plan_of, monkeypatch):
+    box.land("a", *(line(str(k), 1) for k in range(9)))
+    plans = []
+    real = tables.append_messages
+    monkeypatch.setattr(tables, "append_messages", lambda m, path: plans.append(plan_of(m)) or real(m, path))
+    box.sync(2)
+    box.sync(2, full_backfill=True)
+    assert "LeftAnti" in plans[0] and "LeftSemi" in plans[1]
+    assert len(box.ids()) == 9
+
+
 def test_waiting_mail_is_kept_decoded_and_dropped_when_committed(box, spark):
     box.land("a", line("1", 1), line("2", 2), line("9", 9))
     area = f"{box.targets.ledger}_landing/rows"
