@@ -238,7 +238,7 @@ def _numbered(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
 
 
 def rewrite(docs: DataFrame, placed: DataFrame, path: str, *, id_col: str = "doc_id",
-            text_col: str = "text", old: Column | None = None) -> list[int]:
+            text_col: str = "text", old: Column | None = None, row_col: str | None = None) -> list[int]:
     """Write the files of those shards that lose or gain a row, and return their numbers.
 
     Files go to ``path/shard=<k>``; shards without a move keep theirs, and the folder of one that
@@ -246,6 +246,9 @@ def rewrite(docs: DataFrame, placed: DataFrame, path: str, *, id_col: str = "doc
     number among equal ones, so every row is written once.  Give ``old`` as to ``reshard`` where
     rows of equal id and text differ in other columns.  Columns ``shard`` and ``slot`` of the input
     are replaced.  The input is copied first, as it may lie under ``path``.
+
+    An input of stored files elsewhere needs no copy if ``row_col`` names a column of theirs that numbers the
+    rows.  Texts then cross one exchange only, and a shard's rows lie in one file a task, each in order of slot.
     """
     spark = docs.sparkSession
     moves = placed.filter("old_shard <> shard")
@@ -254,15 +257,15 @@ def rewrite(docs: DataFrame, placed: DataFrame, path: str, *, id_col: str = "doc
     )
     text = F.col(text_col).cast("string")
     keys = ["row_id", "row_size", "row_crc", "row_old"]
-    copied = settle(
-        docs.withColumns({
-            "row_id": F.col(id_col),
-            "row_size": size_of(text),
-            "row_crc": crc_of(text),
-            "row_old": F.lit(0) if old is None else F.coalesce(old.cast("int"), F.lit(0)),
-            "row_at": F.monotonically_increasing_id(),
-        }).drop("shard", "slot")
-    )
+    copied = docs.withColumns({
+        "row_id": F.col(id_col),
+        "row_size": size_of(text),
+        "row_crc": crc_of(text),
+        "row_old": F.lit(0) if old is None else F.coalesce(old.cast("int"), F.lit(0)),
+        "row_at": F.col(row_col) if row_col else F.monotonically_increasing_id(),
+    }).drop("shard", "slot")
+    if row_col is None:
+        copied = settle(copied)
     places = placed.select(
         F.col(id_col).alias("row_id"), F.col("size").alias("row_size"),
         F.col("text_crc32").alias("row_crc"),
@@ -279,9 +282,9 @@ def rewrite(docs: DataFrame, placed: DataFrame, path: str, *, id_col: str = "doc
         .select("row_at", "shard", "slot")
     )
     rows = copied.drop(*keys).join(ways, "row_at").drop("row_at")
-    rows.repartition("shard", F.floor(F.col("slot") / 100_000)).sortWithinPartitions(
-        "shard", "slot"
-    ).write.partitionBy("shard").mode("overwrite").option(
+    if row_col is None:
+        rows = rows.repartition("shard", F.floor(F.col("slot") / 100_000))
+    rows.sortWithinPartitions("shard", "slot").write.partitionBy("shard").mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).parquet(path)
     # a dynamic overwrite leaves the folders that get no row
@@ -306,15 +309,17 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     shard = F.pmod(F.xxhash64("doc_id"), F.lit(OLD_SHARDS)).cast("int")
-    laid_out = docs.withColumns({"old_shard": shard, "shard": shard})
-    path = work_folder(spark)
-    laid_out.write.partitionBy("shard").parquet(path)
-    laid = spark.read.schema(laid_out.schema).parquet(path)
+    laid_out = docs.withColumns({"old_shard": shard, "row": F.monotonically_increasing_id(), "shard": shard})
+    before, after = work_folder(spark), work_folder(spark)
+    laid_out.write.partitionBy("shard").parquet(before)
+    laid = spark.read.schema(laid_out.schema).parquet(before)
     placed = reshard(laid, old=F.col("shard"), shards=SHARDS)
-    touched = rewrite(laid, placed, path, old=F.col("shard"))
+    touched = rewrite(laid, placed, after, old=F.col("shard"), row_col="row")
     text = F.col("text").cast("string")
-    written = spark.read.schema(T.StructType([*laid_out.schema.fields, T.StructField("slot", T.LongType())])).parquet(path)
-    moved = written.filter(F.col("shard").isin(touched)).select(
+    fields = [f for f in laid_out.schema.fields if f.name != "shard"]
+    fields += [T.StructField("slot", T.LongType()), T.StructField("shard", T.IntegerType())]
+    written = spark.read.schema(T.StructType(fields)).parquet(after)
+    moved = written.select(
         "doc_id", size_of(text).alias("size"), crc_of(text).alias("text_crc32"), "old_shard", "shard", "slot"
     )
     rows = moved.unionByName(placed.filter(~F.col("shard").isin(touched)))
