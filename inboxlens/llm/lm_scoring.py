@@ -26,6 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,8 @@ REACH = 3
 ROUNDS = 2
 #: Tokens to a gradient step, and to a slice when scoring.
 STEP, SLICE = 16_384, 65_536
+#: Tokens or features handled at once, few enough for a core's cache; no result depends on it.
+BLOCK = 1_024
 RATE = 0.25
 FLUSH = 400_000
 #: The end of a text; no word holds white space.
@@ -103,13 +106,6 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-class _Ranks(dict):
-    """Rank of a head word; the others give the complement of their shape."""
-
-    def __missing__(self, word: bytes) -> int:
-        return ~shape(word)
-
-
 @dataclass
 class Vocabulary:
     """What the tasks know of the corpus: bounded by ``HEAD`` words and ``SHAPES`` sums."""
@@ -122,8 +118,9 @@ class Vocabulary:
     rest_words: np.ndarray
     discount: float
 
-    def ranks(self) -> _Ranks:
-        return _Ranks((w, k) for k, w in enumerate(self.words))
+    def ranked(self) -> pa.Array:
+        """The head words by rank."""
+        return pa.array(self.words, pa.binary())
 
     def leaf_of_rank(self) -> np.ndarray:
         return np.array(
@@ -207,18 +204,18 @@ def _history(ranks: np.ndarray, starts: np.ndarray, leaf_of_rank: np.ndarray) ->
 
 
 class Model:
-    """Weights by member, so that a feature is looked up member by member in a short array."""
+    """Weights by feature, so that a feature is looked up once, and its weights lie side by side."""
 
     SHAPES = (
-        *(((CLASSES, START + 1),) * REACH),
-        (CLASSES, PAIRS),
-        *(((MEMBERS, (START + 1) * CLASSES),) * REACH),
+        *(((START + 1, CLASSES),) * REACH),
+        (PAIRS, CLASSES),
+        *((((START + 1) * CLASSES, MEMBERS),) * REACH),
     )
 
     def __init__(self, priors: np.ndarray, weights: list[np.ndarray] | None = None) -> None:
         share = (priors + 0.1).reshape(CLASSES, MEMBERS)
         self.class_bias = np.log(share.sum(1) / share.sum()).astype(np.float32)
-        self.member_bias = np.log(share / share.sum(1, keepdims=True)).T.astype(np.float32)
+        self.member_bias = np.log(share / share.sum(1, keepdims=True)).astype(np.float32)
         self.weights = weights or [np.zeros(s, np.float32) for s in self.SHAPES]
 
     def features(self, h: History, some: slice) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -228,14 +225,11 @@ class Model:
 
     def chances(self, owner: np.ndarray, at: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Log-chances of all classes, and of all members of the right class."""
-        first = self.class_bias[:, None] + sum(
-            np.take(w, i, axis=1) for w, i in zip(self.weights[: REACH + 1], at, strict=False)
-        )
-        second = self.member_bias[:, owner] + sum(
-            np.take(w, i, axis=1)
-            for w, i in zip(self.weights[REACH + 1 :], at[REACH + 1 :], strict=True)
-        )
-        return _log_softmax(first), _log_softmax(second)
+        first = _summed(self.weights[: REACH + 1], at[: REACH + 1])
+        first += self.class_bias
+        second = _summed(self.weights[REACH + 1 :], at[REACH + 1 :])
+        second += self.member_bias.take(owner, axis=0)
+        return _log_softmax(first.T.copy()), _log_softmax(second.T.copy())
 
     def score(self, h: History) -> np.ndarray:
         """log10 P(member | history) of every token."""
@@ -243,55 +237,97 @@ class Model:
         for start in range(0, len(h.leaf), SLICE):
             some = slice(start, start + SLICE)
             owner, at = self.features(h, some)
-            first, second = self.chances(owner, at)
-            here = np.arange(len(owner))
-            out[some] = first[owner, here] + second[h.leaf[some] % MEMBERS, here]
+            for part in _blocks(len(owner)):
+                own = owner[part]
+                first, second = self.chances(own, [i[part] for i in at])
+                here = np.arange(len(own))
+                out[some][part] = first[own, here] + second[h.leaf[some][part] % MEMBERS, here]
         return out / math.log(10)
 
     def learn(self, h: History, squares: list[np.ndarray]) -> None:
-        """Gradient steps over a run of tokens, each weight with its own rate."""
+        """Gradient steps over a run of tokens, each weight with its own rate.
+
+        A step changes the weights of the features it meets only: the gradient of the others is 0.
+        """
         for start in range(0, len(h.leaf), STEP):
             some = slice(start, start + STEP)
             owner, at = self.features(h, some)
-            first, second = self.chances(owner, at)
-            here = np.arange(len(owner))
-            errors = []
-            for logs, right in ((first, owner), (second, h.leaf[some] % MEMBERS)):
-                error = np.exp(logs)
-                error[right, here] -= 1
-                errors.append(error)
+            member = h.leaf[some] % MEMBERS
+            errors = np.empty((CLASSES, len(owner))), np.empty((MEMBERS, len(owner)))
+            for part in _blocks(len(owner)):
+                logs = self.chances(owner[part], [i[part] for i in at])
+                for error, x, right in zip(errors, logs, (owner[part], member[part]), strict=True):
+                    np.exp(x, out=x)
+                    x[right, np.arange(len(right))] -= 1
+                    error[:, part] = x
             for k, (w, i, seen) in enumerate(zip(self.weights, at, squares, strict=True)):
-                error = errors[k > REACH]
-                for row in range(len(w)):
-                    g = np.bincount(i, error[row], minlength=w.shape[1])
-                    seen[row] += g * g
-                    w[row] -= RATE * g / np.sqrt(seen[row])
+                met = np.zeros(len(w), bool)
+                met[i] = True
+                met = np.flatnonzero(met)
+                place = np.empty(len(w), np.intp)
+                place[met] = np.arange(len(met))
+                place = place[i]
+                sums = np.empty((w.shape[1], len(met)))
+                for row, error in zip(sums, errors[k > REACH], strict=True):
+                    row[:] = np.bincount(place, error, minlength=len(met))
+                for part in _blocks(len(met)):
+                    g, these = sums[:, part].T.copy(), met[part]
+                    squared = (seen.take(these, axis=0) + g * g).astype(np.float32)
+                    seen[these] = squared
+                    w[these] = w.take(these, axis=0) - RATE * g / np.sqrt(squared)
+
+
+def _blocks(size: int) -> Iterator[slice]:
+    """Runs of ``BLOCK``."""
+    return (slice(k, min(k + BLOCK, size)) for k in range(0, size, BLOCK))
+
+
+def _summed(weights: list[np.ndarray], at: list[np.ndarray]) -> np.ndarray:
+    total = weights[0].take(at[0], axis=0)
+    for w, i in zip(weights[1:], at[1:], strict=True):
+        total += w.take(i, axis=0)
+    return total
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
     x -= x.max(axis=0)
-    return x - np.log(np.exp(x).sum(axis=0))
-
-
-def _runs(texts: list, ranks: _Ranks) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
-    flat: list[int] = []
-    starts, words = [], []
-    for text in texts:
-        starts.append(len(flat))
-        own = tokens(text)
-        words.append(own)
-        flat.extend(map(ranks.__getitem__, own))
-        flat.append(ranks[END])
-    return np.array(flat, np.int64), np.array(starts, np.int64), words
+    x -= np.log(np.exp(x).sum(axis=0))
+    return x
+
+
+def _lines(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The ``tokens`` and ends of all texts, one after another, and where each text begins."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    pieces = split.values.cast(pa.binary())
+    # white space at a text's start or end leaves an empty piece
+    words = pc.binary_length(pieces).to_numpy() > 0
+    before = np.concatenate([[0], np.cumsum(words)])[split.offsets.to_numpy()]
+    count = np.arange(len(texts))
+    is_word = np.ones(before[-1] + len(texts), bool)
+    is_word[before[1:] + count] = False
+    pick = np.full(len(is_word), len(pieces))
+    pick[is_word] = np.flatnonzero(words)
+    line = pa.concat_arrays([pieces, pa.array([END], pa.binary())]).take(pa.array(pick))
+    return line, before[:-1] + count
+
+
+def _ranks(line: pa.Array, ranked: pa.Array) -> np.ndarray:
+    """Rank of a head word; the others give the complement of their shape."""
+    ranks = pc.index_in(line, value_set=ranked).fill_null(-1).to_numpy().astype(np.int64)
+    other = ranks < 0
+    tails = pc.binary_slice(line.filter(pa.array(other)), -3).dictionary_encode()
+    shapes = np.array([shape(w) for w in tails.dictionary.to_pylist()], np.int64)
+    ranks[other] = ~shapes[tails.indices.to_numpy()]
+    return ranks
 
 
-def _parts(texts: list, size: int = 400_000) -> Iterator[tuple[int, int]]:
-    """Slices of a batch of about so many bytes of text, so that arrays stay small."""
+def _parts(texts: pa.Array, size: int = 400_000) -> Iterator[pa.Array]:
+    """Slices of a batch of about so many characters of text, so that arrays stay small."""
     start, held = 0, 0
-    for at, text in enumerate(texts):
-        held += len(text or "") + 1
+    for at, length in enumerate(pc.utf8_length(texts).fill_null(0).to_pylist()):
+        held += length + 1
         if held > size * 4 or at + 1 == len(texts):
-            yield start, at + 1
+            yield texts.slice(start, at + 1 - start)
             start, held = at + 1, 0
 
 
@@ -313,14 +349,14 @@ def train(
 
         def run(batches, now=now):
             known = shared.value
-            ranks, leaf_of_rank = known.ranks(), known.leaf_of_rank()
+            ranked, leaf_of_rank = known.ranked(), known.leaf_of_rank()
             own = Model(known.priors(), [w.copy() for w in now.value])
             squares = [np.ones(s, np.float32) for s in Model.SHAPES]
             seen = 0
             for batch in batches:
-                texts = batch.column(0).to_pylist()
-                for start, end in _parts(texts):
-                    flat, starts, _ = _runs(texts[start:end], ranks)
+                for texts in _parts(batch.column(0)):
+                    line, starts = _lines(texts)
+                    flat = _ranks(line, ranked)
                     own.learn(_history(flat, starts, leaf_of_rank), squares)
                     seen += len(flat)
             if not seen:
@@ -374,33 +410,29 @@ _FOUND = (
 def _score(shared, weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Vocabulary = shared.value
-        ranks, leaf_of_rank = known.ranks(), known.leaf_of_rank()
+        ranked, leaf_of_rank = known.ranked(), known.leaf_of_rank()
         model = Model(known.priors(), weights.value)
         inside = known.inside(leaf_of_rank)
         base = np.log10((known.counts + 1) / (known.total + known.distinct + 1))
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            all_ids, all_texts = (c.to_pylist() for c in batch.columns)
-            for start, end in _parts(all_texts):
-                ids, texts = all_ids[start:end], all_texts[start:end]
-                flat, starts, words = _runs(texts, ranks)
+            done = 0
+            for texts in _parts(batch.column(1)):
+                count = len(texts)
+                ids = batch.column(0).slice(done, count).to_pylist()
+                done += count
+                line, starts = _lines(texts)
+                flat = _ranks(line, ranked)
                 scores = model.score(_history(flat, starts, leaf_of_rank))
                 head = flat >= 0
                 scores[head] += inside[flat[head]]
                 bases = np.zeros(len(flat))
                 bases[head] = base[flat[head]]
                 sizes = np.diff([*starts, len(flat)])
-                count = len(ids)
-                rows, rest, times = [], [], []
-                for at, own in enumerate(words):
-                    # the end of a text is a head word, but where nothing was learned
-                    line = [*own, END]
-                    tail = Counter(
-                        line[k] for k in np.flatnonzero(~head[starts[at] : starts[at] + sizes[at]])
-                    )
-                    rows += [row + at] * len(tail)
-                    rest += tail.keys()
-                    times += tail.values()
+                # the end of a text is a head word, but where nothing was learned
+                owners = np.repeat(np.arange(row, row + count), sizes)[~head].tolist()
+                tail = Counter(zip(owners, line.filter(pa.array(~head)).to_pylist(), strict=True))
+                rows, rest, times = [k for k, _ in tail], [w for _, w in tail], [*tail.values()]
                 more = len(rows)
                 yield pa.RecordBatch.from_arrays(
                     [

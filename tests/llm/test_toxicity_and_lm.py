@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import no_documents, odd_documents
 from pyspark.sql import functions as F
@@ -238,6 +239,50 @@ def test_model_sums_to_one():
     assert np.exp(model.score(h) * math.log(10)).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_learning_equals_dense_steps():
+    """The steps write the features they meet only; so they are what steps over all weights are."""
+    rng = np.random.default_rng(2)
+    priors, size = rng.random(lm_scoring.LEAVES) * 100, 2 * lm_scoring.STEP + 300
+    model, dense = lm_scoring.Model(priors), lm_scoring.Model(priors)
+    h = lm_scoring.History(
+        rng.integers(lm_scoring.LEAVES, size=size),
+        [np.minimum(rng.zipf(1.4, size), lm_scoring.START) for _ in range(lm_scoring.REACH)],
+        np.minimum(rng.zipf(1.2, size), lm_scoring.PAIRS - 1),
+    )
+    model.learn(h, [np.ones(s, np.float32) for s in lm_scoring.Model.SHAPES])
+    squares = [np.ones(s, np.float32) for s in lm_scoring.Model.SHAPES]
+    for start in range(0, size, lm_scoring.STEP):
+        owner, at = dense.features(h, slice(start, start + lm_scoring.STEP))
+        errors = [np.exp(x) for x in dense.chances(owner, at)]
+        for error, right in zip(errors, (owner, h.leaf[start : start + len(owner)] % lm_scoring.MEMBERS), strict=True):
+            error[right, np.arange(len(right))] -= 1
+        for k, (w, i, seen) in enumerate(zip(dense.weights, at, squares, strict=True)):
+            for column, error in enumerate(errors[k > lm_scoring.REACH]):
+                g = np.bincount(i, error, minlength=len(w))
+                seen[:, column] += g * g
+                w[:, column] -= lm_scoring.RATE * g / np.sqrt(seen[:, column])
+    for w, plain in zip(model.weights, dense.weights, strict=True):
+        assert w.any() and np.array_equal(w, plain)
+
+
+def test_lines_hold_the_tokens_and_a_shape_is_worked_out_once_a_tail(monkeypatch):
+    letters = " \t\n\x0b\x0c\r\x1c\x85\u00a0\u3000aAbZ\u00c4\u0130\U0001f600\x00"
+    rng = np.random.default_rng(3)
+    texts = [None, "", " ", "x", *("".join(rng.choice([*letters], 12)) for _ in range(300)), "rare " * 500]
+    lines = [[*lm_scoring.tokens(t), lm_scoring.END] for t in texts]
+    line, starts = lm_scoring._lines(pa.array(["before", *texts], pa.string()).slice(1))
+    words = [w for own in lines for w in own]
+    assert line.to_pylist() == words
+    assert starts.tolist() == [sum(map(len, lines[:k])) for k in range(len(lines))]
+    asked, shape = [], lm_scoring.shape
+    monkeypatch.setattr(lm_scoring, "shape", lambda w: asked.append(w) or shape(w))
+    for head in ([], [b"a", lm_scoring.END]):
+        asked.clear()
+        ranks = lm_scoring._ranks(line, pa.array(head, pa.binary()))
+        assert ranks.tolist() == [head.index(w) if w in head else ~shape(w) for w in words]
+        assert len(asked) == len({w[-3:] for w in words if w not in head})
+
+
 def test_inside_a_member_sums_to_one():
     known = lm_scoring.Vocabulary([b"a", b"bb", b"\n"], np.array([5.0, 4.0, 9.0]), 30, 8,
                                   np.zeros(lm_scoring.SHAPES), np.zeros(lm_scoring.SHAPES), 0.4)
