@@ -238,7 +238,8 @@ def _numbered(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
 
 
 def rewrite(docs: DataFrame, placed: DataFrame, path: str, *, id_col: str = "doc_id",
-            text_col: str = "text", old: Column | None = None, row_col: str | None = None) -> list[int]:
+            text_col: str = "text", old: Column | None = None, row_col: str | None = None,
+            compression: str | None = None) -> list[int]:
     """Write the files of those shards that lose or gain a row, and return their numbers.
 
     Files go to ``path/shard=<k>``; shards without a move keep theirs, and the folder of one that
@@ -249,6 +250,8 @@ def rewrite(docs: DataFrame, placed: DataFrame, path: str, *, id_col: str = "doc
 
     An input of stored files elsewhere needs no copy if ``row_col`` names a column of theirs that numbers the
     rows.  Texts then cross one exchange only, and a shard's rows lie in one file a task, each in order of slot.
+
+    ``compression`` is the codec of the files (default: the session's).
     """
     spark = docs.sparkSession
     moves = placed.filter("old_shard <> shard")
@@ -286,7 +289,7 @@ def rewrite(docs: DataFrame, placed: DataFrame, path: str, *, id_col: str = "doc
         rows = rows.repartition("shard", F.floor(F.col("slot") / 100_000))
     rows.sortWithinPartitions("shard", "slot").write.partitionBy("shard").mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
-    ).parquet(path)
+    ).parquet(path, compression=compression)
     # a dynamic overwrite leaves the folders that get no row
     filled = {r["shard"] for r in ways.select("shard").distinct().collect()}
     for k in touched:
@@ -299,6 +302,8 @@ def rewrite(docs: DataFrame, placed: DataFrame, path: str, *, id_col: str = "doc
 QUERY = "op9_resharding"
 SQL = None
 OLD_SHARDS, SHARDS = 32, 40
+#: Old and new files of all texts lie side by side for a while, so they are to be small.
+COMPRESSION = "zstd"
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,10 +316,10 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     shard = F.pmod(F.xxhash64("doc_id"), F.lit(OLD_SHARDS)).cast("int")
     laid_out = docs.withColumns({"old_shard": shard, "row": F.monotonically_increasing_id(), "shard": shard})
     before, after = work_folder(spark), work_folder(spark)
-    laid_out.write.partitionBy("shard").parquet(before)
+    laid_out.write.partitionBy("shard").parquet(before, compression=COMPRESSION)
     laid = spark.read.schema(laid_out.schema).parquet(before)
     placed = reshard(laid, old=F.col("shard"), shards=SHARDS)
-    touched = rewrite(laid, placed, after, old=F.col("shard"), row_col="row")
+    touched = rewrite(laid, placed, after, old=F.col("shard"), row_col="row", compression=COMPRESSION)
     text = F.col("text").cast("string")
     fields = [f for f in laid_out.schema.fields if f.name != "shard"]
     fields += [T.StructField("slot", T.LongType()), T.StructField("shard", T.IntegerType())]

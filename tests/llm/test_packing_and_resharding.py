@@ -2,6 +2,7 @@
 
 import struct
 import zlib
+from pathlib import Path
 
 import pytest
 from helpers import no_documents, odd_documents
@@ -205,6 +206,21 @@ def test_the_query_returns_what_the_rewritten_files_hold(spark, tmp_path, monkey
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def test_the_query_keeps_old_and_new_files_small(spark, tmp_path, monkeypatch):
+    """Both sets of files together are smaller than one and a half of the input's."""
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), F.expr(
+        "concat_ws(' ', transform(sequence(1, 200), k -> substring(sha2(cast((id * k * 7919) % 5003 AS string), 256), 1, 6)))"
+    ).alias("text"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"), compression="snappy")
+    folders = []
+    real = resharding.work_folder
+    monkeypatch.setattr(resharding, "work_folder", lambda s: folders.append(real(s)) or folders[-1])
+    assert resharding.query(spark, str(tmp_path)).count() == 3000
+    size = lambda path: sum(f.stat().st_size for f in Path(path).rglob("*.parquet"))
+    before, after = map(size, folders)
+    assert before and after and before + after < 1.5 * size(tmp_path / "documents.parquet")
+
+
 def test_the_query_keeps_shards_without_a_move(spark, tmp_path, monkeypatch):
     spark.createDataFrame([(k, "x" * k) for k in range(90)], "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
     monkeypatch.setattr(resharding, "OLD_SHARDS", 1)
