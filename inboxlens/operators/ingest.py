@@ -105,10 +105,13 @@ def decide(narrow: DataFrame, landed: DataFrame, *, row: tuple[str, ...] = ("row
     sorted or sent.  Of the copies of a message the first by receipt stays (then by digest, then
     by row), if its id is not among the landed ones.  ``landed`` may hold an id twice.
     """
+    # the id met by the join is a field, so that Spark deals the first copies to the landed ids' buckets;
+    # by the grouping key it would deal the landed ids to the shuffle's parts where those are more
     first = (
         narrow.groupBy("message_id")
-        .agg(F.min(F.struct("received_at", "digest", *row)).alias("first"))
-        .join(landed.select("message_id"), "message_id", "left_anti")
+        .agg(F.min(F.struct("received_at", "digest", *row, "message_id")).alias("first"))
+        .select("first")
+        .join(landed.select("message_id"), F.col("first.message_id") == F.col("message_id"), "left_anti")
         .select(*(F.col(f"first.{c}").alias(c) for c in row), F.lit(True).alias("is_new"))
     )
     return narrow.join(first, [*row], "left").select(
